@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.functions.calendar import with_event_date
 from hitledger.functions.measures import is_type
+from hitledger.operators.checks import Check, failing_rows, run_checks
+from hitledger.sources.catalog import create_view, layer, materialize, store_failures
 
 
 def stg_events(raw_events: DataFrame) -> DataFrame:
@@ -48,3 +50,75 @@ def daily_summary(events: DataFrame, users: DataFrame) -> DataFrame:
             F.sum(F.col("purchases") * F.col("copies")).alias("purchase_count"),
         )
     )
+
+
+# The declared checks of the models.
+CHECKS = [
+    Check("stg_events", "event_id", "unique"),
+    Check("stg_events", "event_id", "not_null"),
+    Check("stg_events", "user_id", "not_null"),
+    Check("stg_events", "event_date", "not_null"),
+    Check("stg_users", "user_id", "unique"),
+    Check("stg_users", "user_id", "not_null"),
+    Check("daily_summary", "event_date", "not_null"),
+    Check("daily_summary", "country", "not_null"),
+    Check("daily_summary", "event_count", "not_null"),
+]
+
+# The staging models as lasting views, which the catalog stores as SQL text.
+_STG_EVENTS_VIEW = """
+    SELECT event_id, user_id, session_id, event_type, event_timestamp,
+           to_date(event_timestamp) AS event_date
+    FROM {source} WHERE event_id IS NOT NULL AND user_id IS NOT NULL
+"""
+_STG_USERS_VIEW = """
+    SELECT user_id, signup_date, upper(country) AS country, plan_type, is_active
+    FROM {source}
+"""
+
+
+def model_frames(raw_events: DataFrame, users: DataFrame) -> dict[str, DataFrame]:
+    """All models over two source frames, nothing materialized."""
+    events, members = stg_events(raw_events), stg_users(users)
+    return {
+        "stg_events": events,
+        "stg_users": members,
+        "daily_summary": daily_summary(events, members),
+    }
+
+
+def build_models(
+    spark: SparkSession, base: str, raw_events: str, users: str, location: str | None = None
+) -> dict[str, str]:
+    """Build every layer from two catalog tables; returns the model's full names.
+
+    Staging becomes views in `<base>_staging`, the mart a table in
+    `<base>_marts`, so the mart is computed once and the checks read it back.
+    """
+    staging = layer(spark, base, "staging", location)
+    marts = layer(spark, base, "marts", location)
+    names = {
+        "stg_events": f"{staging}.stg_events",
+        "stg_users": f"{staging}.stg_users",
+        "daily_summary": f"{marts}.daily_summary",
+    }
+    create_view(spark, names["stg_events"], _STG_EVENTS_VIEW.format(source=raw_events))
+    create_view(spark, names["stg_users"], _STG_USERS_VIEW.format(source=users))
+    mart = daily_summary(spark.table(names["stg_events"]), spark.table(names["stg_users"]))
+    materialize(mart, names["daily_summary"], "table")
+    return names
+
+
+def check_models(
+    spark: SparkSession, base: str, names: dict[str, str], location: str | None = None
+) -> DataFrame:
+    """Run the declared checks on built models and keep what they object to.
+
+    The failing rows of each check go to their own table in `<base>_checks`.
+    """
+    audit = layer(spark, base, "checks", location)
+    models = {model: spark.table(name) for model, name in names.items()}
+    for check in CHECKS:
+        rows = failing_rows(models[check.model], check)
+        store_failures(rows, f"{audit}.{check.name}_{check.model}_{check.column}")
+    return run_checks(models, CHECKS)

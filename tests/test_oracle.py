@@ -1,0 +1,50 @@
+"""Every registered query against its DuckDB statement."""
+
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+# Spark type name of each DuckDB type in the results.
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    actual = contract.queries()[name](spark, SF_DIR)
+    expected = duck.sql(contract.oracle_sql()[name])
+    schema = {c: TYPES[str(t)] for c, t in zip(expected.columns, expected.types)}
+    assert dict(actual.dtypes) == schema
+    columns = sorted(schema)
+    rows = sorted(map(repr, map(tuple, actual.select(*columns).collect())))
+    assert rows == sorted(map(repr, expected.select(*columns).fetchall()))
+
+
+def test_flagship(spark):
+    mart = contract.entry(spark)
+    assert mart.count() == 248
+    assert mart.columns == ["event_date", "country", "event_count", "unique_users", "purchase_count"]
