@@ -114,11 +114,20 @@ def check_models(
 ) -> DataFrame:
     """Run the declared checks on built models and keep what they object to.
 
-    The failing rows of each check go to their own table in `<base>_checks`.
+    The report goes to `<base>_checks.report`. The failing rows of a check go to
+    a table of their own beside it; only checks that fail read their model a
+    second time, and a check that passes leaves no rows of an earlier run.
     """
     audit = layer(spark, base, "checks", location)
     models = {model: spark.table(name) for model, name in names.items()}
+    report = f"{audit}.report"
+    materialize(run_checks(models, CHECKS), report, "table")
+    failed = spark.table(report).filter("failures > 0")
+    failing = {Check(r.model, r.column_name, r.check_name) for r in failed.collect()}
     for check in CHECKS:
-        rows = failing_rows(models[check.model], check)
-        store_failures(rows, f"{audit}.{check.name}_{check.model}_{check.column}")
-    return run_checks(models, CHECKS)
+        table = f"{audit}.{check.name}_{check.model}_{check.column}"
+        if check in failing:
+            store_failures(failing_rows(models[check.model], check), table)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.table(report)

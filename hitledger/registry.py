@@ -35,7 +35,12 @@ def event_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def purchases_in_countries(spark: SparkSession, d: str) -> DataFrame:
-    return exploration.purchases_in_countries(with_country(spark, d, raw_events(spark, d)))
+    purchases = raw_events(spark, d, only="purchase")
+    return exploration.purchases_in_countries(with_country(spark, d, purchases))
+
+
+def purchases_with_user(spark: SparkSession, d: str) -> DataFrame:
+    return exploration.purchases_with_user(raw_events(spark, d, only="purchase"), users(spark, d))
 
 
 def refresh_daily_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +176,7 @@ QUERIES: dict[str, Query] = {
     "event_sample": event_sample,
     "purchases_in_countries": purchases_in_countries,
     "event_types": lambda s, d: exploration.event_types(raw_events(s, d)),
-    "purchases_with_user": lambda s, d: exploration.purchases_with_user(raw_events(s, d), users(s, d)),
+    "purchases_with_user": purchases_with_user,
     "orphan_events": lambda s, d: exploration.orphan_events(raw_events(s, d), users(s, d)),
     "daily_event_counts": lambda s, d: exploration.daily_event_counts(raw_events(s, d)),
     "country_funnel": lambda s, d: exploration.country_funnel(raw_events(s, d), users(s, d)),

@@ -41,15 +41,19 @@ def _session_id(user_id: Column, day: Column) -> Column:
     return F.concat(F.lit("session_"), user_id.cast("string"), F.lit("_"), F.date_format(day, "yyyyMMdd"))
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
     """Events under their access-log names, without the country.
 
     Few queries read the country of an event and it costs a join, so those
-    add it with `with_country`.
+    add it with `with_country`. The names of event types are mapped, which
+    hides a filter on them from Parquet; `only` sets it on the source column,
+    for a type that goes by the same name there.
     """
     source = _table(spark, sf_dir, "events")
     user_id = F.col("user_id")
     event_type = F.col("event_type")
+    if only:
+        source = source.filter(event_type == only)
     return source.select(
         "event_id",
         "user_id",
