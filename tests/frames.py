@@ -1,0 +1,36 @@
+"""Small hand-made frames in the shapes of the base tables."""
+
+import datetime as dt
+
+from pyspark.sql import types as T
+
+from hitledger import schemas
+
+
+def nullable(schema):
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def at(day, time="12:00:00"):
+    return dt.datetime.fromisoformat(f"{day} {time}")
+
+
+def events(spark, rows):
+    """Events from (event_id, user_id, event_type, time) and maybe a session id."""
+    full = []
+    for event_id, user_id, event_type, time, *session in rows:
+        session_id = session[0] if session else f"session_{user_id}"
+        full.append((event_id, user_id, session_id, event_type, "/home", time, "mobile", "US"))
+    return spark.createDataFrame(full, nullable(schemas.RAW_EVENTS))
+
+
+def users(spark, rows):
+    """Users from (user_id, country) and maybe a plan."""
+    signup = dt.date(2024, 1, 1)
+    full = [(u, signup, country, plan[0] if plan else "free", True) for u, country, *plan in rows]
+    return spark.createDataFrame(full, nullable(schemas.USERS))
+
+
+def rows(df):
+    """All rows as tuples, in an order of their own."""
+    return sorted(map(tuple, df.collect()), key=repr)

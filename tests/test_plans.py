@@ -1,0 +1,217 @@
+"""What the test tables do not show: bounds, NULLs, duplicates, calendar edges."""
+
+import datetime as dt
+from collections import defaultdict
+
+import pytest
+from frames import at, events, rows, users
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from hitledger.operators.profiling import describe_counts, value_counts
+from hitledger.plans import exploration, jobs, load_verification, models, reports, views
+from hitledger.sources.driver_tables import AS_OF, raw_events
+from hitledger.sources.driver_tables import users as driver_users
+
+SF_DIR = "/root/testdata/sf0.01"
+DAY = dt.date(2024, 1, 10)
+
+
+@pytest.mark.parametrize(
+    "purchases, buyers, rate, tier, per_user",
+    [
+        (1, 20, 0.05, "High", 1.05),
+        (1, 50, 0.02, "Medium", 1.02),
+        (1, 40, 0.025, "Medium", 1.03),  # 1.025, half up
+        (1, 51, 0.0196, "Low", 1.02),
+        (0, 3, 0.0, "Low", 1.0),
+    ],
+)
+def test_tier_bounds(spark, purchases, buyers, rate, tier, per_user):
+    seen = [(i, i, "page_view", at(DAY)) for i in range(buyers)]
+    bought = [(1000 + i, i, "purchase", at(DAY)) for i in range(purchases)]
+    members = users(spark, [(i, "US", "premium") for i in range(buyers)])
+    (row,) = reports.conversion_tiers(events(spark, seen + bought), members, DAY).collect()
+    assert (row.user_count, row.purchase_count) == (buyers, purchases)
+    assert (row.purchase_rate, row.conversion_tier) == (rate, tier)
+    assert row.events_per_user == per_user
+
+
+def test_conversion_window_starts_at_midnight(spark):
+    frame = events(
+        spark,
+        [(1, 1, "click", at("2024-01-09", "23:59:59")), (2, 1, "click", at("2024-01-10", "00:00:00"))],
+    )
+    report = reports.conversion_tiers(frame, users(spark, [(1, "US")]), dt.date(2024, 1, 11), days=1)
+    assert [(r.event_date, r.event_count) for r in report.collect()] == [(DAY, 1)]
+
+
+def test_heavy_users_exclude_the_bound(spark):
+    many = [(i, 1, "click", at(DAY)) for i in range(101)]
+    bound = [(200 + i, 2, "click", at(DAY)) for i in range(100)]
+    assert rows(exploration.heavy_users(events(spark, many + bound))) == [(1, 101)]
+
+
+def test_day_without_purchase_has_rate_zero(spark):
+    frame = events(
+        spark,
+        [
+            (1, 1, "click", at("2024-01-10")),
+            (2, 1, "purchase", at("2024-01-11")),
+            (3, 2, "click", at("2024-01-11")),
+            (4, 2, "click", at("2024-01-11")),
+        ],
+    )
+    assert rows(reports.daily_purchase_rate(frame)) == [
+        (dt.date(2024, 1, 10), 1, 1, 0, 0.0),
+        (dt.date(2024, 1, 11), 3, 2, 1, 0.3333),
+    ]
+
+
+def test_purchase_without_a_time_joins_no_day(spark):
+    frame = events(spark, [(1, 1, "purchase", None)])
+    assert rows(reports.daily_purchase_rate(frame)) == [(None, 1, 1, 0, 0.0)]
+
+
+def test_week_spans_the_year_end(spark):
+    daily = spark.createDataFrame(
+        [
+            (dt.date(2023, 12, 31), 5, 2),
+            (dt.date(2024, 1, 1), 7, 3),
+            (dt.date(2024, 1, 7), 1, 1),
+        ],
+        "event_date date, event_count bigint, unique_users bigint",
+    )
+    assert rows(jobs.weekly_summary(daily)) == [
+        (dt.date(2023, 12, 25), dt.date(2023, 12, 31), 5, 2),
+        (dt.date(2024, 1, 1), dt.date(2024, 1, 7), 8, 4),
+    ]
+
+
+def test_staging_drops_events_without_keys(spark):
+    frame = events(
+        spark,
+        [(1, 1, "click", at(DAY)), (None, 1, "click", at(DAY)), (2, None, "click", at(DAY))],
+    )
+    staged = models.stg_events(frame)
+    assert [(r.event_id, r.event_date) for r in staged.collect()] == [(1, DAY)]
+
+
+def test_staging_upper_cases_countries(spark):
+    staged = models.stg_users(users(spark, [(1, "us"), (2, "JP"), (3, None)]))
+    assert [r.country for r in staged.orderBy("user_id").collect()] == ["US", "JP", None]
+
+
+def test_orphans_include_events_without_user(spark):
+    frame = events(spark, [(1, 1, "click", at(DAY)), (2, 9, "click", at(DAY)), (3, None, "click", at(DAY))])
+    members = users(spark, [(1, "US"), (1, "JP")])
+    assert rows(exploration.orphan_events(frame, members)) == [(2, 9, None), (3, None, None)]
+    assert rows(load_verification.orphaned_events(frame, members)) == [(2,)]
+
+
+def test_no_orphans_counts_zero(spark):
+    frame = events(spark, [(1, 1, "click", at(DAY))])
+    assert rows(load_verification.orphaned_events(frame, users(spark, [(1, "US")]))) == [(0,)]
+
+
+def test_value_counts_leave_out_nulls(spark):
+    members = users(spark, [(1, "US", "free"), (2, None, "free"), (3, "US", "premium")])
+    assert rows(value_counts(members, ["country", "plan_type"], "users")) == [
+        ("users.country", "US", 2),
+        ("users.plan_type", "free", 2),
+        ("users.plan_type", "premium", 1),
+    ]
+
+
+def test_describe_interpolates_quartiles(spark):
+    frame = spark.createDataFrame([(v,) for v in (1, 2, 4, 10, None)], "page_views bigint")
+    (row,) = describe_counts(frame, "page_views").collect()
+    assert (row["count"], row["mean"], row["min"], row["max"]) == (4, 4.25, 1, 10)
+    assert (row.p25, row.p50, row.p75) == (1.75, 3.0, 5.5)
+    assert row["std"] == pytest.approx(4.031128874149275)
+
+
+def test_describe_of_one_and_no_rows(spark):
+    one = spark.createDataFrame([(3,)], "page_views bigint")
+    assert rows(describe_counts(one, "page_views")) == [(1, 3.0, None, 3, 3.0, 3.0, 3.0, 3)]
+    none = one.filter("page_views > 3")
+    assert rows(describe_counts(none, "page_views")) == [(0, *[None] * 7)]
+
+
+def test_totals_agree_across_reports(spark):
+    raw, members = raw_events(spark, SF_DIR), driver_users(spark, SF_DIR)
+    daily = views.daily_events(raw)
+    total = raw.count()
+    assert daily.agg({"event_count": "sum"}).first()[0] == total
+    assert jobs.weekly_summary(daily).agg({"event_count": "sum"}).first()[0] == total
+    country = views.country_daily_summary(raw, members)
+    funnel = exploration.country_funnel(raw, members)
+    sums = country.groupBy("country").agg({"event_count": "sum"})
+    assert rows(sums) == rows(funnel.select("country", "total_events"))
+    mart = models.model_frames(raw, members)["daily_summary"]
+    assert rows(mart) == rows(country)
+    assert reports.recent_daily_events(raw, AS_OF).count() == 8
+
+
+# Few ids and users, so that ids repeat, users are missing or there twice.
+EVENT_ROWS = st.lists(
+    st.tuples(
+        st.integers(1, 6),
+        st.one_of(st.none(), st.integers(1, 4)),
+        st.sampled_from(["purchase", "page_view"]),
+        st.sampled_from([at("2024-01-10"), at("2024-01-11"), None]),
+    ),
+    max_size=25,
+)
+USER_ROWS = st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["US", "jp", None])), max_size=6)
+FEW = settings(
+    max_examples=12,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+
+
+def joined(event_rows, user_rows):
+    """Brute-force inner join, grouped by day and country."""
+    groups = defaultdict(list)
+    for event in event_rows:
+        for user_id, country in user_rows:
+            if event[1] == user_id:
+                groups[event[3] and event[3].date(), country].append(event)
+    return groups
+
+
+@FEW
+@given(EVENT_ROWS, USER_ROWS)
+def test_country_view_equals_brute_force(spark, event_rows, user_rows):
+    expected = [
+        (
+            day,
+            country,
+            len(group),
+            len({e[1] for e in group}),
+            len({e[0] for e in group if e[2] == "purchase"}),
+        )
+        for (day, country), group in joined(event_rows, user_rows).items()
+    ]
+    view = views.country_daily_summary(events(spark, event_rows), users(spark, user_rows))
+    assert rows(view) == sorted(expected, key=repr)
+
+
+@FEW
+@given(EVENT_ROWS, USER_ROWS)
+def test_mart_equals_brute_force(spark, event_rows, user_rows):
+    upper = [(u, c and c.upper()) for u, c in user_rows]
+    expected = [
+        (
+            day,
+            country,
+            len(group),
+            len({e[1] for e in group}),
+            len([e for e in group if e[2] == "purchase"]),
+        )
+        for (day, country), group in joined(event_rows, upper).items()
+    ]
+    frames = models.model_frames(events(spark, event_rows), users(spark, user_rows))
+    assert rows(frames["daily_summary"]) == sorted(expected, key=repr)
