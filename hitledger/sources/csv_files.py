@@ -35,14 +35,14 @@ def load_csv(
     """Read files into the schema, in column order; the load fails as a whole.
 
     A value that does not parse, a wrong number of fields, a NULL in a required
-    column or a text over its declared length raises. All columns are parsed
-    whichever are read, so a bad record cannot hide in one that a query leaves
-    out. `audit_column` is filled with the load time. A gzip file is one task;
-    `spread` evens the rows out afterwards, for a load of few large files.
+    column or a text over its declared length raises, once its column is read:
+    append the frame to a table to have every column checked. `audit_column` is
+    filled with the load time. A gzip file is one task; `spread` evens the rows
+    out afterwards, for a load of few large files.
     """
     rows = (
         spark.read.schema(schema)
-        .options(**_FORMAT, mode="FAILFAST", columnPruning=False)
+        .options(**_FORMAT, mode="FAILFAST")
         .csv(path)
         .select(*[_enforced(field) for field in schema.fields])
     )
