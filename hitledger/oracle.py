@@ -165,6 +165,8 @@ _STATEMENTS = {
         UNION ALL SELECT 'SESSIONS', count(*) FROM sessions
         UNION ALL SELECT 'RAW_EVENTS', count(*) FROM raw_events
     """,
+    "users_read_back": "SELECT * FROM users ORDER BY user_id LIMIT 5",
+    "sessions_read_back": "SELECT * FROM sessions ORDER BY session_id LIMIT 5",
     "orphaned_sessions": """
         SELECT count(*) AS orphaned_sessions FROM sessions WHERE user_id NOT IN (SELECT user_id FROM users)
     """,

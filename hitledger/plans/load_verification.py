@@ -9,6 +9,11 @@ from hitledger.operators.checks import row_counts
 from hitledger.operators.integrity import orphan_count
 
 
+def read_back(table: DataFrame, key: str, limit: int = 5) -> DataFrame:
+    """A few rows of a loaded table, those with the lowest keys."""
+    return table.orderBy(key).limit(limit)
+
+
 def table_row_counts(users: DataFrame, sessions: DataFrame, raw_events: DataFrame) -> DataFrame:
     return row_counts({"USERS": users, "SESSIONS": sessions, "RAW_EVENTS": raw_events})
 

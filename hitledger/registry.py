@@ -43,6 +43,17 @@ def purchases_with_user(spark: SparkSession, d: str) -> DataFrame:
     return exploration.purchases_with_user(raw_events(spark, d, only="purchase"), users(spark, d))
 
 
+def v_daily_events(spark: SparkSession, d: str) -> DataFrame:
+    catalog.register_view(views.daily_events(raw_events(spark, d)), "v_daily_events")
+    return spark.table("v_daily_events")
+
+
+def v_country_daily_summary(spark: SparkSession, d: str) -> DataFrame:
+    view = views.country_daily_summary(raw_events(spark, d), users(spark, d))
+    catalog.register_view(view, "v_country_daily_summary")
+    return spark.table("v_country_daily_summary")
+
+
 def refresh_daily_summary(spark: SparkSession, d: str) -> DataFrame:
     database, _ = _database(spark, d, "daily")
     table = f"{database}.daily_summary"
@@ -186,11 +197,11 @@ QUERIES: dict[str, Query] = {
     "conversion_tiers": lambda s, d: reports.conversion_tiers(
         raw_events(s, d), users(s, d), AS_OF, days=14
     ),
-    "v_daily_events": lambda s, d: views.daily_events(raw_events(s, d)),
-    "v_daily_events_recent": lambda s, d: views.recent_days(views.daily_events(raw_events(s, d)), AS_OF),
-    "v_country_daily_summary": lambda s, d: views.country_daily_summary(raw_events(s, d), users(s, d)),
+    "v_daily_events": v_daily_events,
+    "v_daily_events_recent": lambda s, d: views.recent_days(v_daily_events(s, d), AS_OF),
+    "v_country_daily_summary": v_country_daily_summary,
     "country_purchase_rate": lambda s, d: views.country_purchase_rate(
-        views.country_daily_summary(raw_events(s, d), users(s, d)), AS_OF
+        v_country_daily_summary(s, d), AS_OF
     ),
     "refresh_daily_summary": refresh_daily_summary,
     "weekly_summary": weekly_summary,
@@ -202,6 +213,8 @@ QUERIES: dict[str, Query] = {
     "table_row_counts": lambda s, d: load_verification.table_row_counts(
         users(s, d), sessions(s, d), raw_events(s, d)
     ),
+    "users_read_back": lambda s, d: load_verification.read_back(users(s, d), "user_id"),
+    "sessions_read_back": lambda s, d: load_verification.read_back(sessions(s, d), "session_id"),
     "orphaned_sessions": lambda s, d: load_verification.orphaned_sessions(sessions(s, d), users(s, d)),
     "orphaned_events": lambda s, d: load_verification.orphaned_events(raw_events(s, d), users(s, d)),
     "orphaned_events_by_session": lambda s, d: load_verification.orphaned_events_by_session(
@@ -212,10 +225,10 @@ QUERIES: dict[str, Query] = {
     "top_users": lambda s, d: load_verification.top_users(raw_events(s, d)),
     "device_session_stats": lambda s, d: load_verification.device_session_stats(sessions(s, d)),
     "null_dates_check": lambda s, d: checks.null_count(
-        views.daily_events(raw_events(s, d)), "event_date", "null_dates"
+        v_daily_events(s, d), "event_date", "null_dates"
     ),
     "negative_counts_check": lambda s, d: checks.negative_count(
-        views.daily_events(raw_events(s, d)), "event_count", "negative_counts"
+        v_daily_events(s, d), "event_count", "negative_counts"
     ),
     "model_checks": model_checks,
     "accepted_values_check": accepted_values_check,

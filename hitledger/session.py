@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Building a frame need not note the Python call site of every expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

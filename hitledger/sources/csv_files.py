@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitledger.sources.catalog import with_audit
+
 _FORMAT = {
     "header": True,
     "sep": ",",
@@ -49,7 +51,7 @@ def load_csv(
     if spread:
         rows = rows.hint("rebalance")
     if audit_column:
-        rows = rows.withColumn(audit_column, F.current_timestamp())
+        rows = with_audit(rows, audit_column)
     return rows
 
 

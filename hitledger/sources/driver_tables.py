@@ -11,36 +11,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.functions.measures import is_type
-
 # The last day of the test events, used wherever a query asks for "today".
 AS_OF = dt.date(2024, 1, 30)
 
-# Country codes, indexed by the nation key modulo their number.
-COUNTRIES = ["US", "JP", "GB", "DE", "FR", "CA", "AU", "SG", "IN", "BR"]
-# Devices, indexed by the user id modulo their number.
-DEVICES = ["desktop", "mobile", "tablet"]
-FIRST_SIGNUP = dt.date(2023, 8, 3)
-SIGNUP_DAYS = 181
+# Country codes by nation key, devices by user id, both modulo
+# their number; session names; and the first of the spread signup dates.
+_COUNTRY = "element_at(array('US', 'JP', 'GB', 'DE', 'FR', 'CA', 'AU', 'SG', 'IN', 'BR'), c_nationkey % 10 + 1)"
+_DEVICE = "element_at(array('desktop', 'mobile', 'tablet'), int(user_id % 3) + 1)"
+_SESSION = "concat('session_', user_id, '_', date_format({day}, 'yyyyMMdd'))"
+_SIGNUP = "date_add(DATE'2023-08-03', int(c_custkey % 181))"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    choices = F.array(*[F.lit(v) for v in values])
-    return F.element_at(choices, (index % len(values) + 1).cast("int"))
-
-
-def _session_id(user_id: Column, day: Column) -> Column:
-    """One session per user and day."""
-    return F.concat(F.lit("session_"), user_id.cast("string"), F.lit("_"), F.date_format(day, "yyyyMMdd"))
-
-
 def raw_events(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
     """Events under their access-log names, without the country.
 
@@ -50,47 +38,35 @@ def raw_events(spark: SparkSession, sf_dir: str, only: str | None = None) -> Dat
     for a type that goes by the same name there.
     """
     source = _table(spark, sf_dir, "events")
-    user_id = F.col("user_id")
-    event_type = F.col("event_type")
     if only:
-        source = source.filter(event_type == only)
-    return source.select(
+        source = source.filter(F.col("event_type") == only)
+    return source.selectExpr(
         "event_id",
         "user_id",
-        _session_id(user_id, F.to_date("ts")).alias("session_id"),
-        F.when(event_type == "view", "page_view")
-        .when(event_type == "signup", "sign_up")
-        .otherwise(event_type)
-        .alias("event_type"),
-        F.lit(None).cast("string").alias("page_url"),
-        F.col("ts").alias("event_timestamp"),
-        _pick(DEVICES, user_id).alias("device_type"),
+        f"{_SESSION.format(day='ts')} AS session_id",
+        """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'sign_up'
+           ELSE event_type END AS event_type""",
+        "string(NULL) AS page_url",
+        "ts AS event_timestamp",
+        f"{_DEVICE} AS device_type",
     )
 
 
 def with_country(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
     """Add the country of the customer behind each event, if there is one."""
-    homes = _table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"),
-        _pick(COUNTRIES, F.col("c_nationkey")).alias("country"),
-    )
+    homes = _table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", f"{_COUNTRY} AS country")
     return events.join(homes, "user_id", "left").select(*events.columns, "country")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in credit; events of the others are left without a user."""
-    key = F.col("c_custkey")
-    balance = F.col("c_acctbal")
-    return (
-        _table(spark, sf_dir, "customer")
-        .filter(balance > 0)
-        .select(
-            key.alias("user_id"),
-            F.date_add(F.lit(FIRST_SIGNUP), (key % SIGNUP_DAYS).cast("int")).alias("signup_date"),
-            _pick(COUNTRIES, F.col("c_nationkey")).alias("country"),
-            F.when(F.col("c_mktsegment") == "BUILDING", "premium").otherwise("free").alias("plan_type"),
-            (balance > 2000).alias("is_active"),
-        )
+    customers = _table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    return customers.selectExpr(
+        "c_custkey AS user_id",
+        f"{_SIGNUP} AS signup_date",
+        f"{_COUNTRY} AS country",
+        "if(c_mktsegment = 'BUILDING', 'premium', 'free') AS plan_type",
+        "c_acctbal > 2000 AS is_active",
     )
 
 
@@ -100,22 +76,20 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Grouped by the two narrow keys every other column follows from; the session
     and device names are built after the shuffle.
     """
-    events = raw_events(spark, sf_dir)
-    user_id = F.col("user_id")
-    return (
-        events.groupBy("user_id", F.to_date("event_timestamp").alias("day"))
+    user_days = (
+        _table(spark, sf_dir, "events")
+        .groupBy("user_id", F.expr("date(ts)").alias("day"))
         .agg(
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-            F.count_if(is_type("page_view")).alias("page_views"),
-        )
-        .filter(F.col("page_views") >= 1)
-        .select(
-            _session_id(user_id, F.col("day")).alias("session_id"),
-            "user_id",
-            "session_start",
-            "session_end",
-            "page_views",
-            _pick(DEVICES, user_id).alias("device_type"),
+            F.min("ts").alias("session_start"),
+            F.max("ts").alias("session_end"),
+            F.expr("count_if(event_type = 'view')").alias("page_views"),
         )
     )
+    return user_days.filter("page_views >= 1").selectExpr(
+        f"{_SESSION.format(day='day')} AS session_id",
+        "user_id",
+        "session_start",
+        "session_end",
+        "page_views",
+        f"{_DEVICE} AS device_type",
+    )
