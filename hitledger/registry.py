@@ -17,7 +17,7 @@ from hitledger.operators import checks, integrity, profiling
 from hitledger.plans import exploration, jobs, load_verification, models, reports, views
 from hitledger.sources import catalog, csv_files, layout
 from hitledger.sources.driver_tables import AS_OF, raw_events, sessions, users, with_country
-from hitledger.sources.scratch import scratch_path
+from hitledger.sources.scratch import ensure_checkpoints, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,7 +130,8 @@ def appended_twice(spark: SparkSession, d: str) -> DataFrame:
     database, _ = _database(spark, d, "append")
     table = f"{database}.daily_summary"
     jobs.create_daily_summary(spark, table)
-    daily = views.daily_events(raw_events(spark, d))
+    ensure_checkpoints(spark)
+    daily = views.daily_events(raw_events(spark, d)).checkpoint()
     catalog.append(daily, table)
     catalog.append(daily, table)
     return (
