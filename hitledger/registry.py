@@ -17,7 +17,7 @@ from hitledger.operators import checks, integrity, profiling
 from hitledger.plans import exploration, jobs, load_verification, models, reports, views
 from hitledger.sources import catalog, csv_files, layout
 from hitledger.sources.driver_tables import AS_OF, raw_events, sessions, users, with_country
-from hitledger.sources.scratch import ensure_checkpoints, scratch_path
+from hitledger.sources.scratch import ensure_checkpoints, scratch_name, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,8 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _database(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
     """A database of this source folder, and where it lives."""
     location = scratch_path(spark, name, sf_dir)
-    folder, application = location.split("/")[-2], spark.sparkContext.applicationId
-    base = f"hitledger_{name}_{application}_{folder}".replace("-", "_")
+    base = scratch_name(spark, name, sf_dir)
     return catalog.create_database(spark, base, f"{location}/{base}"), location
 
 

@@ -1,8 +1,10 @@
 """Typed CSV in and out.
 
 Files have a header line, commas, optional double quotes (doubled inside a
-quoted field) and one record per line; dates and times have fixed formats. Any
-compression Spark knows by its suffix, gzip included, is read as it is.
+quoted field) and, as a rule, one record per line; dates and times have fixed
+formats. A field without content is NULL, and so is an unquoted `\\N`; a quoted
+one without content is an empty text. Any compression Spark knows by its suffix,
+gzip included, is read as it is.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ _FORMAT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# A null marker other than "" keeps empty quoted text apart from a missing one.
+_READ = {"mode": "FAILFAST", "nullValue": "\\N"}
 
 
 def load_csv(
@@ -33,6 +37,7 @@ def load_csv(
     schema: T.StructType,
     audit_column: str | None = None,
     spread: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read files into the schema, in column order; the load fails as a whole.
 
@@ -40,11 +45,12 @@ def load_csv(
     column or a text over its declared length raises, once its column is read:
     append the frame to a table to have every column checked. `audit_column` is
     filled with the load time. A gzip file is one task; `spread` evens the rows
-    out afterwards, for a load of few large files.
+    out afterwards, for a load of few large files. `multiline` allows line ends
+    inside quotes, at the price that plain files are one task each as well.
     """
     rows = (
         spark.read.schema(schema)
-        .options(**_FORMAT, mode="FAILFAST")
+        .options(**_FORMAT, **_READ, multiLine=multiline)
         .csv(path)
         .select(*[_enforced(field) for field in schema.fields])
     )

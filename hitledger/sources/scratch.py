@@ -22,5 +22,13 @@ def scratch_path(spark: SparkSession, name: str, source: str) -> str:
 
     It is the same on each call, so that repeated runs overwrite their files.
     """
-    application = spark.sparkContext.applicationId
-    return f"{ensure_checkpoints(spark)}/{application}/{zlib.crc32(source.encode()):08x}/{name}"
+    return f"{ensure_checkpoints(spark)}/{_run(spark, source)}/{name}"
+
+
+def scratch_name(spark: SparkSession, name: str, source: str) -> str:
+    """A database name for this application and source folder."""
+    return f"hitledger_{name}_{_run(spark, source)}".replace("-", "_")
+
+
+def _run(spark: SparkSession, source: str) -> str:
+    return f"{spark.sparkContext.applicationId}_{zlib.crc32(source.encode()):08x}"

@@ -34,3 +34,8 @@ def users(spark, rows):
 def rows(df):
     """All rows as tuples, in an order of their own."""
     return sorted(map(tuple, df.collect()), key=repr)
+
+
+def plan_of(df):
+    """The physical plan, the final one if the frame has been computed."""
+    return df._jdf.queryExecution().executedPlan().toString()

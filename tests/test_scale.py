@@ -3,7 +3,7 @@
 from contextlib import contextmanager
 
 import pytest
-from frames import rows
+from frames import plan_of, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -32,10 +32,6 @@ def conf(spark, **settings):
                 spark.conf.set(key, value)
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def shuffles(plan):
     return plan.count("Exchange hashpartitioning")
 

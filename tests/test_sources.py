@@ -4,15 +4,16 @@ import datetime as dt
 import gzip
 
 import pytest
-from frames import at, events, rows, users
+from frames import at, events, plan_of, rows, users
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from hitledger import schemas
-from hitledger.plans import jobs, models, views
+from hitledger.plans import jobs, models, reports, views
 from hitledger.sources import catalog, csv_files, layout
-from hitledger.sources.driver_tables import raw_events
+from hitledger.sources.driver_tables import AS_OF, raw_events
+from hitledger.sources.driver_tables import users as driver_users
 from hitledger.sources.scratch import ensure_checkpoints, scratch_path
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -57,14 +58,27 @@ def test_csv_gzip_quoted_comma_and_nulls(spark, tmp_path):
         out.write(EVENT_HEADER)
         out.write('1,7,s1,click,"/a,b ""c""",2024-01-10 08:09:10,mobile,US\n')
         out.write("2,7,s1,click,,2024-01-10 08:09:11,,\n")
+        out.write('3,7,s1,click,"",2024-01-10 08:09:12, a ,US\n')
+        out.write("4,7,s1,click,\\N,2024-01-10 08:09:13,tablet,\n")
     for spread in (False, True):
         loaded = csv_files.load_csv(spark, path, schemas.RAW_EVENTS, spread=spread)
         assert rows(loaded) == [
             (1, 7, "s1", "click", '/a,b "c"', at(DAY, "08:09:10"), "mobile", "US"),
             (2, 7, "s1", "click", None, at(DAY, "08:09:11"), None, None),
+            (3, 7, "s1", "click", "", at(DAY, "08:09:12"), " a ", "US"),
+            (4, 7, "s1", "click", None, at(DAY, "08:09:13"), "tablet", None),
         ]
 
 
+def test_csv_field_over_two_lines(spark, tmp_path):
+    path = tmp_path / "raw_events.csv"
+    path.write_text(EVENT_HEADER + '1,7,s1,click,"/a\n/b",2024-01-10 08:09:10,mobile,US\n')
+    loaded = csv_files.load_csv(spark, str(path), schemas.RAW_EVENTS, multiline=True)
+    assert [r.page_url for r in loaded.collect()] == ["/a\n/b"]
+    with pytest.raises(FAILED_JOB):
+        csv_files.load_csv(spark, str(path), schemas.RAW_EVENTS).collect()
+
+
 @pytest.mark.parametrize(
     "line",
     [
@@ -99,6 +113,16 @@ def test_csv_round_trip_keeps_whole_seconds(spark, tmp_path):
     assert [r.event_timestamp for r in loaded.collect()] == [at(DAY, "01:02:03")]
 
 
+def test_csv_round_trip_keeps_odd_text(spark, tmp_path):
+    texts = [None, "", " a ", 'say "hi"', "a,b", "\\", "\\n", "ü"]
+    frame = events(spark, [(i, 1, "click", at(DAY)) for i in range(len(texts))])
+    urls = spark.createDataFrame(list(enumerate(texts)), "event_id bigint, page_url string")
+    frame = frame.drop("page_url").join(urls, "event_id").select(*schemas.RAW_EVENTS.names)
+    csv_files.save_csv(frame, str(tmp_path / "out"))
+    loaded = csv_files.load_csv(spark, str(tmp_path / "out"), schemas.RAW_EVENTS)
+    assert rows(loaded) == rows(frame)
+
+
 def test_create_table_is_typed_and_replaces(spark, base):
     table = f"{base}.users"
     for _ in range(2):
@@ -246,10 +270,35 @@ def test_event_layout_prunes_days_and_splits_a_hot_one(spark, tmp_path):
     read = layout.read_events(spark, path)
     assert read.count() == 10_000
     assert dict(read.dtypes)["event_date"] == "date"
-    recent = views.recent_days(read.groupBy("event_date").count(), dt.date(2024, 1, 12), days=1)
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert rows(recent) == [(dt.date(2024, 1, 11), 1_000)]
+    recent = reports.recent_daily_events(read, dt.date(2024, 1, 12), days=1)
+    assert "PartitionFilters: [isnotnull(event_date" in plan_of(recent)
+    assert rows(recent) == [(dt.date(2024, 1, 11), 1_000, 50)]
+
+
+def test_reports_prune_the_days_of_the_layout(spark, tmp_path):
+    path = str(tmp_path / "events")
+    raw = raw_events(spark, SF_DIR)
+    layout.write_events(raw, path)
+    laid_out = layout.read_events(spark, path, raw.schema)
+    members = driver_users(spark, SF_DIR)
+    for report in (
+        lambda e: reports.recent_daily_events(e, AS_OF),
+        lambda e: reports.conversion_tiers(e, members, AS_OF, days=14),
+        lambda e: views.recent_days(views.daily_events(e), AS_OF),
+        lambda e: views.country_purchase_rate(views.country_daily_summary(e, members), AS_OF),
+    ):
+        assert "PartitionFilters: [isnotnull(event_date" in plan_of(report(laid_out))
+        assert rows(report(laid_out)) == rows(report(raw))
+    assert rows(models.stg_events(laid_out)) == rows(models.stg_events(raw))
+
+
+def test_reports_look_back_from_today_by_default(spark):
+    today = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    old = today - dt.timedelta(days=40)
+    frame = events(spark, [(1, 1, "click", today), (2, 1, "click", old)])
+    assert [r.event_count for r in reports.recent_daily_events(frame).collect()] == [1]
+    tiers = reports.conversion_tiers(frame, users(spark, [(1, "US")]))
+    assert [r.event_count for r in tiers.collect()] == [1]
 
 
 def test_scratch_lies_in_the_named_checkpoint_folder(spark):
