@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from hitledger.functions.measures import is_type
 from hitledger.operators.integrity import orphans
 from hitledger.operators.rollups import daily_users
+from hitledger.operators.sampling import lowest_rows
 
 
 def event_sample(raw_events: DataFrame, limit: int = 10) -> DataFrame:
     """Some events, all columns; the lowest ids, so that runs agree."""
-    return raw_events.orderBy("event_id").limit(limit)
+    return lowest_rows(raw_events, "event_id", limit)
 
 
 def purchases_in_countries(

@@ -109,6 +109,23 @@ def test_orphans_include_events_without_user(spark):
     assert rows(load_verification.orphaned_events(frame, members)) == [(2,)]
 
 
+@pytest.mark.parametrize(
+    "ids, sampled",
+    [
+        ([5, 3, 9, 1], [1, 3, 5]),
+        ([5, 3, 3, 3, 3], [3, 3, 3]),
+        ([5, None, None, 4], [4, 5, None]),
+        ([None, None], [None, None]),
+        ([], []),
+    ],
+)
+def test_event_sample_takes_the_lowest_ids(spark, ids, sampled):
+    frame = events(spark, [(i, 1, "click", at(DAY)) for i in ids])
+    sample = exploration.event_sample(frame, limit=3)
+    assert [r.event_id for r in sample.collect()] == sampled
+    assert sample.columns == frame.columns
+
+
 def test_no_orphans_counts_zero(spark):
     frame = events(spark, [(1, 1, "click", at(DAY))])
     assert rows(load_verification.orphaned_events(frame, users(spark, [(1, "US")]))) == [(0,)]

@@ -70,6 +70,11 @@ def test_filters_and_columns_reach_the_scan(spark, name, pushed, columns):
     assert [c.rstrip("0123456789L") for c in read.split(",")] == columns.split(",")
 
 
+def test_sample_reads_whole_rows_below_a_bound_only(spark):
+    sample = exploration.event_sample(spark.read.parquet(f"{SF_DIR}/events.parquet"))
+    assert "LessThanOrEqual(event_id,ScalarSubquery" in plan_of(sample)
+
+
 def test_join_reuses_the_shuffle_of_the_counts(spark):
     """One shuffle per join side and one per final grouping."""
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
