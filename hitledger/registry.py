@@ -71,7 +71,10 @@ def weekly_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _built(spark: SparkSession, d: str, name: str) -> tuple[str, str, dict[str, str]]:
-    """Load the sources into typed tables and build the models over them."""
+    """Load the sources into typed tables and build the models over them.
+
+    No model reads the country of an event, so it stays empty in this load.
+    """
     base, location = _database(spark, d, name)
     loads = {
         "raw_events": (schemas.RAW_EVENTS, raw_events(spark, d)),

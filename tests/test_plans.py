@@ -1,12 +1,9 @@
 """What the test tables do not show: bounds, NULLs, duplicates, calendar edges."""
 
 import datetime as dt
-from collections import defaultdict
 
 import pytest
 from frames import at, events, rows, users
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 
 from hitledger.operators.profiling import describe_counts, value_counts
 from hitledger.plans import exploration, jobs, load_verification, models, reports, views
@@ -168,67 +165,3 @@ def test_totals_agree_across_reports(spark):
     mart = models.model_frames(raw, members)["daily_summary"]
     assert rows(mart) == rows(country)
     assert reports.recent_daily_events(raw, AS_OF).count() == 8
-
-
-# Few ids and users, so that ids repeat, users are missing or there twice.
-EVENT_ROWS = st.lists(
-    st.tuples(
-        st.integers(1, 6),
-        st.one_of(st.none(), st.integers(1, 4)),
-        st.sampled_from(["purchase", "page_view"]),
-        st.sampled_from([at("2024-01-10"), at("2024-01-11"), None]),
-    ),
-    max_size=25,
-)
-USER_ROWS = st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["US", "jp", None])), max_size=6)
-FEW = settings(
-    max_examples=12,
-    deadline=None,
-    derandomize=True,
-    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
-)
-
-
-def joined(event_rows, user_rows):
-    """Brute-force inner join, grouped by day and country."""
-    groups = defaultdict(list)
-    for event in event_rows:
-        for user_id, country in user_rows:
-            if event[1] == user_id:
-                groups[event[3] and event[3].date(), country].append(event)
-    return groups
-
-
-@FEW
-@given(EVENT_ROWS, USER_ROWS)
-def test_country_view_equals_brute_force(spark, event_rows, user_rows):
-    expected = [
-        (
-            day,
-            country,
-            len(group),
-            len({e[1] for e in group}),
-            len({e[0] for e in group if e[2] == "purchase"}),
-        )
-        for (day, country), group in joined(event_rows, user_rows).items()
-    ]
-    view = views.country_daily_summary(events(spark, event_rows), users(spark, user_rows))
-    assert rows(view) == sorted(expected, key=repr)
-
-
-@FEW
-@given(EVENT_ROWS, USER_ROWS)
-def test_mart_equals_brute_force(spark, event_rows, user_rows):
-    upper = [(u, c and c.upper()) for u, c in user_rows]
-    expected = [
-        (
-            day,
-            country,
-            len(group),
-            len({e[1] for e in group}),
-            len([e for e in group if e[2] == "purchase"]),
-        )
-        for (day, country), group in joined(event_rows, upper).items()
-    ]
-    frames = models.model_frames(events(spark, event_rows), users(spark, user_rows))
-    assert rows(frames["daily_summary"]) == sorted(expected, key=repr)
