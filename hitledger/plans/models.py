@@ -68,7 +68,7 @@ CHECKS = [
 # The staging models as lasting views, which the catalog stores as SQL text.
 _STG_EVENTS_VIEW = """
     SELECT event_id, user_id, session_id, event_type, event_timestamp,
-           to_date(event_timestamp) AS event_date
+           {day} AS event_date
     FROM {source} WHERE event_id IS NOT NULL AND user_id IS NOT NULL
 """
 _STG_USERS_VIEW = """
@@ -102,7 +102,10 @@ def build_models(
         "stg_users": f"{staging}.stg_users",
         "daily_summary": f"{marts}.daily_summary",
     }
-    create_view(spark, names["stg_events"], _STG_EVENTS_VIEW.format(source=raw_events))
+    # A table laid out by day keeps its own column, which prunes its directories.
+    laid_out = "event_date" in spark.table(raw_events).columns
+    day = "event_date" if laid_out else "to_date(event_timestamp)"
+    create_view(spark, names["stg_events"], _STG_EVENTS_VIEW.format(source=raw_events, day=day))
     create_view(spark, names["stg_users"], _STG_USERS_VIEW.format(source=users))
     mart = daily_summary(spark.table(names["stg_events"]), spark.table(names["stg_users"]))
     materialize(mart, names["daily_summary"], "table")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from hitledger.functions.calendar import with_event_date
 
 
-def write_events(events: DataFrame, path: str) -> None:
+def write_events(events: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write events in one directory per day, clustered by user within it.
 
     Range partitioning by day, user and event spreads a busy day, or a single
@@ -16,15 +16,18 @@ def write_events(events: DataFrame, path: str) -> None:
     stays in one file. The rows of a file are sorted by user, which makes its
     row-group statistics selective. Finding the ranges reads the input a first
     time, which a table that is read often pays back.
+
+    `partitions` is the number of ranges and so, about, of files: the size of
+    the table over that of a file, 256 MB say. Adaptive execution merges ranges
+    that turn out small but splits none, so the session's number of shuffle
+    partitions, which holds without it, has to suit the table.
     """
-    (
-        with_event_date(events)
-        .repartitionByRange("event_date", "user_id", "event_id")
-        .sortWithinPartitions("event_date", "user_id")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    _by_day(events, partitions).parquet(path)
+
+
+def save_events(events: DataFrame, table: str, partitions: int | None = None) -> None:
+    """The same as a catalog table; models built on it prune days as well."""
+    _by_day(events, partitions).saveAsTable(table, format="parquet")
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -33,3 +36,11 @@ def read_events(spark: SparkSession, path: str, schema: T.StructType | None = No
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, T.StructField("event_date", T.DateType())]))
     return reader.parquet(path)
+
+
+def _by_day(events: DataFrame, partitions: int | None) -> DataFrameWriter:
+    keys = ["event_date", "user_id", "event_id"]
+    ranges = [partitions, *keys] if partitions else keys
+    clustered = with_event_date(events).repartitionByRange(*ranges)
+    ordered = clustered.sortWithinPartitions("event_date", "user_id")
+    return ordered.write.mode("overwrite").partitionBy("event_date")

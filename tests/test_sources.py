@@ -258,11 +258,7 @@ def test_event_layout_prunes_days_and_splits_a_hot_one(spark, tmp_path):
         (F.col("id") % 50).alias("user_id"),
         F.lit(at("2024-01-11")).cast("timestamp_ntz").alias("event_timestamp"),
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        layout.write_events(hot.unionByName(rest), path)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    layout.write_events(hot.unionByName(rest), path, partitions=8)
     assert len(list((tmp_path / "events" / "event_date=2024-01-10").glob("*.parquet"))) > 4
     for file in (tmp_path / "events" / "event_date=2024-01-11").glob("*.parquet"):
         ids = [r.user_id for r in spark.read.parquet(str(file)).collect()]
@@ -292,6 +288,24 @@ def test_reports_prune_the_days_of_the_layout(spark, tmp_path):
     assert rows(models.stg_events(laid_out)) == rows(models.stg_events(raw))
 
 
+def test_models_prune_the_days_of_a_laid_out_table(spark, base, tmp_path):
+    raw = raw_events(spark, SF_DIR)
+    layout.save_events(raw, f"{base}.raw_events")
+    members = driver_users(spark, SF_DIR)
+    catalog.create_table(spark, f"{base}.users", schemas.USERS)
+    catalog.append(members, f"{base}.users")
+    place = str(tmp_path / "layers")
+    names = models.build_models(spark, base, f"{base}.raw_events", f"{base}.users", place)
+    recent = spark.table(names["stg_events"]).filter(F.col("event_date") >= AS_OF)
+    plan = plan_of(recent)
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert rows(recent) == rows(models.stg_events(raw).filter(F.col("event_date") >= AS_OF))
+    mart = models.model_frames(raw, members)["daily_summary"]
+    assert rows(spark.table(names["daily_summary"])) == rows(mart)
+    for name in ("staging", "marts"):
+        spark.sql(f"DROP DATABASE {base}_{name} CASCADE")
+
+
 def test_reports_look_back_from_today_by_default(spark):
     today = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     old = today - dt.timedelta(days=40)
