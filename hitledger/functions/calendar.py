@@ -21,6 +21,11 @@ def with_event_date(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_timestamp"))
 
 
+def event_date_sql(columns: list[str]) -> str:
+    """The same choice for the SQL text of a view over a table of these columns."""
+    return "event_date" if "event_date" in columns else "to_date(event_timestamp)"
+
+
 def days_before(as_of: dt.date | None, days: int) -> Column:
     """The date `days` before `as_of`, or before today where none is given."""
     anchor = F.current_date() if as_of is None else F.lit(as_of)

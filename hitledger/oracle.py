@@ -67,6 +67,12 @@ _RECENT = """
     SELECT event_date, event_count, unique_users FROM daily WHERE event_date >= DATE '2024-01-23'
 """
 
+_COUNTRY_RATE = f"""
+    SELECT event_date, country, event_count, purchase_count,
+           {_half_up("purchase_count", "user_count", 4)} AS purchase_rate
+    FROM country_daily WHERE event_date >= DATE '2024-01-23'
+"""
+
 _MODEL_CHECKS = f"""
     , stg_events AS ({_STG_EVENTS}), mart AS ({_DAILY_SUMMARY})
     SELECT 'stg_events' AS model, 'event_id' AS column_name, 'unique' AS check_name,
@@ -142,11 +148,7 @@ _STATEMENTS = {
     "v_daily_events": "SELECT * FROM daily",
     "v_daily_events_recent": "SELECT * FROM daily WHERE event_date >= DATE '2024-01-23'",
     "v_country_daily_summary": "SELECT * FROM country_daily",
-    "country_purchase_rate": f"""
-        SELECT event_date, country, event_count, purchase_count,
-               {_half_up("purchase_count", "user_count", 4)} AS purchase_rate
-        FROM country_daily WHERE event_date >= DATE '2024-01-23'
-    """,
+    "country_purchase_rate": _COUNTRY_RATE,
     "refresh_daily_summary": "SELECT * FROM daily ORDER BY event_date DESC LIMIT 10",
     "weekly_summary": """
         , weeks AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS week_start FROM daily)
@@ -238,6 +240,7 @@ _STATEMENTS = {
         FROM raw_events
     """,
     "clustered_recent_events": _RECENT,
+    "country_purchase_rate_by_day_table": _COUNTRY_RATE,
 }
 
 ORACLE_SQL: dict[str, str] = {name: _TABLES + sql for name, sql in _STATEMENTS.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.functions.calendar import with_event_date
+from hitledger.functions.calendar import event_date_sql, with_event_date
 from hitledger.functions.measures import is_type
 from hitledger.operators.checks import Check, failing_rows, run_checks
 from hitledger.sources.catalog import create_view, layer, materialize, store_failures
@@ -102,9 +102,7 @@ def build_models(
         "stg_users": f"{staging}.stg_users",
         "daily_summary": f"{marts}.daily_summary",
     }
-    # A table laid out by day keeps its own column, which prunes its directories.
-    laid_out = "event_date" in spark.table(raw_events).columns
-    day = "event_date" if laid_out else "to_date(event_timestamp)"
+    day = event_date_sql(spark.table(raw_events).columns)
     create_view(spark, names["stg_events"], _STG_EVENTS_VIEW.format(source=raw_events, day=day))
     create_view(spark, names["stg_users"], _STG_USERS_VIEW.format(source=users))
     mart = daily_summary(spark.table(names["stg_events"]), spark.table(names["stg_users"]))

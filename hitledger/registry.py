@@ -186,6 +186,16 @@ def clustered_recent_events(spark: SparkSession, d: str) -> DataFrame:
     return reports.recent_daily_events(layout.read_events(spark, path, events.schema), AS_OF)
 
 
+def country_purchase_rate_by_day_table(spark: SparkSession, d: str) -> DataFrame:
+    """The country report from lasting views over events laid out by day."""
+    base, _ = _database(spark, d, "views")
+    layout.save_events(raw_events(spark, d), f"{base}.raw_events")
+    catalog.create_table(spark, f"{base}.users", schemas.USERS, schemas.AUDIT_COLUMN["users"])
+    catalog.append(users(spark, d), f"{base}.users")
+    views.create_views(spark, base, f"{base}.raw_events", f"{base}.users")
+    return views.country_purchase_rate(spark.table(f"{base}.v_country_daily_summary"), AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "event_sample": event_sample,
     "purchases_in_countries": purchases_in_countries,
@@ -245,4 +255,5 @@ QUERIES: dict[str, Query] = {
     "csv_load_sessions": csv_load_sessions,
     "csv_load_raw_events": csv_load_raw_events,
     "clustered_recent_events": clustered_recent_events,
+    "country_purchase_rate_by_day_table": country_purchase_rate_by_day_table,
 }

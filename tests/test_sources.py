@@ -197,6 +197,30 @@ def test_view_is_run_again_on_each_read(spark, base):
     assert rows(spark.sql("SELECT * FROM v_daily_events")) == [(DAY, 1, 1, 1)]
 
 
+@pytest.mark.parametrize("laid_out", [False, True])
+def test_lasting_views_equal_the_frames(spark, base, laid_out):
+    raw, members = raw_events(spark, SF_DIR), driver_users(spark, SF_DIR)
+    if laid_out:
+        layout.save_events(raw, f"{base}.raw_events")
+    else:
+        catalog.create_table(spark, f"{base}.raw_events", schemas.RAW_EVENTS, "created_at")
+        catalog.append(raw, f"{base}.raw_events")
+    catalog.create_table(spark, f"{base}.users", schemas.USERS, "updated_at")
+    catalog.append(members, f"{base}.users")
+    for _ in range(2):
+        views.create_views(spark, base, f"{base}.raw_events", f"{base}.users")
+    frames = {
+        "v_daily_events": views.daily_events(raw),
+        "v_country_daily_summary": views.country_daily_summary(raw, members),
+    }
+    for name, frame in frames.items():
+        view = spark.table(f"{base}.{name}")
+        assert view.dtypes == frame.dtypes
+        assert rows(view) == rows(frame)
+        pruned = "PartitionFilters: [isnotnull(event_date" in plan_of(views.recent_days(view, AS_OF))
+        assert pruned == laid_out
+
+
 def test_materialize_refuses_other_kinds(spark):
     with pytest.raises(ValueError):
         catalog.materialize(spark.range(1), "nothing", "incremental")
