@@ -9,10 +9,16 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoints(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or a local one where none is named."""
+    """The folder the session names for checkpoints.
+
+    Without one, a local session gets a temporary folder; on a cluster the
+    executors could not share it, so there the setting is required.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if shared is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="hitledger-"))
     return shared or context.getCheckpointDir()
 

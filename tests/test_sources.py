@@ -345,3 +345,24 @@ def test_scratch_lies_in_the_named_checkpoint_folder(spark):
     path = scratch_path(spark, "x", SF_DIR)
     assert path.startswith(shared) and path == scratch_path(spark, "x", SF_DIR)
     assert path != scratch_path(spark, "x", "/elsewhere")
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    class Session:
+        def __init__(self, master, folder=None):
+            self.conf = self.sparkContext = self
+            self.master, self.folder = master, folder
+
+        def get(self, key, default):
+            return default
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoints(Session("yarn"))
+    assert ensure_checkpoints(Session("yarn", "hdfs://shared")) == "hdfs://shared"
+    assert "hitledger-" in ensure_checkpoints(Session("local[2]"))
