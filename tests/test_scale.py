@@ -132,6 +132,8 @@ def test_hot_user_is_split_in_row_level_joins(spark, skewed):
         assert "skew=true" in final_plan(joined)
         orphaned = exploration.orphan_events(events, users)
         assert "skew=true" in final_plan(orphaned)
+        enriched = events.join(users.select("user_id", "country"), "user_id", "left")
+        assert "skew=true" in final_plan(exploration.purchases_in_countries(enriched))
         purchases = daily_by_user_columns(events, users, ["country"])
         assert "skew=true" in final_plan(purchases)
 
