@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import exact_dedup, url_filter
+from hitledger.llm import decontamination, exact_dedup, url_filter, warc
+from hitledger.llm.common import saved, shared_folder
 from hitledger.llm.url_filter import HostRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contamination_report(documents, table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages judged by explicit rules, then by rules mined from labelled documents.
 
@@ -54,9 +60,37 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back, one row per capture and copy."""
+    path = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    read = warc.captures(warc.read_records(spark, path)).where("response is not null")
+    page = F.regexp_extract("metadata.fields", r"(?m)^page-id: (-?\d+)$", 1).try_cast("long")
+    found = saved(read.select(page.alias("page_id"), "copies", "response.*"), "warc-captures")
+    original = found.where("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to"),
+        F.col("page_id").alias("first_page"),
+        F.col("payload_bytes").alias("first_bytes"),
+        F.col("payload_digest").alias("first_digest"),
+    )
+    return (
+        found.join(original, "refers_to", "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select(
+            "page_id",
+            F.coalesce("payload_bytes", "first_bytes").alias("payload_bytes"),
+            F.coalesce("payload_digest", "first_digest").alias("payload_digest"),
+            "record_type",
+            F.col("first_page").alias("refers_to"),
+        )
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op5_url_filter": op5_url_filter,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
 }
 
 _WHITE = r"[\x20\x09-\x0D]+"
@@ -76,4 +110,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256
         FROM groups
     """,
+    "op9_warc": """
+        WITH rows AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN
+                   max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_page
+            FROM rows
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+        FROM firsts
+    """,
 }
