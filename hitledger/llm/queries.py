@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import decontamination, exact_dedup, url_filter, warc
+from hitledger.llm import decontamination, exact_dedup, packing, token_files, url_filter, warc
 from hitledger.llm.common import saved, shared_folder
 from hitledger.llm.url_filter import HostRule
 
@@ -26,6 +26,17 @@ URL_RULES = [
 ]
 
 
+BYTE_TOKENIZER = ("byte_bpe_50k.json", "spaces")
+WORD_TOKENIZER = ("word_bpe_49k.json", "words")
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizers of this machine are, the same on all of them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,6 +46,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as token files and read back."""
+    name, borders = BYTE_TOKENIZER
+    path = shared_folder(spark, "tokens")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_token_files(documents, path, tokenizer_path(name), borders)
+    return token_files.read_token_files(spark, path)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages judged by explicit rules, then by rules mined from labelled documents.
 
@@ -56,6 +76,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, borders = WORD_TOKENIZER
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(packing.pieces(documents, tokenizer_path(name), borders))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -88,7 +114,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op4_token_files": op4_token_files,
     "op5_url_filter": op5_url_filter,
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
 }
