@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -16,6 +18,20 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MEMO_SIZE = 400_000
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where the driver found it.
+
+    On a cluster the package is installed or shipped with the job; this serves workers
+    that share the driver's file system but not its search path.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one that driver and executors share."""
     return f"{ensure_checkpoints(spark)}/{name}-{uuid.uuid4().hex}"

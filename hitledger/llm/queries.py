@@ -10,8 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import decontamination, exact_dedup, packing, token_files, url_filter, warc
-from hitledger.llm.common import saved, shared_folder
+from hitledger.llm import (
+    decontamination,
+    exact_dedup,
+    near_dedup,
+    packing,
+    token_files,
+    url_filter,
+    warc,
+)
+from hitledger.llm.common import ready, saved, shared_folder
 from hitledger.llm.url_filter import HostRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +46,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +54,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(documents, size=2, percent=80).drop("text_hash")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token files and read back."""
     name, borders = BYTE_TOKENIZER
@@ -114,6 +127,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op3_near_dedup": op3_near_dedup,
     "op4_token_files": op4_token_files,
     "op5_url_filter": op5_url_filter,
     "op7_packing": op7_packing,
