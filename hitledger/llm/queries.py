@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from hitledger.llm import (
     decontamination,
     exact_dedup,
+    language_id,
     near_dedup,
     packing,
+    quality,
     token_files,
     url_filter,
     warc,
 )
-from hitledger.llm.common import ready, saved, shared_folder
+from hitledger.llm.common import crc_remainder, ready, saved, shared_folder
 from hitledger.llm.url_filter import HostRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +56,20 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; labels come from those with a crc32 that 5 does not divide."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = crc_remainder(F.col("doc_id"), 5)
+    labels = table(spark, sf_dir, "labels").where(remainder != 0)
+    forest = quality.train(documents, labels.select("doc_id", F.col("quality").alias("label")))
+    return quality.scored(documents, forest).select(
+        "doc_id",
+        (remainder == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(documents, size=2, percent=80).drop("text_hash")
@@ -125,14 +141,29 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = crc_remainder(F.col("doc_id"), 5)
+    model = language_id.train(documents, remainder != 0)
+    found = language_id.identified(documents, model, keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        (remainder == 0).alias("held_out"),
+        F.col("language.name").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_near_dedup": op3_near_dedup,
     "op4_token_files": op4_token_files,
     "op5_url_filter": op5_url_filter,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
+    "op10_language_id": op10_language_id,
 }
 
 _WHITE = r"[\x20\x09-\x0D]+"
