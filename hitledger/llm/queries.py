@@ -14,6 +14,7 @@ from hitledger.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    lm_scoring,
     near_dedup,
     packing,
     quality,
@@ -105,6 +106,21 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; the model is learnt from those with another remainder than 2."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = crc_remainder(F.col("doc_id"), 7)
+    return lm_scoring.scores(documents, remainder != 2).select(
+        "doc_id",
+        (remainder == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, borders = WORD_TOKENIZER
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -160,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_token_files": op4_token_files,
     "op5_url_filter": op5_url_filter,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
