@@ -20,6 +20,14 @@ PIECES = 1_000_000
 # The library's own threads would compete with Spark's tasks.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+# ASCII and Latin-1 letters: a run of them is one word for either kind of tokenizer.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# How byte-level models spell bytes: printable ones as themselves, the others in order
+# from code point 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_SPELLED = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+
 # A space with a character other than white space on both sides.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 # In UTF-8, what white space beyond ASCII begins with, and the control characters
@@ -34,12 +42,13 @@ class _Memo(dict):
     """The ids of pieces, as little-endian bytes.
 
     Neither kind of tokenizer merges a letter with a comma or full stop behind it, so
-    a word is encoded once for all three endings.
+    a word is encoded once for all three endings. A word of plain letters goes straight
+    to the tokenizer's model; anything else passes all of its steps.
     """
 
-    def __init__(self, encode, prefix: bytes):
+    def __init__(self, encode, encode_word, prefix: bytes):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encode, self.encode_word, self.prefix = encode, encode_word, prefix
         self.marks = {b",": encode(","), b".": encode(".")}
 
     def __missing__(self, piece: bytes) -> bytes:
@@ -48,6 +57,8 @@ class _Memo(dict):
         mark = self.marks.get(piece[-1:])
         if mark is not None and piece[-2:-1].isalpha():
             value = self[piece[:-1]] + mark
+        elif _LETTERS.fullmatch(piece):
+            value = self.encode_word(self.prefix + piece)
         else:
             value = self.encode((self.prefix + piece).decode())
         self[piece] = value
@@ -66,13 +77,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.borders = borders
-        self.plain, self.spaced = _Memo(self._whole, b""), _Memo(self._whole, b" ")
+        self.plain = _Memo(self._whole, self._word, b"")
+        self.spaced = _Memo(self._whole, self._word, b" ")
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: bytes) -> bytes:
+        if self.borders == "words":
+            word = word.decode().lower().encode()
+        spelled = word.decode("latin-1").translate(_SPELLED)
+        return self._bytes([t.id for t in self.model.tokenize(spelled)])
+
+    def _bytes(self, ids: list[int]) -> bytes:
         numbers = array(self.code, ids)
         if sys.byteorder == "big":
             numbers.byteswap()
