@@ -14,8 +14,8 @@ from array import array
 
 import numpy as np
 
-# Pieces that a Python worker remembers before it starts anew: some 200 MB.
-PIECES = 1_000_000
+# Pieces that a Python worker remembers before it starts anew: some 100 MB.
+PIECES = 500_000
 
 # The library's own threads would compete with Spark's tasks.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
