@@ -424,7 +424,7 @@ def _answers(unknown: float, discount: float, n_train: int):
         c = train[_found(known, keys)]
         p = np.where(c > 0, (c - discount) / max(n_train, 1), unknown)
         found, place = np.unique(rows, return_inverse=True)
-        sums = [np.bincount(place, w * times, len(found)) for w in (c > 0, np.log10(c + 1.0), np.log10(p))]
+        sums = [np.bincount(place, w * times, len(found)).astype(float) for w in (c > 0, np.log10(c + 1.0), np.log10(p))]
         return pa.table(
             [pa.array(found, pa.int64()), pa.array(sums[0].astype(np.int64), pa.int64()),
              pa.array(sums[1]), pa.array(sums[2])],

@@ -73,9 +73,10 @@ def _batch(columns: list) -> pa.RecordBatch:
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """Bins that any packing of these lengths needs.
 
-    The bound is the best of a family of dual feasible functions: for a threshold t,
+    The bound is the best of two families of dual feasible functions. For a threshold t,
     lengths over capacity - t count as a whole bin, those below t as nothing, all others
-    as they are; t = 0 is the bound by volume.
+    as they are; t = 0 is the bound by volume. For a number k, a length counts as many
+    k-ths of a bin as it has whole (k + 1)-ths, or as it is if it has nothing beyond them.
     """
     counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     volume = counts * np.arange(capacity + 1)
@@ -83,7 +84,13 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     t = np.arange(capacity // 2 + 1)
     whole = number[-1] - number[capacity - t]
     middle = below[capacity - t] - np.where(t > 0, below[np.maximum(t - 1, 0)], 0)
-    return int((whole + -(-middle // capacity)).max())
+    best = int((whole + -(-middle // capacity)).max())
+    length = np.arange(capacity + 1)
+    for k in range(1, 21):
+        parts, beyond = np.divmod((k + 1) * length, capacity)
+        size = np.where(beyond == 0, k * length, parts * capacity)
+        best = max(best, -(-int((counts * size).sum()) // (k * capacity)))
+    return best
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

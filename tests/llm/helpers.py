@@ -1,0 +1,95 @@
+"""Small frames with everything that may come up, and plain versions of the operators."""
+
+import re
+import zlib
+from collections import Counter
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SF_DIR = "/root/testdata/sf0.001"
+
+PROSE = [
+    "The quick brown fox jumps over the lazy dog, while the old cat sleeps near the warm stove.",
+    "Rivers carry cold water from the high hills down to the wide plain below every single spring.",
+    "Étreaux naïve façade coûte très cher, mais la maison reste belle et grande pour toute la famille.",
+]
+LONG = " ".join(f"word{i % 977} item{i % 31}" for i in range(30_000))
+
+
+def documents(spark):
+    """Ids missing, repeated and negative; texts missing, empty, blank, odd, equal, very long."""
+    rows = [
+        (1, PROSE[0], "en", "a"),
+        (2, PROSE[0], "en", "b"),
+        (3, PROSE[0].replace("lazy", "very lazy"), "en", "a"),
+        (4, PROSE[1], "en", None),
+        (4, PROSE[1], "en", None),
+        (5, None, None, None),
+        (6, "", "en", "a"),
+        (7, " \t\n\x0b\x0c\r ", "en", "a"),
+        (8, "one", None, "a"),
+        (9, "One\n", "en", "a"),
+        (10, PROSE[2], "fr", "a"),
+        (11, "12 34 !?", "de", "a"),
+        (None, PROSE[2], "fr", "a"),
+        (None, "nobody's words are here", "en", "a"),
+        (-3, LONG, "en", "a"),
+        (12, LONG + " tail", "en", "a"),
+        (13, "\u4e2d\u6587\u3000\U0001f389 \u00a0x  y\n\n z", "zh", "a"),
+        (14, (PROSE[1] + "\n") * 3, "en", "a"),
+    ]
+    full = [(*r, None if r[1] is None else len(r[1])) for r in rows]
+    return spark.createDataFrame(
+        full, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+
+
+def clashing(df):
+    """The frame with columns under names that operators use themselves."""
+    for name in ("_sha", "_row", "_doc", "match", "language", "node", "bucket", "_text_hash", "id", "tie"):
+        df = df.withColumn(name, df["doc_id"] * 0 + 7)
+    return df
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect() if columns else df.collect()), key=repr)
+
+
+def crc(key, divisor):
+    return zlib.crc32(str(key).encode()) % divisor
+
+
+def white_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def shingle_sets(texts, size):
+    out = []
+    for text in texts:
+        w = white_words(text)
+        short = frozenset([tuple(w)]) if w else frozenset()
+        out.append(short if len(w) < size else frozenset(zip(*[w[i:] for i in range(size)], strict=False)))
+    return out
+
+
+def linked(sets, percent):
+    """For each set the least place that links lead to."""
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    places = {}
+    for i, s in enumerate(sets):
+        for j, n in Counter(j for x in s for j in places.get(x, ())).items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = find(j), find(i)
+                parent[max(a, b)] = min(a, b)
+        for x in s:
+            places.setdefault(x, []).append(i)
+    return [find(i) for i in range(len(sets))]
