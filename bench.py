@@ -16,6 +16,7 @@ import time
 
 from hitledger.registry import QUERIES
 from hitledger.session import build_session
+from hitledger.sources import scratch
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -43,6 +44,7 @@ def main() -> None:
             query(spark, SF_DIR).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         medians[name] = round(statistics.median(times[1:]), 4)
+    scratch.clear(spark)
     spark.stop()
     line = {
         "metric": "total_query_time",

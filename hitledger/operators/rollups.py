@@ -18,19 +18,6 @@ def daily_users(events: DataFrame) -> DataFrame:
     )
 
 
-def daily_users_and_sessions(events: DataFrame) -> DataFrame:
-    """Events, distinct users and distinct sessions per day."""
-    return (
-        with_event_date(events)
-        .groupBy("event_date")
-        .agg(
-            F.count("*").alias("event_count"),
-            F.countDistinct("user_id").alias("unique_users"),
-            F.countDistinct("session_id").alias("unique_sessions"),
-        )
-    )
-
-
 def daily_by_user_columns(events: DataFrame, users: DataFrame, columns: list[str]) -> DataFrame:
     """Events, distinct users and distinct purchases per day and user columns.
 

@@ -7,7 +7,14 @@ because the two engines' `round` differ on ties of binary fractions.
 
 from __future__ import annotations
 
-_TABLES = """
+# Country codes, devices, event types and plans, as in `sources.driver_tables`
+# and `schemas`.
+_COUNTRIES = "['US', 'JP', 'GB', 'DE', 'FR', 'CA', 'AU', 'SG', 'IN', 'BR']"
+_DEVICES = "['desktop', 'mobile', 'tablet']"
+_EVENT_TYPES = "('page_view', 'click', 'purchase', 'sign_up', 'add_to_cart', 'checkout')"
+_PLAN_TYPES = "('free', 'premium')"
+
+_TABLES = f"""
 WITH raw_events AS (
     SELECT e.event_id, e.user_id,
            'session_' || e.user_id || '_' || strftime(e.ts, '%Y%m%d') AS session_id,
@@ -15,14 +22,14 @@ WITH raw_events AS (
                 ELSE e.event_type END AS event_type,
            CAST(NULL AS VARCHAR) AS page_url,
            e.ts AS event_timestamp,
-           ['desktop', 'mobile', 'tablet'][e.user_id % 3 + 1] AS device_type,
-           ['US', 'JP', 'GB', 'DE', 'FR', 'CA', 'AU', 'SG', 'IN', 'BR'][c.c_nationkey % 10 + 1] AS country,
+           {_DEVICES}[e.user_id % 3 + 1] AS device_type,
+           {_COUNTRIES}[c.c_nationkey % 10 + 1] AS country,
            CAST(e.ts AS DATE) AS event_date
     FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
 ), users AS (
     SELECT c_custkey AS user_id,
            DATE '2023-08-03' + CAST(c_custkey % 181 AS INTEGER) AS signup_date,
-           ['US', 'JP', 'GB', 'DE', 'FR', 'CA', 'AU', 'SG', 'IN', 'BR'][c_nationkey % 10 + 1] AS country,
+           {_COUNTRIES}[c_nationkey % 10 + 1] AS country,
            CASE WHEN c_mktsegment = 'BUILDING' THEN 'premium' ELSE 'free' END AS plan_type,
            c_acctbal > 2000 AS is_active
     FROM customer WHERE c_acctbal > 0
@@ -170,15 +177,16 @@ _STATEMENTS = {
     "users_read_back": "SELECT * FROM users ORDER BY user_id LIMIT 5",
     "sessions_read_back": "SELECT * FROM sessions ORDER BY session_id LIMIT 5",
     "orphaned_sessions": """
-        SELECT count(*) AS orphaned_sessions FROM sessions WHERE user_id NOT IN (SELECT user_id FROM users)
+        SELECT count(*) AS orphaned_sessions FROM sessions s
+        WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = s.user_id)
     """,
     "orphaned_events": """
-        SELECT count(*) AS orphaned_events FROM raw_events
-        WHERE user_id NOT IN (SELECT user_id FROM users)
+        SELECT count(*) AS orphaned_events FROM raw_events e
+        WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = e.user_id)
     """,
     "orphaned_events_by_session": """
-        SELECT count(*) AS orphaned_events_by_session FROM raw_events
-        WHERE session_id NOT IN (SELECT session_id FROM sessions)
+        SELECT count(*) AS orphaned_events_by_session FROM raw_events e
+        WHERE NOT EXISTS (SELECT 1 FROM sessions s WHERE s.session_id = e.session_id)
     """,
     "users_by_country": "SELECT country, count(*) AS user_count FROM users GROUP BY country",
     "event_type_distribution": "SELECT event_type, count(*) AS event_count FROM raw_events GROUP BY event_type",
@@ -199,20 +207,20 @@ _STATEMENTS = {
     "null_dates_check": "SELECT count(*) AS null_dates FROM daily WHERE event_date IS NULL",
     "negative_counts_check": "SELECT count(*) AS negative_counts FROM daily WHERE event_count < 0",
     "model_checks": _MODEL_CHECKS,
-    "accepted_values_check": """
+    "accepted_values_check": f"""
         SELECT event_type, count(*) AS failures FROM raw_events
-        WHERE event_type NOT IN ('page_view', 'click', 'purchase', 'sign_up', 'add_to_cart', 'checkout')
+        WHERE event_type NOT IN {_EVENT_TYPES}
         GROUP BY event_type
     """,
-    "accepted_plans_check": """
-        SELECT count(*) AS failures FROM users WHERE plan_type NOT IN ('free', 'premium')
+    "accepted_plans_check": f"""
+        SELECT count(*) AS failures FROM users WHERE plan_type NOT IN {_PLAN_TYPES}
     """,
     "accepted_range_check": """
         SELECT session_id, page_views FROM sessions WHERE page_views NOT BETWEEN 1 AND 3
     """,
     "stored_failures": """
-        SELECT user_id, count(*) AS failures FROM raw_events
-        WHERE user_id NOT IN (SELECT user_id FROM users) GROUP BY user_id
+        SELECT user_id, count(*) AS failures FROM raw_events e
+        WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = e.user_id) GROUP BY user_id
     """,
     "appended_twice": "SELECT event_date, 2::BIGINT AS copies, 2 * event_count AS event_count FROM daily",
     "value_counts": """
@@ -239,6 +247,10 @@ _STATEMENTS = {
         SELECT * EXCLUDE (event_date) REPLACE (date_trunc('second', event_timestamp) AS event_timestamp)
         FROM raw_events
     """,
+    "csv_to_table": """
+        SELECT * EXCLUDE (event_date) REPLACE (date_trunc('second', event_timestamp) AS event_timestamp)
+        FROM raw_events
+    """,
     "clustered_recent_events": _RECENT,
     "country_purchase_rate_by_day_table": _COUNTRY_RATE,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hitledger import schemas
 from hitledger.functions.calendar import week_end, week_start
-from hitledger.operators.rollups import daily_users_and_sessions
+from hitledger.plans.views import daily_events
 from hitledger.sources.catalog import create_table, full_refresh
 
 
@@ -17,7 +17,7 @@ def create_daily_summary(spark: SparkSession, table: str) -> None:
 
 def refresh_daily_summary(raw_events: DataFrame, table: str) -> None:
     """Replace the daily table by the counts of all events."""
-    full_refresh(daily_users_and_sessions(raw_events), table)
+    full_refresh(daily_events(raw_events), table)
 
 
 def latest_days(daily_summary: DataFrame, limit: int = 10) -> DataFrame:

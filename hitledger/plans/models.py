@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.functions.calendar import event_date_sql, with_event_date
+from hitledger.functions.calendar import event_date_sql
 from hitledger.functions.measures import is_type
 from hitledger.operators.checks import Check, failing_rows, run_checks
 from hitledger.sources.catalog import create_view, layer, materialize, store_failures
 
 
+# The staging models as SQL, over a frame or, in a lasting view, over a catalog table.
+_STG_EVENTS = """
+    SELECT event_id, user_id, session_id, event_type, event_timestamp,
+           {day} AS event_date
+    FROM {source} WHERE event_id IS NOT NULL AND user_id IS NOT NULL
+"""
+_STG_USERS = """
+    SELECT user_id, signup_date, upper(country) AS country, plan_type, is_active
+    FROM {source}
+"""
+
+
 def stg_events(raw_events: DataFrame) -> DataFrame:
     """Events that have both keys, with their day."""
-    keyed = raw_events.filter(F.col("event_id").isNotNull() & F.col("user_id").isNotNull())
-    return with_event_date(keyed).select(
-        "event_id", "user_id", "session_id", "event_type", "event_timestamp", "event_date"
-    )
+    text = _STG_EVENTS.format(day=event_date_sql(raw_events.columns), source="{source}")
+    return raw_events.sparkSession.sql(text, source=raw_events)
 
 
 def stg_users(users: DataFrame) -> DataFrame:
     """Users with their country code in upper case."""
-    return users.select(
-        "user_id", "signup_date", F.upper("country").alias("country"), "plan_type", "is_active"
-    )
+    return users.sparkSession.sql(_STG_USERS, source=users)
 
 
 def daily_summary(events: DataFrame, users: DataFrame) -> DataFrame:
@@ -34,13 +42,14 @@ def daily_summary(events: DataFrame, users: DataFrame) -> DataFrame:
     brings one row per day to the join. Users shrink to one row per user and
     country with the number of copies, which the sums are multiplied by; that
     leaves each (day, country, user) once after the join, so the distinct users
-    of a group are its row count and need no shuffle of their own.
+    of a group are its row count and need no shuffle of their own. The users are
+    dealt out by the join's key at once, which serves their grouping as well.
     """
     user_days = events.groupBy("event_date", "user_id").agg(
         F.count("*").alias("events"),
         F.count_if(is_type("purchase")).alias("purchases"),
     )
-    homes = users.groupBy("user_id", "country").agg(F.count("*").alias("copies"))
+    homes = users.repartition("user_id").groupBy("user_id", "country").agg(F.count("*").alias("copies"))
     return (
         user_days.join(homes, "user_id")
         .groupBy("event_date", "country")
@@ -65,17 +74,6 @@ CHECKS = [
     Check("daily_summary", "event_count", "not_null"),
 ]
 
-# The staging models as lasting views, which the catalog stores as SQL text.
-_STG_EVENTS_VIEW = """
-    SELECT event_id, user_id, session_id, event_type, event_timestamp,
-           {day} AS event_date
-    FROM {source} WHERE event_id IS NOT NULL AND user_id IS NOT NULL
-"""
-_STG_USERS_VIEW = """
-    SELECT user_id, signup_date, upper(country) AS country, plan_type, is_active
-    FROM {source}
-"""
-
 
 def model_frames(raw_events: DataFrame, users: DataFrame) -> dict[str, DataFrame]:
     """All models over two source frames, nothing materialized."""
@@ -103,8 +101,8 @@ def build_models(
         "daily_summary": f"{marts}.daily_summary",
     }
     day = event_date_sql(spark.table(raw_events).columns)
-    create_view(spark, names["stg_events"], _STG_EVENTS_VIEW.format(source=raw_events, day=day))
-    create_view(spark, names["stg_users"], _STG_USERS_VIEW.format(source=users))
+    create_view(spark, names["stg_events"], _STG_EVENTS.format(source=raw_events, day=day))
+    create_view(spark, names["stg_users"], _STG_USERS.format(source=users))
     mart = daily_summary(spark.table(names["stg_events"]), spark.table(names["stg_users"]))
     materialize(mart, names["daily_summary"], "table")
     return names

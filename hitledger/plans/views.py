@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from hitledger.functions.calendar import days_before, event_date_sql
 from hitledger.functions.measures import ratio
-from hitledger.operators.rollups import daily_by_user_columns, daily_users_and_sessions
 from hitledger.sources.catalog import create_view
 
 _DAILY_EVENTS = """
@@ -22,7 +21,7 @@ _DAILY_EVENTS = """
            count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS unique_sessions
     FROM {events} GROUP BY ALL
 """
-# Rolled up before the join, for the reasons given in `daily_by_user_columns`.
+# Rolled up before the join, for the reasons given in `rollups.daily_by_user_columns`.
 _COUNTRY_DAILY_SUMMARY = """
     SELECT event_date, home.country, sum(events) AS event_count,
            count(DISTINCT user_id) AS user_count, count(DISTINCT purchase_id) AS purchase_count
@@ -36,7 +35,8 @@ _COUNTRY_DAILY_SUMMARY = """
 
 def daily_events(raw_events: DataFrame) -> DataFrame:
     """The view `v_daily_events`."""
-    return daily_users_and_sessions(raw_events)
+    text = _DAILY_EVENTS.format(day=event_date_sql(raw_events.columns), events="{events}")
+    return raw_events.sparkSession.sql(text, events=raw_events)
 
 
 def recent_days(view: DataFrame, as_of: dt.date | None = None, days: int = 7) -> DataFrame:
@@ -46,7 +46,9 @@ def recent_days(view: DataFrame, as_of: dt.date | None = None, days: int = 7) ->
 
 def country_daily_summary(raw_events: DataFrame, users: DataFrame) -> DataFrame:
     """The view `v_country_daily_summary`."""
-    return daily_by_user_columns(raw_events, users, ["country"])
+    day = event_date_sql(raw_events.columns)
+    text = _COUNTRY_DAILY_SUMMARY.format(day=day, events="{events}", users="{users}")
+    return raw_events.sparkSession.sql(text, events=raw_events, users=users)
 
 
 def country_purchase_rate(

@@ -17,20 +17,25 @@ from hitledger.operators import checks, integrity, profiling
 from hitledger.plans import exploration, jobs, load_verification, models, reports, views
 from hitledger.sources import catalog, csv_files, layout
 from hitledger.sources.driver_tables import AS_OF, raw_events, sessions, users, with_country
-from hitledger.sources.scratch import ensure_checkpoints, scratch_name, scratch_path
+from hitledger.sources.scratch import ensure_checkpoints, scratch_database, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _database(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
-    """A database of this source folder, and where it lives."""
-    location = scratch_path(spark, name, sf_dir)
-    base = scratch_name(spark, name, sf_dir)
+def _database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A new database, and where it lives."""
+    base, location = scratch_database(spark, name)
     return catalog.create_database(spark, base, f"{location}/{base}"), location
 
 
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    """Whole events, the country included."""
+    return with_country(spark, d, raw_events(spark, d))
+
+
 def event_sample(spark: SparkSession, d: str) -> DataFrame:
-    return with_country(spark, d, exploration.event_sample(raw_events(spark, d)))
+    sample = exploration.event_sample(raw_events(spark, d))
+    return with_country(spark, d, sample, few=True).orderBy("event_id")
 
 
 def purchases_in_countries(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +59,7 @@ def v_country_daily_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def refresh_daily_summary(spark: SparkSession, d: str) -> DataFrame:
-    database, _ = _database(spark, d, "daily")
+    database, _ = _database(spark, "daily")
     table = f"{database}.daily_summary"
     jobs.create_daily_summary(spark, table)
     jobs.refresh_daily_summary(raw_events(spark, d), table)
@@ -62,7 +67,7 @@ def refresh_daily_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weekly_summary(spark: SparkSession, d: str) -> DataFrame:
-    database, _ = _database(spark, d, "weekly")
+    database, _ = _database(spark, "weekly")
     daily, weekly = f"{database}.daily_summary", f"{database}.weekly_summary"
     jobs.create_daily_summary(spark, daily)
     jobs.create_weekly_summary(spark, weekly)
@@ -71,13 +76,10 @@ def weekly_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _built(spark: SparkSession, d: str, name: str) -> tuple[str, str, dict[str, str]]:
-    """Load the sources into typed tables and build the models over them.
-
-    No model reads the country of an event, so it stays empty in this load.
-    """
-    base, location = _database(spark, d, name)
+    """Load the sources into typed tables and build the models over them."""
+    base, location = _database(spark, name)
     loads = {
-        "raw_events": (schemas.RAW_EVENTS, raw_events(spark, d)),
+        "raw_events": (schemas.RAW_EVENTS, _events(spark, d)),
         "users": (schemas.USERS, users(spark, d)),
     }
     for table, (schema, rows) in loads.items():
@@ -120,7 +122,7 @@ def accepted_range_check(spark: SparkSession, d: str) -> DataFrame:
 
 def stored_failures(spark: SparkSession, d: str) -> DataFrame:
     """Orphaned events kept in a table, all of them, and counted per user."""
-    database, _ = _database(spark, d, "failures")
+    database, _ = _database(spark, "failures")
     table = f"{database}.orphan_events"
     odd = integrity.orphans(raw_events(spark, d), users(spark, d), "user_id")
     catalog.store_failures(odd.select("event_id", "user_id"), table)
@@ -129,7 +131,7 @@ def stored_failures(spark: SparkSession, d: str) -> DataFrame:
 
 def appended_twice(spark: SparkSession, d: str) -> DataFrame:
     """The daily counts inserted twice without clearing: every day is doubled."""
-    database, _ = _database(spark, d, "append")
+    database, _ = _database(spark, "append")
     table = f"{database}.daily_summary"
     jobs.create_daily_summary(spark, table)
     ensure_checkpoints(spark)
@@ -158,38 +160,45 @@ def page_views_describe(spark: SparkSession, d: str) -> DataFrame:
     return summary.withColumn("mean", F.round("mean", 9)).withColumn("std", F.round("std", 9))
 
 
-def _through_csv(
-    spark: SparkSession, d: str, name: str, rows: DataFrame, schema, **how: str
-) -> DataFrame:
-    path = scratch_path(spark, f"{name}_csv", d)
+def _through_csv(spark: SparkSession, name: str, rows: DataFrame, schema, **how: str) -> DataFrame:
+    path = scratch_path(spark, f"{name}_csv")
     csv_files.save_csv(rows, path, **how)
     return csv_files.load_csv(spark, path, schema)
 
 
 def csv_load(spark: SparkSession, d: str) -> DataFrame:
-    return _through_csv(spark, d, "users", users(spark, d), schemas.USERS)
+    return _through_csv(spark, "users", users(spark, d), schemas.USERS)
 
 
 def csv_load_sessions(spark: SparkSession, d: str) -> DataFrame:
-    return _through_csv(spark, d, "sessions", sessions(spark, d), schemas.SESSIONS)
+    return _through_csv(spark, "sessions", sessions(spark, d), schemas.SESSIONS)
 
 
 def csv_load_raw_events(spark: SparkSession, d: str) -> DataFrame:
-    rows = with_country(spark, d, raw_events(spark, d))
-    return _through_csv(spark, d, "raw_events", rows, schemas.RAW_EVENTS, compression="gzip")
+    return _through_csv(spark, "raw_events", _events(spark, d), schemas.RAW_EVENTS, compression="gzip")
+
+
+def csv_to_table(spark: SparkSession, d: str) -> DataFrame:
+    """Gzip files of events loaded into a typed table, read back without its load time."""
+    base, _ = _database(spark, "loaded")
+    path = scratch_path(spark, "raw_events_csv")
+    csv_files.save_csv(_events(spark, d), path, compression="gzip")
+    table, audit = f"{base}.raw_events", schemas.AUDIT_COLUMN["raw_events"]
+    csv_files.load_table(spark, path, table, schemas.RAW_EVENTS, audit, spread=True)
+    return spark.table(table).drop(audit)
 
 
 def clustered_recent_events(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "clustered_events", d)
-    events = raw_events(spark, d)
+    path = scratch_path(spark, "clustered_events")
+    events = _events(spark, d)
     layout.write_events(events, path)
     return reports.recent_daily_events(layout.read_events(spark, path, events.schema), AS_OF)
 
 
 def country_purchase_rate_by_day_table(spark: SparkSession, d: str) -> DataFrame:
     """The country report from lasting views over events laid out by day."""
-    base, _ = _database(spark, d, "views")
-    layout.save_events(raw_events(spark, d), f"{base}.raw_events")
+    base, _ = _database(spark, "views")
+    layout.save_events(_events(spark, d), f"{base}.raw_events")
     catalog.create_table(spark, f"{base}.users", schemas.USERS, schemas.AUDIT_COLUMN["users"])
     catalog.append(users(spark, d), f"{base}.users")
     views.create_views(spark, base, f"{base}.raw_events", f"{base}.users")
@@ -254,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "csv_load": csv_load,
     "csv_load_sessions": csv_load_sessions,
     "csv_load_raw_events": csv_load_raw_events,
+    "csv_to_table": csv_to_table,
     "clustered_recent_events": clustered_recent_events,
     "country_purchase_rate_by_day_table": country_purchase_rate_by_day_table,
 }

@@ -1,12 +1,22 @@
-"""Catalog tables and views: create, append, refresh, layer."""
+"""Catalog tables and views: create, append, refresh, layer.
+
+New contents of a table are written to a folder of their own; then the catalog entry is
+pointed at it and the old folder removed. Until that switch the old rows stay readable,
+so a failure while computing loses nothing, and a table may be built from itself.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitledger.sources.scratch import ensure_checkpoints
+
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
@@ -27,32 +37,65 @@ def create_table(
 
     The audit column comes last and defaults to the time of the insert.
     """
-    columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields]
+    columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
     if audit_column:
-        columns.append(f"{audit_column} TIMESTAMP DEFAULT current_timestamp()")
+        columns.append(f"{quoted(audit_column)} TIMESTAMP DEFAULT current_timestamp()")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet")
 
 
 def append(df: DataFrame, table: str) -> None:
     """Add rows by column name; columns that `df` lacks take their default."""
-    names = ", ".join(df.columns)
+    names = ", ".join(map(quoted, df.columns))
     df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=df)
 
 
 def full_refresh(df: DataFrame, table: str) -> None:
-    """Replace all rows of a table, by column name.
+    """Replace all rows of an unpartitioned table, by column name.
 
-    The new rows are checkpointed first: a failure while computing them leaves
-    the old rows in place, `df` may read the table it replaces, and the insert
-    depends on no earlier stage. Meant for summaries, which are small beside
-    what they are computed from.
+    Columns that `df` lacks take their default. The rows are written once.
     """
     spark = df.sparkSession
-    ensure_checkpoints(spark)
-    rows = df.checkpoint()
-    names = ", ".join(df.columns)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows)
+    fields = spark.table(table).schema.fields
+    unknown = {c.lower() for c in df.columns} - {f.name.lower() for f in fields}
+    if unknown:
+        raise ValueError(f"{table} has no columns {sorted(unknown)}")
+    folder = _new_folder(spark, table)
+    df.select(*[_filled(df, f) for f in fields]).write.parquet(folder)
+    _switch(spark, table, folder)
+
+
+def _filled(df: DataFrame, field: T.StructField):
+    if field.name.lower() in {c.lower() for c in df.columns}:
+        value = F.col(quoted(field.name))
+    else:
+        value = F.expr(field.metadata.get("CURRENT_DEFAULT", "NULL"))
+    return value.cast(field.dataType).alias(field.name)
+
+
+def _new_folder(spark: SparkSession, table: str) -> str:
+    """A new folder for a table's rows, in the place of its database."""
+    database, _, name = table.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place}/{name.strip('`')}-{uuid.uuid4().hex}"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _switch(spark: SparkSession, table: str, folder: str) -> None:
+    """Point the table at its new rows, then remove the old ones."""
+    old = _location(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    remove_folder(spark, old)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_audit(df: DataFrame, column: str) -> DataFrame:
@@ -70,16 +113,24 @@ def create_view(spark: SparkSession, name: str, query: str) -> None:
 
 
 def materialize(df: DataFrame, name: str, kind: str) -> None:
-    """Keep a model as a session view, or as a table built anew."""
+    """Keep a model as a session view, or as a table built anew.
+
+    The table's rows are computed before anything of the old table is touched.
+    """
+    spark = df.sparkSession
     if kind == "view":
         register_view(df, name)
     elif kind == "table":
-        create_table(df.sparkSession, name, df.schema)
-        full_refresh(df, name)
+        folder = _new_folder(spark, name)
+        df.write.parquet(folder)
+        exists = spark.catalog.tableExists(name)
+        if not exists or spark.table(name).dtypes != df.dtypes:
+            create_table(spark, name, df.schema)
+        _switch(spark, name, folder)
     else:
         raise ValueError(f"unknown kind of model: {kind}")
 
 
 def store_failures(df: DataFrame, table: str) -> None:
     """Keep the rows a check objected to, in place of those of the last run."""
-    df.write.mode("overwrite").saveAsTable(table)
+    materialize(df, table, "table")

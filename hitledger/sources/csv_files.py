@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitledger.sources.catalog import with_audit
+from hitledger.sources.catalog import append, create_table, full_refresh, with_audit
 
 _FORMAT = {
     "header": True,
@@ -42,9 +42,9 @@ def load_csv(
     """Read files into the schema, in column order; the load fails as a whole.
 
     A value that does not parse, a wrong number of fields, a NULL in a required
-    column or a text over its declared length raises, once its column is read:
-    append the frame to a table to have every column checked. `audit_column` is
-    filled with the load time. A gzip file is one task; `spread` evens the rows
+    column or a text over its declared length raises, whatever the query on the
+    frame reads: the row filter needs every column. `audit_column` is filled
+    with the load time. A gzip file is one task; `spread` evens the rows
     out afterwards, for a load of few large files. `multiline` allows line ends
     inside quotes, at the price that plain files are one task each as well.
     """
@@ -54,6 +54,8 @@ def load_csv(
         .csv(path)
         .select(*[_enforced(field) for field in schema.fields])
     )
+    # Always true, but known only once all columns have been parsed and checked.
+    rows = rows.where(F.xxhash64(*[F.col(f.name) for f in schema.fields]) >= -(2**63))
     if spread:
         rows = rows.hint("rebalance")
     if audit_column:
@@ -61,6 +63,30 @@ def load_csv(
     return rows
 
 
+def load_table(
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    schema: T.StructType,
+    audit_column: str | None = None,
+    replace: bool = False,
+    spread: bool = False,
+    multiline: bool = False,
+) -> None:
+    """Load files into a typed catalog table, created where missing, all or nothing.
+
+    Rows are added, or with `replace` take the place of all others. A bad record
+    leaves the table as it was; `audit_column` gets the load time.
+    """
+    rows = load_csv(spark, path, schema, spread=spread, multiline=multiline)
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, schema, audit_column)
+    if replace:
+        full_refresh(rows, table)
+    else:
+        append(rows, table)
+
+
 def save_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write a directory of CSV files; times are cut to whole seconds."""
     df.write.mode("overwrite").options(**_FORMAT, compression=compression).csv(path)

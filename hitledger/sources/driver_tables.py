@@ -52,9 +52,15 @@ def raw_events(spark: SparkSession, sf_dir: str, only: str | None = None) -> Dat
     )
 
 
-def with_country(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    """Add the country of the customer behind each event, if there is one."""
+def with_country(spark: SparkSession, sf_dir: str, events: DataFrame, few: bool = False) -> DataFrame:
+    """Add the country of the customer behind each event, if there is one.
+
+    `few` says that a limit bounds the events: then one scan of the customers
+    finds theirs, and only those rows meet the events.
+    """
     homes = _table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", f"{_COUNTRY} AS country")
+    if few:
+        homes = homes.join(F.broadcast(events.select("user_id")), "user_id", "left_semi")
     return events.join(homes, "user_id", "left").select(*events.columns, "country")
 
 

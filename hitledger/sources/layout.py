@@ -7,6 +7,9 @@ from pyspark.sql import types as T
 
 from hitledger.functions.calendar import with_event_date
 
+# Some 128 to 256 MB of Parquet.
+ROWS_PER_FILE = 5_000_000
+
 
 def write_events(events: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write events in one directory per day, clustered by user within it.
@@ -17,10 +20,9 @@ def write_events(events: DataFrame, path: str, partitions: int | None = None) ->
     row-group statistics selective. Finding the ranges reads the input a first
     time, which a table that is read often pays back.
 
-    `partitions` is the number of ranges and so, about, of files: the size of
-    the table over that of a file, 256 MB say. Adaptive execution merges ranges
-    that turn out small but splits none, so the session's number of shuffle
-    partitions, which holds without it, has to suit the table.
+    `partitions` is the number of ranges and so, about, of files. Without it the
+    events are counted, one range for ROWS_PER_FILE of them: adaptive execution
+    merges ranges that turn out small but splits none.
     """
     _by_day(events, partitions).parquet(path)
 
@@ -40,7 +42,8 @@ def read_events(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 def _by_day(events: DataFrame, partitions: int | None) -> DataFrameWriter:
     keys = ["event_date", "user_id", "event_id"]
-    ranges = [partitions, *keys] if partitions else keys
-    clustered = with_event_date(events).repartitionByRange(*ranges)
+    if partitions is None:
+        partitions = max(1, -(-events.count() // ROWS_PER_FILE))
+    clustered = with_event_date(events).repartitionByRange(partitions, *keys)
     ordered = clustered.sortWithinPartitions("event_date", "user_id")
     return ordered.write.mode("overwrite").partitionBy("event_date")

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import zlib
+import uuid
 
 from pyspark.sql import SparkSession
 
+from hitledger.sources.catalog import remove_folder
+
+_folders: list[tuple[str, str]] = []
+
 
 def ensure_checkpoints(spark: SparkSession) -> str:
     """The folder the session names for checkpoints.
@@ -23,18 +27,33 @@ def ensure_checkpoints(spark: SparkSession) -> str:
     return shared or context.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str, source: str) -> str:
-    """A path for intermediate files of this application and source folder.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate files, kept until `clear`.
 
-    It is the same on each call, so that repeated runs overwrite their files.
+    Frames are lazy: one that reads such files may be used after the next call.
     """
-    return f"{ensure_checkpoints(spark)}/{_run(spark, source)}/{name}"
+    path = f"{ensure_checkpoints(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _folders.append((spark.sparkContext.applicationId, path))
+    return path
 
 
-def scratch_name(spark: SparkSession, name: str, source: str) -> str:
-    """A database name for this application and source folder."""
-    return f"hitledger_{name}_{_run(spark, source)}".replace("-", "_")
+def scratch_database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """The name of a new database of this application, and where it is to lie.
 
-
-def _run(spark: SparkSession, source: str) -> str:
-    return f"{spark.sparkContext.applicationId}_{zlib.crc32(source.encode()):08x}"
+    `clear` drops it, and the databases of its layers, `<name>_<layer>`.
+    """
+    location = scratch_path(spark, name)
+    return f"hitledger_{name}_{uuid.uuid4().hex}", location
+
+
+def clear(spark: SparkSession) -> None:
+    """Drop the databases and folders that this application has made."""
+    for row in spark.sql("SHOW DATABASES LIKE 'hitledger_*'").collect():
+        place = spark.catalog.getDatabase(row[0]).locationUri
+        if spark.sparkContext.applicationId in place:
+            spark.sql(f"DROP DATABASE {row[0]} CASCADE")
+    own = spark.sparkContext.applicationId
+    for application, folder in _folders:
+        if application == own:
+            remove_folder(spark, folder)
+    _folders[:] = [x for x in _folders if x[0] != own]

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from hitledger.session import build_session  # noqa: E402
+from hitledger.sources import scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,4 +25,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.clear(session)
     session.stop()

@@ -9,10 +9,11 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from hitledger import schemas
+from hitledger import registry, schemas
 from hitledger.plans import jobs, models, reports, views
 from hitledger.sources import catalog, csv_files, layout
-from hitledger.sources.driver_tables import AS_OF, raw_events
+from hitledger.sources import scratch
+from hitledger.sources.driver_tables import AS_OF, raw_events, with_country
 from hitledger.sources.driver_tables import users as driver_users
 from hitledger.sources.scratch import ensure_checkpoints, scratch_path
 
@@ -96,11 +97,28 @@ def test_bad_record_aborts_the_load(spark, tmp_path, base, line):
     path = users_file(tmp_path, "1,2024-01-02,US,free,True", line)
     table = f"{base}.users"
     catalog.create_table(spark, table, schemas.USERS, "updated_at")
-    with pytest.raises(FAILED_JOB):
-        catalog.append(csv_files.load_csv(spark, path, schemas.USERS), table)
+    loaded = csv_files.load_csv(spark, path, schemas.USERS)
+    for use in (
+        lambda: loaded.count(),
+        lambda: loaded.groupBy("plan_type").count().collect(),
+        lambda: loaded.select("user_id").collect(),
+        lambda: catalog.append(loaded, table),
+        lambda: csv_files.load_table(spark, path, table, schemas.USERS, replace=True),
+    ):
+        with pytest.raises(FAILED_JOB):
+            use()
     assert spark.table(table).count() == 0
 
 
+def test_load_table_adds_or_replaces(spark, tmp_path, base):
+    path = users_file(tmp_path, "1,2024-01-02,US,free,True")
+    table = f"{base}.users"
+    for replace, n in ((False, 1), (False, 2), (True, 1)):
+        csv_files.load_table(spark, path, table, schemas.USERS, "updated_at", replace=replace)
+        assert spark.table(table).count() == n
+    assert spark.table(table).filter("updated_at IS NULL").isEmpty()
+
+
 def test_csv_round_trip_keeps_whole_seconds(spark, tmp_path):
     frame = events(spark, [(1, 1, "click", dt.datetime(2024, 1, 10, 1, 2, 3, 999999))])
     csv_files.save_csv(frame.coalesce(1), str(tmp_path / "out"))
@@ -178,6 +196,92 @@ def test_failed_refresh_keeps_the_old_rows(spark, base):
     assert rows(spark.table(table).select("event_date", "event_count")) == [(DAY, 3)]
 
 
+def test_failed_materialize_keeps_the_old_rows(spark, base):
+    table = f"{base}.mart"
+    old = spark.range(5)
+    catalog.materialize(old, table, "table")
+    for broken in (
+        old.select(F.raise_error(F.lit("broken")).cast("bigint").alias("id")),
+        old.select(F.raise_error(F.lit("broken")).cast("int").alias("other")),
+    ):
+        with pytest.raises(FAILED_JOB):
+            catalog.materialize(broken, table, "table")
+        assert spark.table(table).count() == 5
+
+
+def test_table_may_be_built_from_itself(spark, base):
+    table = f"{base}.mart"
+    catalog.materialize(spark.range(5), table, "table")
+    catalog.materialize(spark.table(table).filter("id > 1"), table, "table")
+    assert rows(spark.table(table)) == [(2,), (3,), (4,)]
+    catalog.materialize(spark.table(table).selectExpr("id AS other"), table, "table")
+    assert spark.table(table).columns == ["other"]
+    (left,) = [f for f in (spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()) if f[0] == "Location"]
+    assert spark.read.parquet(left[1]).count() == 3
+
+
+def test_odd_column_names(spark, base):
+    table = f"{base}.odd"
+    odd = spark.createDataFrame([(1, 2)], "`a b` int, `c``d` int")
+    catalog.materialize(odd, table, "table")
+    catalog.append(odd, table)
+    catalog.full_refresh(spark.table(table), table)
+    assert rows(spark.table(table)) == [(1, 2), (1, 2)]
+
+
+def test_model_as_view(spark):
+    catalog.materialize(spark.range(3), "three", "view")
+    assert spark.table("three").count() == 3
+
+
+def test_refresh_refuses_unknown_columns(spark, base):
+    table = f"{base}.daily"
+    jobs.create_daily_summary(spark, table)
+    with pytest.raises(ValueError):
+        catalog.full_refresh(spark.range(1), table)
+
+
+def test_failed_build_keeps_the_mart(spark, base, tmp_path):
+    raw, members = raw_events(spark, SF_DIR), driver_users(spark, SF_DIR)
+    for name, df in (("raw_events", raw), ("users", members)):
+        catalog.materialize(df, f"{base}.{name}", "table")
+    place = str(tmp_path / "layers")
+    names = models.build_models(spark, base, f"{base}.raw_events", f"{base}.users", place)
+    mart = rows(spark.table(names["daily_summary"]))
+    folder = str(tmp_path / "broken")
+    members.write.parquet(folder)
+    for file in (tmp_path / "broken").glob("*.parquet"):
+        file.write_bytes(b"not Parquet")
+    spark.sql(f"ALTER TABLE {base}.users SET LOCATION '{folder}'")
+    with pytest.raises(FAILED_JOB):
+        models.build_models(spark, base, f"{base}.raw_events", f"{base}.users", place)
+    assert rows(spark.table(names["daily_summary"])) == mart
+    for name in ("staging", "marts"):
+        spark.sql(f"DROP DATABASE {base}_{name} CASCADE")
+
+
+def test_built_and_laid_out_tables_are_whole(spark, tmp_path):
+    whole = with_country(spark, SF_DIR, raw_events(spark, SF_DIR))
+    base, _, _ = registry._built(spark, SF_DIR, "whole")
+    loaded = spark.table(f"{base}.raw_events").drop(schemas.AUDIT_COLUMN["raw_events"])
+    assert rows(loaded.select(*whole.columns)) == rows(whole)
+    path = str(tmp_path / "laid_out")
+    layout.write_events(whole, path)
+    assert rows(layout.read_events(spark, path, whole.schema).drop("event_date")) == rows(whole)
+
+
+def test_frames_stay_readable_until_cleared(spark):
+    first = registry.csv_load(spark, SF_DIR)
+    second = registry.csv_load(spark, SF_DIR)
+    mart = registry.model_build(spark, SF_DIR)
+    registry.model_build(spark, SF_DIR)
+    assert rows(first) == rows(second) and mart.count() > 0
+    scratch.clear(spark)
+    assert not spark.sql("SHOW DATABASES LIKE 'hitledger_*'").collect()
+    with pytest.raises(FAILED_JOB):
+        first.collect()
+
+
 def test_weekly_refresh_does_not_repeat_weeks(spark, base):
     daily, weekly = f"{base}.daily", f"{base}.weekly"
     jobs.create_daily_summary(spark, daily)
@@ -342,9 +446,8 @@ def test_reports_look_back_from_today_by_default(spark):
 def test_scratch_lies_in_the_named_checkpoint_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert ensure_checkpoints(spark) == shared
-    path = scratch_path(spark, "x", SF_DIR)
-    assert path.startswith(shared) and path == scratch_path(spark, "x", SF_DIR)
-    assert path != scratch_path(spark, "x", "/elsewhere")
+    path = scratch_path(spark, "x")
+    assert path.startswith(shared) and path != scratch_path(spark, "x")
 
 
 def test_checkpoints_need_a_shared_folder_on_a_cluster():
