@@ -185,7 +185,75 @@ QUERIES: dict[str, Query] = {
 
 _WHITE = r"[\x20\x09-\x0D]+"
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _word_list(pattern: str) -> str:
+    """The words of `text` in DuckDB, A-Z in lower case."""
+    lowered = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+    return f"regexp_extract_all({lowered}, '{pattern}')"
+
+
+_PLAIN_WORDS = _word_list(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WHITE_WORDS = _word_list(r"[^\x20\x09-\x0D]+")
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH docs AS (
+            SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents
+        ), items AS (
+            SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark
+        ), windows AS (
+            SELECT item_id, least(len(w), 10) AS size,
+                   array_to_string(w[i : i + 9], ' ') AS gram
+            FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i)
+            WHERE len(w) > 0
+        ), sizes AS (
+            SELECT DISTINCT size FROM windows
+        ), grams AS (
+            SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+            FROM docs, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)
+        ), hits AS (
+            SELECT doc_id, i, size, item_id FROM grams JOIN windows USING (size, gram)
+        ), words AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM hits, unnest(range(i, i + size)) AS t(p) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hits GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+    "op3_near_dedup": f"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, {_WHITE_WORDS} AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 1], ' ') AS s
+            FROM docs, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS t(i)
+            WHERE len(w) > 0
+        ), sizes AS (
+            SELECT doc_id, count(s) AS n FROM docs LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY a, b
+        ), links AS (
+            SELECT a, b FROM shared
+            JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM docs
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), components AS (
+            SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sizes JOIN components USING (doc_id)
+    """,
     "op8_exact_dedup": rf"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
