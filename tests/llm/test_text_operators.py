@@ -51,7 +51,7 @@ def test_exact_dedup_keeps_whole_rows(spark):
     assert kept.columns == docs.columns
     texts = [normal(r.text) for r in kept.collect()]
     assert sorted(texts) == sorted({normal(r.text) for r in docs.collect()})
-    assert {r.doc_id for r in kept.collect()} >= {1, 3, 4, 8 if False else 9, 14}
+    assert {r.doc_id for r in kept.collect()} >= {1, 3, 4, 9, 14}
 
 
 def test_filter_only_saves_shuffles(spark, monkeypatch):
@@ -104,9 +104,8 @@ def test_near_dedup_filter(spark):
     docs = clashing(documents(spark))
     kept = near_dedup.near_deduplicated(docs, size=2)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 8, 10, 11, None, -3, 13} - (
-        {3} if 100 * 16 >= 80 * 19 else set()
-    )
+    # 3 shares 16 of 19 shingles with 1, 14 has all of 4's and one more.
+    assert {r.doc_id for r in kept.collect()} == {1, 4, 5, 6, 7, 8, 10, 11, None, -3, 13}
 
 
 def test_a_large_bucket_loses_no_link(spark, monkeypatch):
