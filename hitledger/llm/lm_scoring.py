@@ -259,36 +259,6 @@ class Automaton:
         self.failures.append(failures)
 
 
-class _WordNumbers(dict):
-    """Numbers of words in an automaton, 0 for rare ones, remembered."""
-
-    def __init__(self, words: np.ndarray):
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = int(_found(self.words, _hashes.of([word]))[0])
-        self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
-_numbers: dict[int, _WordNumbers] = {}
-
-
-def _numbering(automaton: Automaton) -> _WordNumbers:
-    """The numbers of this worker for the automaton it has at hand."""
-    key = hash((len(automaton.words), automaton.n_train, automaton.words[:1].tobytes()))
-    if key not in _numbers:
-        _numbers.clear()
-        _numbers[key] = _WordNumbers(automaton.words)
-    return _numbers[key]
-
-
 def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int = ORDER):
     """The automaton and the table of all word counts, from the `usable` documents.
 
@@ -320,7 +290,7 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
             if not train:
                 return np.empty(0, np.uint64)
             a = shared.value
-            ids = _numbering(a).of([*text.lower().split(), END])
+            ids = _found(a.words, _hashed(text))
             if k:
                 before = np.concatenate(([0], a.states(ids)[k - 1][:-1]))
             else:
@@ -358,7 +328,6 @@ def _scorer(shared, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: Automaton = shared.value
-        numbers = _numbering(a)
         known_counts = np.concatenate(([0], a.train))
         names = [c.split()[0] for c in _SCORED.split(", ")]
         kinds = [*[pa.int64()] * 4, pa.float64(), pa.float64(), pa.int32(), *[pa.binary()] * 3]
@@ -385,16 +354,15 @@ def _scorer(shared, buckets: int):
             out = []
             rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
             for row, doc, text in zip(rows, ids, text_bytes(batch.column("text")), strict=True):
-                words = text.lower().split()
-                words.append(END)
-                word_ids = numbers.of(words)
+                hashes = _hashed(text)
+                word_ids = _found(a.words, hashes)
                 counts = known_counts[word_ids]
                 frequent = word_ids > 0
                 base = float(np.log10(counts[frequent] + 1.0).sum())
                 score = float(a.logs(word_ids, counts).sum())
-                out.append((row, doc, len(words), int((counts > 0).sum()), base, score, *[None] * 4))
+                out.append((row, doc, len(hashes), int((counts > 0).sum()), base, score, *[None] * 4))
                 if not frequent.all():
-                    rare = _hashes.of([words[i] for i in np.flatnonzero(~frequent).tolist()])
+                    rare = hashes[~frequent]
                     asked.append(rare)
                     askers.append(row)
                     held += len(rare)
