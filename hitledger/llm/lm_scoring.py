@@ -38,6 +38,8 @@ DISCOUNT = 0.5
 # of counts.
 CHUNK_TOKENS = 2_000_000
 BUCKET_BYTES = 32_000_000
+# Documents whose sums are put together at a time, as a power of two.
+BLOCK_BITS = 10
 
 # No word holds a space.
 END = b" "
@@ -379,8 +381,12 @@ def _scorer(shared, buckets: int):
     return run
 
 
+_ANSWERS = "block long, rows binary, n_known binary, base binary, score binary"
+_TOTALS = "doc_id long, n_tokens long, n_known long, base double, score double"
+
+
 def _answers(unknown: float, discount: float, n_train: int):
-    """What the rare words of a bucket add to each document."""
+    """What the rare words of a bucket add to the documents, a packed row per block of them."""
 
     def run(key: tuple, counts: pa.Table, asked: pa.Table) -> pa.Table:
         keys, rows, times = (
@@ -392,16 +398,40 @@ def _answers(unknown: float, discount: float, n_train: int):
         c = train[_found(known, keys)]
         p = np.where(c > 0, (c - discount) / max(n_train, 1), unknown)
         found, place = np.unique(rows, return_inverse=True)
-        sums = [np.bincount(place, w * times, len(found)).astype(float) for w in (c > 0, np.log10(c + 1.0), np.log10(p))]
-        return pa.table(
-            [pa.array(found, pa.int64()), pa.array(sums[0].astype(np.int64), pa.int64()),
-             pa.array(sums[1]), pa.array(sums[2])],
-            names=["row", "n_known", "base", "score"],
-        )
+        sums = [np.bincount(place, w * times, len(found)).astype("<f8") for w in (c > 0, np.log10(c + 1.0), np.log10(p))]
+        blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
+        ends = np.append(first[1:], len(found))[: len(first)]
+        cuts = [slice(a, b) for a, b in zip(first, ends, strict=True)]
+        packed = [[x[cut].tobytes() for cut in cuts] for x in (found.astype("<i8"), *sums)]
+        kinds = [pa.int64(), *[pa.binary()] * 4]
+        names = [c.split()[0] for c in _ANSWERS.split(", ")]
+        return pa.table([pa.array(x, k) for x, k in zip([blocks, *packed], kinds, strict=True)], names=names)
 
     return run
 
 
+def _totals(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a block with what all buckets have answered."""
+    order = np.argsort(own.column("row").to_numpy(), kind="stable")
+    rows = own.column("row").to_numpy()[order]
+    asked = np.concatenate([np.empty(0, "<i8"), *(np.frombuffer(x, "<i8") for x in answers.column("rows").to_pylist())])
+    place = np.searchsorted(rows, asked)
+    total = {}
+    for name in ("n_known", "base", "score"):
+        more = np.concatenate([np.empty(0), *(np.frombuffer(x, "<f8") for x in answers.column(name).to_pylist())])
+        total[name] = own.column(name).to_numpy()[order] + np.bincount(place, more, len(rows))
+    return pa.table(
+        [
+            own.column("doc_id").combine_chunks().take(pa.array(order)),
+            own.column("n_tokens").combine_chunks().take(pa.array(order)),
+            pa.array(np.round(total["n_known"]).astype(np.int64)),
+            pa.array(total["base"]),
+            pa.array(total["score"]),
+        ],
+        names=[c.split()[0] for c in _TOTALS.split(", ")],
+    )
+
+
 def scores(
     docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER
 ) -> DataFrame:
@@ -427,18 +457,15 @@ def scores(
         words.select("bucket", "keys", "train")
         .groupBy("bucket")
         .cogroup(asked.groupBy("bucket"))
-        .applyInArrow(answer, "row long, n_known long, base double, score double")
-        .select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
-                "n_known", "base", "score")
-    )
+        .applyInArrow(answer, _ANSWERS)
+    )
+    # A block holds at most 2^BLOCK_BITS documents that one task has read.
+    own = own.withColumn("block", F.shiftright("row", BLOCK_BITS))
     total = automaton.n_train + automaton.n_known + 1
     return (
-        own.unionByName(rare)
-        .groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")],
-        )
+        own.groupBy("block")
+        .cogroup(rare.groupBy("block"))
+        .applyInArrow(_totals, _TOTALS)
         .select(
             "doc_id",
             "n_tokens",
