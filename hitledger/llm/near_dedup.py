@@ -138,9 +138,12 @@ def _confirmed(percent: int):
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
+    pairs = saved(pairs, "near-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets.join(saved(nodes, "near-nodes"), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    with_sets = saved(pairs, "near-pairs").join(left, "a").join(right, "b")
+    with_sets = pairs.join(left, "a").join(right, "b")
     confirmed = with_sets.select("a", "b", "set_a", "set_b").mapInArrow(
         _confirmed(percent), "a long, b long"
     )
@@ -194,19 +197,16 @@ def near_duplicates(
         ),
         "near-classes",
     )
-    parities = [F.element_at("parity", i + 1).alias(f"p{i}") for i in range(PARITY_WORDS)]
-    members = classes.select(
-        F.explode("bands").alias("bucket"),
-        "node",
-        "bands",
-        F.struct(F.col("n_shingles").alias("n"), *parities).alias("sketch"),
-    )
+    members = classes.select(F.explode("bands").alias("bucket"), "node")
     crowded = saved(
-        members.select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-crowded"
+        members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-crowded"
     )
     shared = saved(members.join(crowded, "bucket"), "near-buckets")
     # The texts of the classes that meet another one in some bucket are read again.
-    active = classes.join(shared.select("node").distinct(), "node", "left_semi")
+    parities = [F.element_at("parity", i + 1).alias(f"p{i}") for i in range(PARITY_WORDS)]
+    sketch = F.struct(F.col("n_shingles").alias("n"), *parities).alias("sketch")
+    meeting = classes.join(shared.select("node").distinct(), "node", "left_semi")
+    active = saved(meeting.select("node", "bands", sketch, "least", "text_hash"), "near-active")
     wanted = active.select(F.col("least").alias("doc_id"), "text_hash", "node")
     texts = rows.join(
         wanted,
@@ -214,14 +214,15 @@ def near_duplicates(
     )
     found = texts.select("node", "text").mapInArrow(_sets(size), "node long, shingles binary")
     sets = saved(found.dropDuplicates(["node"]), "near-sets")
+    active = active.select("node", "bands", "sketch")
     linked = sets.select("node", F.col("node").alias("component"))
     for turn in range(STAR_TURNS):
-        pairs = _star_pairs(shared, linked, percent, turn)
+        pairs = _star_pairs(shared, linked, active, percent, turn)
         links = _links(pairs, sets, percent)
         if links.isEmpty():
             break
         linked = _joined(linked, links)
-    links = _links(_cross_pairs(shared, linked, percent), sets, percent)
+    links = _links(_cross_pairs(shared, linked, active, percent), sets, percent)
     linked = _joined(linked, links)
     owners = classes.select(*key, "node", "least").join(linked, "node", "left")
     owners = owners.withColumn("component", F.coalesce("component", "node"))
@@ -270,29 +271,29 @@ def _placed(shared: DataFrame, linked: DataFrame) -> DataFrame:
     return placed.join(mixed_buckets, "bucket")
 
 
-def _star_pairs(shared: DataFrame, linked: DataFrame, percent: int, turn: int) -> DataFrame:
+def _star_pairs(
+    shared: DataFrame, linked: DataFrame, active: DataFrame, percent: int, turn: int
+) -> DataFrame:
     """Pairs of one member of each bucket, another one each turn, and all others apart from it."""
     placed = saved(_placed(shared, linked), "near-placed")
     centres = saved(
         placed.groupBy("bucket")
         .agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component", "sketch")).alias("c")
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("c")
         )
-        .select(
-            "bucket",
-            F.col("c.node").alias("a"),
-            F.col("c.component").alias("component_a"),
-            F.col("c.sketch").alias("sketch_a"),
-        ),
+        .select("bucket", F.col("c.node").alias("a"), F.col("c.component").alias("component_a")),
         "near-stars",
     )
-    return (
+    pairs = (
         placed.join(centres, "bucket")
         .where(F.col("component") != F.col("component_a"))
-        .where(_may_match(percent, "sketch", "sketch_a"))
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
+    of_a = active.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    of_b = active.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    sketched = saved(pairs, "near-star-pairs").join(of_a, "a").join(of_b, "b")
+    return sketched.where(_may_match(percent, "sketch_a", "sketch_b")).select("a", "b")
 
 
 def _may_match(percent: int, of_a: str, of_b: str) -> Column:
@@ -310,7 +311,9 @@ def _may_match(percent: int, of_a: str, of_b: str) -> Column:
     return near_sizes & ((100 + percent) * apart <= (100 - percent) * (size_a + size_b))
 
 
-def _cross_pairs(shared: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(
+    shared: DataFrame, linked: DataFrame, active: DataFrame, percent: int
+) -> DataFrame:
     """All pairs that share a bucket, lie in different components and may be similar.
 
     The members outside a bucket's largest component meet all others. A pair comes out
@@ -325,7 +328,7 @@ def _cross_pairs(shared: DataFrame, linked: DataFrame, percent: int) -> DataFram
         .agg(F.max_by("component", F.struct("own", "component")).alias("main"), F.max("own").alias("own")),
         "near-main",
     )
-    placed = saved(placed.join(main, "bucket"), "near-placed")
+    placed = saved(placed.join(main, "bucket"), "near-placed").join(active, "node")
     n_left = F.ceil((F.col("n") - F.col("own")) / BLOCK).cast("int")
     n_right = F.ceil(F.col("n") / BLOCK).cast("int")
 
