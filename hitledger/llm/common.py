@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from hitledger.sources.scratch import ensure_checkpoints
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Entries a Python worker remembers before it starts anew.
-MEMO_SIZE = 400_000
+MEMO_SIZE = 200_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -67,11 +69,11 @@ def with_free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def text_bytes(column) -> list[bytes]:
-    """UTF-8 of an Arrow text column; a missing text is empty."""
-    import pyarrow as pa
-
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+def text_bytes(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 of an Arrow text column, a few rows copied at a time; a missing text is empty."""
+    for at in range(0, len(column), 200):
+        for text in column.slice(at, 200).cast(pa.binary()).to_pylist():
+            yield text or b""
 
 
 class WordHashes(dict):
