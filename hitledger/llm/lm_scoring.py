@@ -1,31 +1,36 @@
 """Language-model scores of documents by a weighted backoff automaton.
 
-Words are counted over all training documents. N-grams seen in at least one of every
-1 / STATES tokens become the automaton: a state for each context, an arc for each kept
-n-gram with its smoothed log-probability, and a failure arc with the backoff weight to
-the state of the context without its first word. As every kept n-gram fills that share
-of the tokens, there are at most STATES of each order: the automaton has a bounded size
-whatever the corpus, and is broadcast. Reading a document from left to right, each word
-takes its arc, or fails until there is one; numpy does this for a document at a time.
-
-Words that are rarer are in no n-gram; what they add depends on their count alone. They
-are asked for, as hashes with the document's number, where the counts lie, in a shuffle
-of packed blocks, and the answers are added up per document.
+Words are counted over all documents, n-grams over the training ones. An n-gram seen at
+least LEAST_COUNT times, whatever the size of the corpus, has an arc with its smoothed
+log-probability; a context has a failure arc with the backoff weight to the context
+without its first word. Counts, arcs and weights lie in buckets of hashes on the shared
+folder. A word's log-probability is a sum: the word's, the weights of the contexts, and
+for each n-gram with an arc what this adds to the way by failure. So each n-gram has one
+value, and a document's score is the sum of the values of its n-grams.
+
+What fills at least one of every STATES tokens, and so is bounded, is broadcast as an
+automaton of numbered states. What it lacks is asked for, as hashes with the document's
+number, where the values lie, in a shuffle of packed blocks, and the answers are added up
+per document. Bit maps of the hashes of arcs, bounded as well, save most questions about
+n-grams without an arc; where they fill up, more is asked, with the same result.
 
 Words are runs of what is no white space, with A-Z in lower case; each document ends in
 an end token, which counts. A missing text has the end alone. Unigrams are discounted by
 an absolute amount, and what is taken off is the probability of the one unknown word;
-longer n-grams are interpolated with shorter ones. Words are told apart by 64-bit hashes.
+longer n-grams are interpolated with shorter ones. Words and n-grams are told apart by
+64-bit hashes.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.llm.common import WordHashes, mixed, saved, text_bytes
@@ -41,10 +46,16 @@ BUCKET_BYTES = 32_000_000
 # Documents whose sums are put together at a time, as a power of two.
 BLOCK_BITS = 10
 
+# Bits of a map for each arc, and of a map at most, as a power of two.
+FILTER_BITS_PER_ARC = 16
+FILTER_BITS = 30
+
 # No word holds a space.
 END = b" "
 
 _hashes = WordHashes()
+# The context of a document's first word.
+BEGIN = _hashes.of([b"  "])
 
 
 def _hashed(text: bytes) -> np.ndarray:
@@ -53,10 +64,14 @@ def _hashed(text: bytes) -> np.ndarray:
     return _hashes.of(words)
 
 
-def _buckets(texts: DataFrame) -> int:
-    """A power of two, so that a bucket is a range of hashes."""
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return 1 << max(3, int(size // BUCKET_BYTES).bit_length())
+def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of all words but the last and of all but the first."""
+    return mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + second)
+
+
+def _pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and second part of a document's bigrams, the first of which is with BEGIN."""
+    return np.concatenate((BEGIN, hashes[:-1])), hashes
 
 
 def _slices(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -149,26 +164,234 @@ def _counts(docs: DataFrame, keys_of, buckets: int, least: int, name: str) -> Da
     return saved(chunks.groupBy("bucket").applyInArrow(_merged(least), _MERGED), name)
 
 
-def _gathered(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that occur `least` times, and their training counts; at most STATES of them."""
+_NGRAMS = "bucket int, keys binary, first binary, second binary, counts binary, n_kept long"
+
+
+def _packed_table(schema: str, rows: list[tuple]) -> pa.Table:
+    """Rows of a schema of int, long, double and binary; arrays become bytes."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    cells = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in row] for row in rows]
+    columns = list(zip(*cells, strict=True)) or [[]] * len(fields)
+    return pa.table(
+        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)],
+        names=[name for name, _ in fields],
+    )
+
+
+def _joint(table: pa.Table, name: str, kind: str) -> np.ndarray:
+    """The arrays of all rows of a binary column, one after the other."""
+    parts = (np.frombuffer(x, kind) for x in table.column(name).to_pylist() if x is not None)
+    return np.concatenate([np.empty(0, kind), *parts])
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different keys in order, the order of all, and where in it each key starts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[starts], order, starts
+
+
+def _ngram_counter(parts_of, buckets: int):
+    """Counts the n-grams of which `parts_of(text)` gives the first and second parts."""
+    shift = np.uint64(65 - buckets.bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, seconds, held = [], [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            first, second = np.concatenate(firsts), np.concatenate(seconds)
+            keys, place, starts = _distinct(_joined(first, second))
+            counts = np.diff(np.append(starts, len(first)))
+            first, second = first[place[starts]], second[place[starts]]
+            # Equal contexts side by side take less room in the shuffle.
+            inner = np.uint64(buckets.bit_length() - 1)
+            order = np.argsort((keys >> shift << shift) | (first >> inner))
+            first, second, counts, bucket = first[order], second[order], counts[order], keys[order] >> shift
+            bounds = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64)).tolist()
+            rows = [
+                (k, None, first[a:b], second[a:b], counts[a:b].astype("<u4"), None)
+                for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))
+                if a < b
+            ]
+            yield from _packed_table(_NGRAMS, rows).to_batches()
+
+        for batch in batches:
+            for text in text_bytes(batch.column("text")):
+                first, second = parts_of(text)
+                if len(first):
+                    firsts.append(first)
+                    seconds.append(second)
+                    held += len(first)
+                if held >= CHUNK_TOKENS:
+                    yield from packed()
+                    firsts, seconds, held = [], [], 0
+        if held:
+            yield from packed()
+
+    return run
+
+
+def _ngrams_merged(key: tuple, table: pa.Table) -> pa.Table:
+    """One row per bucket with the n-grams that occur LEAST_COUNT times."""
+    first, second = _joint(table, "first", "<u8"), _joint(table, "second", "<u8")
+    keys, place, starts = _distinct(_joined(first, second))
+    counts = np.add.reduceat(_joint(table, "counts", "<u4")[place].astype(np.int64), starts)
+    keep = counts >= LEAST_COUNT
+    at = place[starts[keep]]
+    row = (key[0].as_py(), keys[keep], first[at], second[at], counts[keep], int(keep.sum()))
+    return _packed_table(_NGRAMS, [row])
+
+
+@dataclass
+class Arcs:
+    """A bit map of the hashes of n-grams with an arc: none is missed, some have a bit for nothing."""
+
+    bits: np.ndarray
+    power: int
+
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
+        slot = (keys >> np.uint64(64 - self.power)).astype(np.int64)
+        return (self.bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
+
+    @classmethod
+    def of(cls, ngrams: DataFrame, buckets: int) -> Arcs:
+        n = ngrams.agg(F.sum("n_kept")).first()[0] or 0
+        inner = buckets.bit_length() - 1
+        power = max(inner + 3, min(FILTER_BITS, (FILTER_BITS_PER_ARC * n).bit_length()))
+
+        def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    slots = np.frombuffer(row["keys"], "<u8") >> np.uint64(64 - power)
+                    own = np.zeros(1 << (power - inner), bool)
+                    own[(slots & np.uint64(len(own) - 1)).astype(np.int64)] = True
+                    out = [(row["bucket"], np.packbits(own))]
+                    yield from _packed_table("bucket int, bits binary", out).to_batches()
+
+        bits = np.zeros(1 << (power - 3), np.uint8)
+        size = len(bits) // buckets
+        for r in ngrams.select("bucket", "keys").mapInArrow(mapped, "bucket int, bits binary").collect():
+            bits[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+        return cls(bits, power)
+
+
+_ASKED_CONTEXTS = "bucket int, origin int, keys binary, total binary, number binary"
+
+
+def _context_requests(buckets: int):
+    """Per bucket of shorter n-grams: those that n-grams here begin or end with, once each.
+
+    With them go the sum and the number of the counts of the n-grams that begin so.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                first, second = np.frombuffer(row["first"], "<u8"), np.frombuffer(row["second"], "<u8")
+                counts = np.frombuffer(row["counts"], "<i8")
+                keys, place = np.unique(np.concatenate((first, second)), return_inverse=True)
+                place = place[: len(first)]
+                total = np.bincount(place, counts, len(keys)).astype("<i8")
+                number = np.bincount(place, minlength=len(keys)).astype("<i8")
+                out = [(b, row["bucket"], keys[s], total[s], number[s]) for b, s in _slices(keys, buckets)]
+                yield from _packed_table(_ASKED_CONTEXTS, out).to_batches()
+
+    return run
+
+
+# `counts` decide what is broadcast, `train` are training counts, `logs` log-probabilities;
+# `adds` is what an arc adds to the way by failure (of words, all), `fails` the backoff weight.
+_LEVEL = (
+    "bucket int, origin int, keys binary, first binary, second binary, counts binary, "
+    "train binary, logs binary, adds binary, fails binary, left binary"
+)
+
+
+def _contexts(words: tuple | None):
+    """Weights of the n-grams of a bucket as contexts, and answers for the longer ones.
+
+    `words` are, for the table of words, what their probabilities need: training tokens,
+    discount, unknown word's probability, training documents and number of buckets.
+    """
+
+    def run(key: tuple, own: pa.Table, asked: pa.Table) -> pa.Table:
+        bucket = (own if own.num_rows else asked).column("bucket")[0].as_py()
+        keys, train = _joint(own, "keys", "<u8"), _joint(own, "train", "<i8")
+        counts = _joint(own, "counts", "<i8")
+        if words:
+            n_train, discount, unknown, n_docs, buckets = words
+            if bucket == int(BEGIN[0] >> np.uint64(65 - buckets.bit_length())):
+                at = np.searchsorted(keys, BEGIN[0])
+                keys, train = np.insert(keys, at, BEGIN[0]), np.insert(train, at, n_docs)
+                counts = np.insert(counts, at, n_docs)
+            p = np.where(train > 0, (train - discount) / max(n_train, 1), unknown)
+            logs = adds = np.log10(p)
+            first = second = np.empty(0, "<u8")
+        else:
+            logs, adds = _joint(own, "logs", "<f8"), _joint(own, "adds", "<f8")
+            first, second = _joint(own, "first", "<u8"), _joint(own, "second", "<u8")
+        wanted = _joint(asked, "keys", "<u8")
+        place = np.searchsorted(keys, wanted)
+        total = np.bincount(place, _joint(asked, "total", "<i8"), len(keys))
+        number = np.bincount(place, _joint(asked, "number", "<i8"), len(keys))
+        left = 1 - (total - DISCOUNT * number) / np.maximum(train, 1)
+        fails = np.log10(np.maximum(left, 1e-12))
+        rows = [(bucket, None, keys, first, second, counts, train, logs, adds, fails, None)]
+        for origin, asks in zip(asked.column("origin").to_pylist(), asked.column("keys").to_pylist(), strict=True):
+            asks = np.frombuffer(asks, "<u8")
+            at = np.searchsorted(keys, asks)
+            rows.append((None, origin, asks, *[None] * 3, train[at], logs[at], None, None, left[at]))
+        return _packed_table(_LEVEL, rows)
+
+    return run
+
+
+def _arcs(key: tuple, ngrams: pa.Table, answers: pa.Table) -> pa.Table:
+    """Log-probabilities of the n-grams of a bucket from the answers about their parts."""
+    known = _joint(answers, "keys", "<u8")
+    order = np.argsort(known)
+    train, logs, left = (
+        _joint(answers, name, kind)[order] for name, kind in (("train", "<i8"), ("logs", "<f8"), ("left", "<f8"))
+    )
+    keys, first, second = (_joint(ngrams, name, "<u8") for name in ("keys", "first", "second"))
+    counts = _joint(ngrams, "counts", "<i8")
+    context, shorter = (np.searchsorted(known[order], x) for x in (first, second))
+    own = (counts - DISCOUNT) / train[context]
+    found = np.log10(own + left[context] * 10 ** logs[shorter])
+    adds = found - np.log10(np.maximum(left[context], 1e-12)) - logs[shorter]
+    row = (key[0].as_py(), None, keys, first, second, counts, counts, found, adds, np.zeros(len(keys)), None)
+    return _packed_table(_LEVEL, [row])
+
+
+def _longer(level: DataFrame, ngrams: DataFrame, buckets: int, words: tuple | None, name: str):
+    """The shorter n-grams of `level` with their weights, and the level of `ngrams`."""
+    asked = ngrams.mapInArrow(_context_requests(buckets), _ASKED_CONTEXTS)
+    both = saved(
+        level.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_contexts(words), _LEVEL),
+        f"{name}-contexts",
+    )
+    answers = both.where("origin is not null").select("origin", "keys", "train", "logs", "left")
+    arcs = ngrams.groupBy("bucket").cogroup(answers.groupBy("origin")).applyInArrow(_arcs, _LEVEL)
+    return both.where("origin is null"), saved(arcs, f"{name}-arcs")
+
+
+def _gathered(level: DataFrame, least: int) -> dict[str, np.ndarray]:
+    """What occurs `least` times, at most STATES of a level, and BEGIN."""
+    kinds = {"keys": "<u8", "first": "<u8", "second": "<u8", "train": "<i8", "logs": "<f8", "fails": "<f8"}
+    schema = ", ".join(f"{c} binary" for c in kinds)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, n, train = (
-                    np.frombuffer(row[c], k) for c, k in (("keys", "<u8"), ("counts", "<i8"), ("train", "<i8"))
-                )
-                keep = n >= least
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[keep].tobytes()]), pa.array([train[keep].tobytes()])],
-                    names=["keys", "train"],
-                )
-
-    rows = counts.select("keys", "counts", "train").mapInArrow(frequent, "keys binary, train binary").collect()
-    keys = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(r["keys"], "<u8") for r in rows)])
-    train = np.concatenate([np.empty(0, "<i8"), *(np.frombuffer(r["train"], "<i8") for r in rows)])
-    order = np.argsort(keys)
-    return keys[order], train[order]
+                columns = [np.frombuffer(row[c], k) for c, k in kinds.items()]
+                keep = (np.frombuffer(row["counts"], "<i8") >= least) | (columns[0] == BEGIN[0])
+                out = [tuple(x[keep] if len(x) else x for x in columns)]
+                yield from _packed_table(schema, out).to_batches()
+
+    rows = level.select(*kinds, "counts").mapInArrow(frequent, schema).collect()
+    return {c: np.concatenate([np.empty(0, k), *(np.frombuffer(r[c], k) for r in rows)]) for c, k in kinds.items()}
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -181,7 +404,7 @@ def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Automaton:
-    """Words and n-grams by number from 1 on; state 0 is the one without context.
+    """The frequent words and n-grams by number from 1 on; state 0 has no context.
 
     `arcs[k]` are the kept n-grams of k + 2 words, as sorted numbers made of the state of
     the words before (high half) and the last word (low half); `arc_logs[k]` are their
@@ -198,6 +421,8 @@ class Automaton:
     arc_counts: list[np.ndarray]
     arc_logs: list[np.ndarray]
     failures: list[np.ndarray]
+    # Of the n-grams of 2, 3, ... words, in the automaton or not.
+    maps: list[Arcs] = field(default_factory=list)
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         """Probabilities of words by their training counts."""
@@ -216,53 +441,72 @@ class Automaton:
             before = np.concatenate(([0], arc[:-1]))
         return out
 
-    def logs(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The log10-probability of each word; a rare word's own count is not known here.
+    def logs(self, ids: np.ndarray, counts: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
+        """The log10-probability of each word as far as it is known here.
 
-        For word number 0 only the backoff weights count.
+        What is not in the automaton adds nothing; its value comes on top.
         """
         begin = len(self.words) + 1
         with np.errstate(divide="ignore"):
             total = np.where(ids > 0, np.log10(self.unigram(counts)), 0.0)
         before = np.concatenate(([begin], ids[:-1]))
-        for arc, logs, failures in zip(self.states(ids), self.arc_logs, self.failures, strict=True):
+        for arc, logs, failures in zip(states, self.arc_logs, self.failures, strict=False):
             total = np.where(arc > 0, logs[arc], failures[before] + total)
             before = np.concatenate(([0], arc[:-1]))
         return total
 
-    def add_order(self, arcs: np.ndarray, counts: np.ndarray, n_docs: int) -> None:
-        """Arcs one word longer than before, with interpolated probabilities."""
-        k = len(self.arcs)
-        if k:
-            before = np.concatenate(([0], self.arc_counts[-1]))
+    def rare(self, hashes: np.ndarray, ids: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
+        """Hashes of the words and n-grams to ask for."""
+        out = [hashes[ids == 0]]
+        keys, fit = _joined(*_pairs(hashes)), True
+        for k, (arcs, known) in enumerate(zip(self.maps, states, strict=True)):
+            if k:
+                keys = _joined(keys[:-1], keys[1:])
+                # An n-gram with an arc has them for its parts.
+                fit, known = fit[:-1] & fit[1:], known[1:]
+            fit = fit & ((known > 0) | arcs.maybe(keys))
+            out.append(keys[fit & (known == 0)])
+        return np.concatenate(out)
+
+    def add_words(self, found: dict[str, np.ndarray]) -> None:
+        """The words of the automaton and their weights as contexts, and that of BEGIN."""
+        order = np.argsort(found["keys"])
+        keys, train, fails = (found[c][order] for c in ("keys", "train", "fails"))
+        own = keys != BEGIN[0]
+        self.words, self.train = keys[own], train[own]
+        self.failures.append(np.concatenate(([0.0], fails[own], fails[~own] if not own.all() else [0.0])))
+
+    def add_order(self, found: dict[str, np.ndarray], shorter: np.ndarray | None) -> np.ndarray:
+        """Arcs one word longer than before; `shorter` and the result are hashes by number."""
+        if shorter is None:
+            context = _found(self.words, found["first"])
+            context[found["first"] == BEGIN[0]] = len(self.words) + 1
+            word = _found(self.words, found["second"])
         else:
-            before = np.concatenate(([0], self.train, [n_docs]))
-        context = (arcs >> np.uint64(32)).astype(np.int64)
-        word = (arcs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        own = np.where(counts > 0, counts - DISCOUNT, 0.0) / np.maximum(before[context], 1)
-        left = 1 - np.bincount(context, own, len(before))
-        left[0] = 1.0
-        shorter = self.unigram(self.train[word - 1])
-        if k:
-            # The same word after the context without its first word; it has an arc, as it
-            # occurs there at least as often.
-            last = (self.arcs[-1][context - 1] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            if k == 1:
-                wanted = (last.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
-                arc = _found(self.arcs[0], wanted)
-                backed = self.failures[0][last] + np.log10(shorter)
-                shorter = 10 ** np.where(arc > 0, self.arc_logs[0][arc], backed)
-        with np.errstate(divide="ignore"):
-            logs = np.log10(own + left[context] * shorter)
-            failures = np.log10(np.maximum(left, 1e-12))
-        self.arcs.append(arcs)
-        self.arc_counts.append(counts)
-        self.arc_logs.append(np.concatenate(([0.0], logs)))
-        self.failures.append(failures)
+            order = np.argsort(shorter)
+            number = np.concatenate(([0], order + 1))
+            context, ending = (number[_found(shorter[order], found[c])] for c in ("first", "second"))
+            word = (self.arcs[-1][ending - 1] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        arcs = (context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
+        order = np.argsort(arcs)
+        self.arcs.append(arcs[order])
+        self.arc_counts.append(found["train"][order])
+        self.arc_logs.append(np.concatenate(([0.0], found["logs"][order])))
+        self.failures.append(np.concatenate(([0.0], found["fails"][order])))
+        return found["keys"][order]
+
+
+def _released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffles of tables that are saved by now.
+
+    It does so for what the driver's garbage collectors find unused, which else may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int = ORDER):
-    """The automaton and the table of all word counts, from the `usable` documents.
+    """The automaton of what is frequent and the table of all values, from the `usable` documents.
 
     Words are also counted over all documents, which decides what counts as rare: then no
     rare word, trained or not, can fill a bucket.
@@ -270,44 +514,53 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
     if not 2 <= order <= 3:
         raise ValueError("order must be 2 or 3")
     texts = docs.select(docs[text_col].alias("text"), F.coalesce(usable, F.lit(False)).alias("train"))
-    buckets = _buckets(texts)
+    size, n_docs = texts.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
+    # A power of two, so that a bucket is a range of hashes.
+    buckets = 1 << max(3, int((size or 0) // BUCKET_BYTES).bit_length())
     words = _counts(texts, lambda text, _: _hashed(text), buckets, 1, "lm-words")
     sums = words.agg(*[F.sum(c).alias(c) for c in ("n_train", "n_known", "ones", "twos", "n_all")]).first()
     n_train, n_known = sums["n_train"] or 0, sums["n_known"] or 0
+    # Only for what is broadcast; arcs need LEAST_COUNT occurrences at any size.
     least = max(LEAST_COUNT, -(-(sums["n_all"] or 0) // STATES))
-    hashes, counts = _gathered(words, least)
     ones, twos = sums["ones"] or 0, sums["twos"] or 0
     # What discounting takes off is the unknown word's; an estimate from how many words
     # were seen once and twice.
     discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
     unknown = discount * n_known / n_train if n_train else 1.0
-    automaton = Automaton(hashes, counts, n_train, n_known, unknown, discount, [], [], [], [])
-    end = _found(hashes, _hashes.of([END]))
-    n_docs = int(counts[end[0] - 1]) if end[0] else 0
+    none = np.empty(0, "<u8")
+    automaton = Automaton(none, none, n_train, n_known, unknown, discount, [], [], [], [])
     spark = docs.sparkSession
+    level, hashes, values = words, None, []
     for k in range(order - 1):
-        shared = spark.sparkContext.broadcast(automaton)
+        shared = spark.sparkContext.broadcast(automaton.maps)
 
-        def keys_of(text: bytes, train: bool, shared=shared, k=k) -> np.ndarray:
-            if not train:
-                return np.empty(0, np.uint64)
-            a = shared.value
-            ids = _found(a.words, _hashed(text))
+        def parts_of(text: bytes, shared=shared, k=k) -> tuple[np.ndarray, np.ndarray]:
+            first, second = _pairs(_hashed(text))
             if k:
-                before = np.concatenate(([0], a.states(ids)[k - 1][:-1]))
-            else:
-                before = np.concatenate(([len(a.words) + 1], ids[:-1]))
-            keep = (before > 0) & (ids > 0)
-            key = (before[keep].astype(np.uint64) << np.uint64(32)) | ids[keep].astype(np.uint64)
-            return mixed(key)
-
-        # Scrambled, keys are spread evenly over the buckets' ranges.
-        longer = _counts(texts.where("train"), keys_of, buckets, least, "lm-ngrams")
-        scrambled, arc_counts = _gathered(longer, least)
-        arcs = unmixed(scrambled)
-        order_ = np.argsort(arcs)
-        automaton.add_order(arcs[order_], arc_counts[order_], n_docs)
-    return automaton, words, buckets
+                keys = _joined(first, second)
+                fit = shared.value[0].maybe(keys)
+                fit = fit[:-1] & fit[1:]
+                first, second = keys[:-1][fit], keys[1:][fit]
+            return first, second
+
+        chunks = texts.where("train").mapInArrow(_ngram_counter(parts_of, buckets), _NGRAMS)
+        ngrams = saved(chunks.groupBy("bucket").applyInArrow(_ngrams_merged, _NGRAMS), "lm-ngrams")
+        _released(spark)
+        automaton.maps = [*automaton.maps, Arcs.of(ngrams, buckets)]
+        about = (n_train, discount, unknown, n_docs, buckets) if k == 0 else None
+        shorter, level = _longer(level, ngrams, buckets, about, f"lm-{k + 2}")
+        if k:
+            hashes = automaton.add_order(_gathered(shorter, least), hashes)
+        else:
+            automaton.add_words(_gathered(shorter, least))
+        values.append(shorter)
+        _released(spark)
+    automaton.add_order(_gathered(level, least), hashes)
+    values.append(level)
+    known = values[0].select("bucket", "keys", "train", "adds", "fails")
+    for longer in values[1:]:
+        known = known.unionByName(longer.select("bucket", "keys", F.lit(None).cast("binary").alias("train"), "adds", "fails"))
+    return automaton, known, buckets
 
 
 def unmixed(x: np.ndarray) -> np.ndarray:
@@ -326,7 +579,7 @@ _SCORED = (
 
 
 def _scorer(shared, buckets: int):
-    """Per document what its frequent words add, and per bucket the rare words to ask for."""
+    """Per document what the automaton knows, and per bucket what is to be asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: Automaton = shared.value
@@ -338,7 +591,8 @@ def _scorer(shared, buckets: int):
         def requests() -> pa.RecordBatch:
             keys = np.concatenate(asked)
             rows = np.repeat(np.array(askers, np.int64), [len(x) for x in asked])
-            order = np.lexsort((rows, keys))
+            # Rows of one key stay in order.
+            order = np.argsort(keys, kind="stable")
             keys, rows = keys[order], rows[order]
             first = np.concatenate(([True], (np.diff(keys) != 0) | (np.diff(rows) != 0)))
             times = np.diff(np.append(np.flatnonzero(first), len(keys)))
@@ -361,10 +615,13 @@ def _scorer(shared, buckets: int):
                 counts = known_counts[word_ids]
                 frequent = word_ids > 0
                 base = float(np.log10(counts[frequent] + 1.0).sum())
-                score = float(a.logs(word_ids, counts).sum())
-                out.append((row, doc, len(hashes), int((counts > 0).sum()), base, score, *[None] * 4))
-                if not frequent.all():
-                    rare = hashes[~frequent]
+                states = a.states(word_ids)
+                score = float(a.logs(word_ids, counts, states).sum())
+                # They go along with the questions to one of the buckets.
+                some = (row >> BLOCK_BITS) % buckets
+                out.append((row, doc, len(hashes), int((counts > 0).sum()), base, score, some, *[None] * 3))
+                rare = a.rare(hashes, word_ids, states)
+                if len(rare):
                     asked.append(rare)
                     askers.append(row)
                     held += len(rare)
@@ -381,45 +638,54 @@ def _scorer(shared, buckets: int):
     return run
 
 
-_ANSWERS = "block long, rows binary, n_known binary, base binary, score binary"
+_ANSWERS = (
+    "block long, row long, doc_id long, n_tokens long, known long, own_base double, own_score double, "
+    "rows binary, n_known binary, base binary, score binary"
+)
 _TOTALS = "doc_id long, n_tokens long, n_known long, base double, score double"
 
 
-def _answers(unknown: float, discount: float, n_train: int):
-    """What the rare words of a bucket add to the documents, a packed row per block of them."""
-
-    def run(key: tuple, counts: pa.Table, asked: pa.Table) -> pa.Table:
-        keys, rows, times = (
-            np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in asked.column(name).to_pylist())])
-            for name, kind in (("keys", "<u8"), ("rows", "<i8"), ("times", "<u4"))
-        )
-        known = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(x, "<u8") for x in counts.column("keys").to_pylist())])
-        train = np.concatenate([[0], *(np.frombuffer(x, "<i8") for x in counts.column("train").to_pylist())])
-        c = train[_found(known, keys)]
-        p = np.where(c > 0, (c - discount) / max(n_train, 1), unknown)
-        found, place = np.unique(rows, return_inverse=True)
-        sums = [np.bincount(place, w * times, len(found)).astype("<f8") for w in (c > 0, np.log10(c + 1.0), np.log10(p))]
-        blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
-        ends = np.append(first[1:], len(found))[: len(first)]
-        cuts = [slice(a, b) for a, b in zip(first, ends, strict=True)]
-        packed = [[x[cut].tobytes() for cut in cuts] for x in (found.astype("<i8"), *sums)]
-        kinds = [pa.int64(), *[pa.binary()] * 4]
-        names = [c.split()[0] for c in _ANSWERS.split(", ")]
-        return pa.table([pa.array(x, k) for x, k in zip([blocks, *packed], kinds, strict=True)], names=names)
+def _answers(key: tuple, values: pa.Table, asked: pa.Table) -> pa.Table:
+    """What the rare words and n-grams of a bucket add to the documents, a row per block of them.
 
-    return run
+    The documents' own rows pass through.
+    """
+    own = asked.filter(pa.compute.is_null(asked.column("keys")))
+    asked = asked.filter(pa.compute.is_valid(asked.column("keys")))
+    keys, rows, times = (_joint(asked, name, kind) for name, kind in (("keys", "<u8"), ("rows", "<i8"), ("times", "<u4")))
+    parts = []
+    for r in values.to_pylist():
+        hashes = np.frombuffer(r["keys"], "<u8")
+        counts = np.zeros(len(hashes), "<i8") if r["train"] is None else np.frombuffer(r["train"], "<i8")
+        adds = np.frombuffer(r["adds"], "<f8") + np.frombuffer(r["fails"], "<f8")
+        place = _found(hashes, keys)
+        parts.append((np.concatenate(([0], counts))[place], np.concatenate(([0.0], adds))[place]))
+    c = sum((p[0] for p in parts), np.zeros(len(keys), np.int64))
+    value = sum((p[1] for p in parts), np.zeros(len(keys)))
+    found, place = np.unique(rows, return_inverse=True)
+    sums = [np.bincount(place, w * times, len(found)).astype("<f8") for w in (c > 0, np.log10(c + 1.0), value)]
+    blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
+    ends = np.append(first[1:], len(found))[: len(first)]
+    out = [
+        (int(block), *[None] * 6, *[x[a:b] for x in (found.astype("<i8"), *sums)])
+        for block, a, b in zip(blocks, first, ends, strict=True)
+    ]
+    names = ["row", "doc_id", "n_tokens", "n_known", "base", "score"]
+    for r in own.select(names).to_pylist():
+        out.append((r["row"] >> BLOCK_BITS, *[r[n] for n in names], *[None] * 4))
+    return _packed_table(_ANSWERS, out)
 
 
-def _totals(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
+def _totals(key: tuple, table: pa.Table) -> pa.Table:
     """The documents of a block with what all buckets have answered."""
+    own = table.filter(pa.compute.is_valid(table.column("row")))
     order = np.argsort(own.column("row").to_numpy(), kind="stable")
     rows = own.column("row").to_numpy()[order]
-    asked = np.concatenate([np.empty(0, "<i8"), *(np.frombuffer(x, "<i8") for x in answers.column("rows").to_pylist())])
-    place = np.searchsorted(rows, asked)
+    place = np.searchsorted(rows, _joint(table, "rows", "<i8"))
     total = {}
-    for name in ("n_known", "base", "score"):
-        more = np.concatenate([np.empty(0), *(np.frombuffer(x, "<f8") for x in answers.column(name).to_pylist())])
-        total[name] = own.column(name).to_numpy()[order] + np.bincount(place, more, len(rows))
+    for name, before in (("n_known", "known"), ("base", "own_base"), ("score", "own_score")):
+        more = np.bincount(place, _joint(table, name, "<f8"), len(rows))
+        total[name] = own.column(before).to_numpy()[order] + more
     return pa.table(
         [
             own.column("doc_id").combine_chunks().take(pa.array(order)),
@@ -442,29 +708,19 @@ def scores(
     tokens and V that of different ones.
     """
     spark = docs.sparkSession
-    automaton, words, buckets = train(docs, usable, text_col, order)
+    automaton, values, buckets = train(docs, usable, text_col, order)
     shared = spark.sparkContext.broadcast(automaton)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         docs[id_col].cast("long").alias("doc_id"),
         docs[text_col].alias("text"),
     )
-    both = saved(rows.mapInArrow(_scorer(shared, buckets), _SCORED), "lm-scored")
-    own = both.where("bucket is null").select("row", "doc_id", "n_tokens", "n_known", "base", "score")
-    asked = both.where("bucket is not null").select("bucket", "keys", "rows", "times")
-    answer = _answers(automaton.unknown, automaton.discount, automaton.n_train)
-    rare = (
-        words.select("bucket", "keys", "train")
-        .groupBy("bucket")
-        .cogroup(asked.groupBy("bucket"))
-        .applyInArrow(answer, _ANSWERS)
-    )
+    asked = rows.mapInArrow(_scorer(shared, buckets), _SCORED)
+    answers = values.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answers, _ANSWERS)
     # A block holds at most 2^BLOCK_BITS documents that one task has read.
-    own = own.withColumn("block", F.shiftright("row", BLOCK_BITS))
     total = automaton.n_train + automaton.n_known + 1
     return (
-        own.groupBy("block")
-        .cogroup(rare.groupBy("block"))
+        answers.groupBy("block")
         .applyInArrow(_totals, _TOTALS)
         .select(
             "doc_id",

@@ -148,6 +148,22 @@ def test_automaton_is_a_distribution(spark):
         assert math.isclose(p.sum() + unknown, 1)
 
 
+@pytest.mark.parametrize("states, filter_bits", [(20_000, 30), (500, 30), (500, 0)])
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch, order, states, filter_bits):
+    """A small automaton stands for a large corpus: n-grams it lacks are still scored."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+    def found():
+        out = lm_scoring.scores(docs, F.col("doc_id") % 7 != 2, order=order).orderBy("doc_id").collect()
+        return np.array([tuple(r) for r in out], float)
+
+    whole = found()
+    monkeypatch.setattr(lm_scoring, "STATES", states)
+    monkeypatch.setattr(lm_scoring, "FILTER_BITS", filter_bits)
+    assert np.allclose(found(), whole, rtol=1e-9, atol=1e-9)
+
+
 def test_scrambling_is_undone():
     x = np.random.default_rng(0).integers(0, 1 << 63, 1_000, dtype=np.uint64)
     assert (lm_scoring.unmixed(mixed(x)) == x).all()
