@@ -143,6 +143,37 @@ def family_of(language: str) -> str:
     return _FAMILY.get(code, f"only {language}")
 
 
+def _least(parts: list[np.ndarray], n: int) -> np.ndarray:
+    """The `n` least of the different numbers."""
+    return np.unique(np.concatenate(parts))[:n]
+
+
+def _least_hashes(known: DataFrame, n: int) -> dict[str, int]:
+    """Per language the greatest of the `n` least hashes of its different texts.
+
+    Each task packs its own least hashes, so that copies count once and few are shuffled.
+    """
+    kind = "lang string, hashes binary"
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs = batch.column("lang").dictionary_encode()
+            codes, hashes = langs.indices.to_numpy(), batch.column("hash").to_numpy()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                least[lang] = _least([least.get(lang, hashes[:0]), hashes[codes == code]], n)
+        rows = [pa.array(list(least), pa.string()), pa.array([x.tobytes() for x in least.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(rows, names=["lang", "hashes"])
+
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        found = _least([np.frombuffer(x, "<i8") for x in table.column("hashes").to_pylist()], n)
+        return pa.table({"lang": [key[0].as_py()], "last": [int(found[-1])]})
+
+    packed = known.select("lang", "hash").mapInArrow(own, kind)
+    rows = packed.groupBy("lang").applyInArrow(merged, "lang string, last long").collect()
+    return {r["lang"]: r["last"] for r in rows}
+
+
 def train(
     docs: DataFrame,
     usable: Column,
@@ -152,25 +183,19 @@ def train(
 ) -> Model:
     """A model from the `usable` rows with text and language, sampled by a hash of the text.
 
-    At most about `per_language` documents of each language reach the driver, as
-    vectors of FEATURES numbers.
+    The sample of a language is its different texts with the least hashes, `per_language`
+    of them or all there are: copies count once, and no labelled language is left out.
+    They reach the driver as vectors of FEATURES numbers.
     """
     known = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash")
     )
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not counts:
+    last = _least_hashes(known, per_language)
+    if not last:
         return Model(None, {})
-    span = 1 << 30
-    chance = F.create_map(
-        *[F.lit(v) for lang, n in counts.items() for v in (lang, min(span, 1 + span * per_language // n))]
-    )
+    limit = F.create_map(*[F.lit(v) for pair in last.items() for v in pair])
     # A text that very many rows repeat is one text of the sample.
-    sample = (
-        known.where(F.pmod(F.xxhash64("text"), F.lit(span)) < chance[F.col("lang")])
-        .dropDuplicates(["lang", "text"])
-        .limit(2 * per_language * len(counts))
-    )
+    sample = known.where(F.col("hash") <= limit[F.col("lang")]).select("lang", "text").distinct()
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -75,6 +75,24 @@ def test_language_of_odd_rows(spark):
     assert language_id.identified(docs.limit(0), model).count() == 0
 
 
+def test_copies_do_not_thin_the_language_sample(spark):
+    """A text with very many copies leaves its language the full sample of others."""
+    english = [(f"the cat number {i} sleeps near the warm stove while it rains", "en") for i in range(300)]
+    french = [(f"le chat {i} dort dans la maison pendant que la pluie tombe", "fr") for i in range(300)]
+    rows = spark.createDataFrame([*english, *french], "text string, lang string")
+    copies = spark.range(60_000).select(F.lit("le chien dort").alias("text"), F.lit("fr").alias("lang"))
+    docs = rows.union(copies)
+    known = docs.select("lang", "text", F.xxhash64("text").alias("hash"))
+    want = {}
+    for lang in ("en", "fr"):
+        hashes = known.where(F.col("lang") == lang).select("hash").distinct().orderBy("hash").collect()
+        want[lang] = hashes[min(len(hashes), 40) - 1].hash
+    assert language_id._least_hashes(known, 40) == want
+    model = language_id.train(docs, F.lit(True), per_language=40)
+    for text, lang in (*english[:20], *french[:20]):
+        assert model.predict(text.encode())[0] == lang
+
+
 def test_family_comes_first():
     assert language_id.family_of("en") == language_id.family_of("de-AT") == "germanic"
     assert language_id.family_of("xx") == "only xx"
