@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 and read again as the next one's documents. All but the last keep the columns of the
 documents. A stage works on every document that its predecessor kept:
 
-1. language ID drops documents of no language; the model is learnt from the documents'
-   own labels, except those that the held-out rule sets aside,
+1. language ID drops documents of no language and writes the predicted language into
+   `lang`; the model is learnt from the documents' own labels, except those that the
+   held-out rule sets aside,
 2. exact dedup keeps one document of each group of equal texts,
 3. near dedup keeps one of each group of near copies (five-word shingles, 0.8),
 4. decontamination drops documents that are mostly benchmark passages and cuts the

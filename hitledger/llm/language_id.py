@@ -247,8 +247,14 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text", keep: list
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`docs` without those of no language; a missing language is filled in."""
+    """`docs` with the predicted language, in the place of the label, if there was one.
+
+    Only documents of no language are rejected, those without a text or without a letter:
+    there is nothing to tell a language by. A prediction that differs from the label is no
+    reason to drop a document.
+    """
     columns = docs.columns
     found = identified(docs, model, text_col).where(F.col("language.name") != UNKNOWN)
-    filled = F.coalesce(F.col(lang_col), F.col("language.name"))
-    return found.select(*[filled.alias(c) if c == lang_col else F.col(f"`{c}`") for c in columns])
+    return found.select(
+        *[F.col("language.name").alias(c) if c == lang_col else F.col(f"`{c}`") for c in columns]
+    )

@@ -93,6 +93,16 @@ def test_copies_do_not_thin_the_language_sample(spark):
         assert model.predict(text.encode())[0] == lang
 
 
+def test_accepted_documents_carry_the_prediction(spark):
+    model = language_id.train(documents(spark), F.lit(True))
+    wrong = documents(spark).withColumn("lang", F.lit("xx"))
+    kept = language_id.accepted(wrong, model).where("doc_id is not null").collect()
+    assert {r.doc_id: r.lang for r in kept} == {
+        r.doc_id: model.predict(r.text.encode())[0] for r in kept
+    }
+    assert kept and all(r.lang != "xx" for r in kept)
+
+
 def test_family_comes_first():
     assert language_id.family_of("en") == language_id.family_of("de-AT") == "germanic"
     assert language_id.family_of("xx") == "only xx"
