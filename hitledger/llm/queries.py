@@ -18,6 +18,7 @@ from hitledger.llm import (
     near_dedup,
     packing,
     quality,
+    quality_rules,
     token_files,
     url_filter,
     warc,
@@ -170,6 +171,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_rules.judged(documents, ["doc_id"]).select("doc_id", "quality.*")
+    return found.drop("n_lines", "n_stop_words", "n_upper_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -181,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 _WHITE = r"[\x20\x09-\x0D]+"
@@ -197,6 +205,18 @@ def _word_list(pattern: str) -> str:
 _PLAIN_WORDS = _word_list(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _WHITE_WORDS = _word_list(r"[^\x20\x09-\x0D]+")
 
+_STOP_WORDS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+
+
+def _rule_sql(r: quality_rules.Rule) -> str:
+    least = "" if r.least is None else f" AND 100 * {r.part} >= {r.least} * {r.whole}"
+    most = "" if r.most is None else f" AND 100 * {r.part} <= {r.most} * {r.whole}"
+    return f"({r.whole} = 0 OR (true{least}{most}))"
+
+
+_RULE_COLUMNS = ", ".join(f"{_rule_sql(r)} AS rule_{r.name}" for r in quality_rules.RULES)
+_ALL_RULES = " AND ".join(map(_rule_sql, quality_rules.RULES))
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
         WITH docs AS (
@@ -283,4 +303,37 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id <> first_page THEN first_page END AS refers_to
         FROM firsts
     """,
+    "op11_quality_rules": rf"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   [x FOR x IN string_split(coalesce(text, ''), chr(10))
+                    IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS gram
+            FROM docs, unnest(range(1, len(w) - 1)) AS t(i)
+        ), again AS (
+            SELECT doc_id, i FROM windows
+            QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
+        ), repeats AS (
+            SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+            FROM again, unnest(range(i, i + 3)) AS t(p) GROUP BY doc_id
+        ), counts AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words,
+                   length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(t, '[^{quality_rules.SYMBOLS}]', '', 'g'))::BIGINT AS n_symbols,
+                   len(l) AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+                   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                   len([x FOR x IN w IF lower(x) IN ({_STOP_WORDS})]) AS n_stop_words,
+                   len([x FOR x IN w IF regexp_matches(x, '[A-Z]{{2}}')
+                        AND NOT regexp_matches(x, '[a-z]')]) AS n_upper_words
+            FROM docs LEFT JOIN repeats USING (doc_id)
+        ), judged AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               {_RULE_COLUMNS}, NOT base_failed AND {_ALL_RULES} AS kept
+        FROM judged
+    """,
 }
