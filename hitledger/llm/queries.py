@@ -22,6 +22,7 @@ from hitledger.llm import (
     token_files,
     url_filter,
     warc,
+    whitening,
 )
 from hitledger.llm.common import crc_remainder, ready, saved, shared_folder
 from hitledger.llm.url_filter import HostRule
@@ -177,6 +178,22 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("n_lines", "n_stop_words", "n_upper_words")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each vector and component; a deviation beyond 64 bits is null."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = whitening.whitened(vectors).select("vec_id", "whitening.*")
+    one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "value")
+    return found.select("vec_id", "n", "deviation", "identity_error", one).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("value.whitened").alias("whitened"),
+        F.col("value.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -189,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
     "op11_quality_rules": op11_quality_rules,
+    "op13_whitening": op13_whitening,
 }
 
 _WHITE = r"[\x20\x09-\x0D]+"
