@@ -21,6 +21,7 @@ from hitledger.llm import (
     quality_rules,
     token_files,
     url_filter,
+    variants,
     warc,
     whitening,
 )
@@ -178,6 +179,11 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("n_lines", "n_stop_words", "n_upper_words")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.spelling_variants(documents)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each vector and component; a deviation beyond 64 bits is null."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -206,6 +212,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
     "op11_quality_rules": op11_quality_rules,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_whitening": op13_whitening,
 }
 
