@@ -361,4 +361,62 @@ ORACLE_SQL: dict[str, str] = {
                {_RULE_COLUMNS}, NOT base_failed AND {_ALL_RULES} AS kept
         FROM judged
     """,
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE crc_steps(i, k, c) AS (
+            SELECT i, 0, i FROM range(256) AS t(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            FROM crc_steps WHERE k < 8
+        ), crc_table AS (
+            SELECT i, c AS code FROM crc_steps WHERE k = 8
+        ), runs AS (
+            SELECT doc_id, run, count(*) AS n FROM (
+                SELECT doc_id, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]{{7,}}')) AS run
+                FROM documents) GROUP BY doc_id, run
+        ), walk(run, n, h, p, c) AS (
+            SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), 0, 4294967295
+            FROM runs
+            UNION ALL
+            SELECT run, n, h, p + 1, xor(c >> 8, code) FROM walk JOIN crc_table
+            ON i = xor(c & 255, 16 * (strpos('0123456789ABCDEF', substr(h, 2 * p + 1, 1)) - 1)
+                                + strpos('0123456789ABCDEF', substr(h, 2 * p + 2, 1)) - 1)
+            WHERE 2 * p < length(h)
+        ), hashed AS (
+            SELECT run, n, xor(c, 4294967295) AS crc FROM walk WHERE 2 * p = length(h)
+        ), changed AS (
+            SELECT n, CASE WHEN crc % 31 <> 0 THEN run
+                   ELSE substr(run, 1, (crc % length(run))::BIGINT)
+                        || substr(run, (crc % length(run))::BIGINT + 2) END AS word
+            FROM hashed
+        ), words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 7
+            GROUP BY word HAVING sum(n) >= 2
+        ), shorter AS (
+            SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+        ), near AS (
+            SELECT a.word, b.word AS other FROM shorter a JOIN shorter b USING (rest, i)
+            WHERE a.word <> b.word
+            UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+            UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word
+        ), ranked AS (
+            SELECT near.word, other, n,
+                   row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place,
+                   count(*) OVER (PARTITION BY near.word) AS n_near
+            FROM near JOIN words ON words.word = other
+        ), found AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN r.n >= 10 * w.n THEN other END AS form,
+                   CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+        ), ways(word, reached) AS (
+            SELECT word, word FROM found
+            UNION ALL
+            SELECT ways.word, form FROM ways JOIN found ON found.word = reached WHERE form IS NOT NULL
+        )
+        SELECT f.word, f.n, f.n_near, f.form, f.form_n, reached AS root
+        FROM found f JOIN ways ON ways.word = f.word
+        JOIN found e ON e.word = reached AND e.form IS NULL
+    """,
 }
