@@ -96,6 +96,14 @@ _MODEL_CHECKS = f"""
     UNION ALL SELECT 'daily_summary', 'event_count', 'not_null', count(*) FROM mart WHERE event_count IS NULL
 """
 
+_WEEKLY = """
+    , weeks AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS week_start FROM daily)
+    SELECT week_start, week_start + 6 AS week_end,
+           CAST(sum(event_count) AS BIGINT) AS event_count,
+           CAST(sum(unique_users) AS BIGINT) AS unique_users
+    FROM weeks GROUP BY week_start
+"""
+
 _STATEMENTS = {
     "event_sample": "SELECT * EXCLUDE (event_date) FROM raw_events ORDER BY event_id LIMIT 10",
     "purchases_in_countries": """
@@ -157,13 +165,7 @@ _STATEMENTS = {
     "v_country_daily_summary": "SELECT * FROM country_daily",
     "country_purchase_rate": _COUNTRY_RATE,
     "refresh_daily_summary": "SELECT * FROM daily ORDER BY event_date DESC LIMIT 10",
-    "weekly_summary": """
-        , weeks AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS week_start FROM daily)
-        SELECT week_start, week_start + 6 AS week_end,
-               CAST(sum(event_count) AS BIGINT) AS event_count,
-               CAST(sum(unique_users) AS BIGINT) AS unique_users
-        FROM weeks GROUP BY week_start
-    """,
+    "weekly_summary": _WEEKLY,
     "stg_events": _STG_EVENTS,
     "stg_users": "SELECT * REPLACE (upper(country) AS country) FROM users",
     "daily_summary": _DAILY_SUMMARY,
@@ -253,6 +255,19 @@ _STATEMENTS = {
     """,
     "clustered_recent_events": _RECENT,
     "country_purchase_rate_by_day_table": _COUNTRY_RATE,
+    # All events are counted; the second load touches the late days and those from 23 January on.
+    "nightly_daily": """
+        SELECT *, CASE WHEN event_date > DATE '2024-01-22' OR event_date IN (
+                       SELECT event_date FROM raw_events WHERE event_id % 50 = 0
+                       AND event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12')
+                  THEN 2 ELSE 1 END::BIGINT AS last_load
+        FROM daily
+    """,
+    "nightly_weekly": _WEEKLY,
+    "nightly_active_users": """
+        SELECT user_id, max(event_date) AS last_active, count(*) AS event_count FROM raw_events
+        WHERE event_date > (SELECT max(event_date) FROM raw_events) - 30 GROUP BY user_id
+    """,
 }
 
 ORACLE_SQL: dict[str, str] = {name: _TABLES + sql for name, sql in _STATEMENTS.items()}

@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 
 from hitledger import schemas
 from hitledger.operators import checks, integrity, profiling
-from hitledger.plans import exploration, jobs, load_verification, models, reports, views
-from hitledger.sources import catalog, csv_files, layout
+from hitledger.plans import (
+    exploration,
+    jobs,
+    load_verification,
+    models,
+    nightly,
+    reports,
+    views,
+)
+from hitledger.sources import arrivals, catalog, csv_files, layout
 from hitledger.sources.driver_tables import AS_OF, raw_events, sessions, users, with_country
 from hitledger.sources.scratch import ensure_checkpoints, scratch_database, scratch_path
 
@@ -205,6 +213,34 @@ def country_purchase_rate_by_day_table(spark: SparkSession, d: str) -> DataFrame
     return views.country_purchase_rate(spark.table(f"{base}.v_country_daily_summary"), AS_OF)
 
 
+def _nightly(spark: SparkSession, d: str) -> dict[str, str]:
+    """The nightly tables after two loads: the second brings the last days, and late events."""
+    base, _ = _database(spark, "nightly")
+    names = {t: f"{base}.{t}" for t in ("raw_events", "daily", "weekly", "active")}
+    arrivals.create_arrivals(spark, names["raw_events"], schemas.RAW_EVENTS)
+    nightly.create_nightly(spark, names["daily"], names["weekly"], names["active"])
+    events = _events(spark, d)
+    day = F.to_date("event_timestamp")
+    is_late = (F.col("event_id") % 50 == 0) & day.between("2024-01-08", "2024-01-12")
+    in_first = (day <= "2024-01-22") & ~is_late
+    for load_id, rows in enumerate((events.where(in_first), events.where(~in_first)), start=1):
+        arrivals.append_load(rows, names["raw_events"], load_id)
+        nightly.run_nightly(spark, *names.values())
+    return names
+
+
+def nightly_daily(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(_nightly(spark, d)["daily"]).drop("created_at")
+
+
+def nightly_weekly(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(_nightly(spark, d)["weekly"])
+
+
+def nightly_active_users(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(_nightly(spark, d)["active"])
+
+
 QUERIES: dict[str, Query] = {
     "event_sample": event_sample,
     "purchases_in_countries": purchases_in_countries,
@@ -266,4 +302,7 @@ QUERIES: dict[str, Query] = {
     "csv_to_table": csv_to_table,
     "clustered_recent_events": clustered_recent_events,
     "country_purchase_rate_by_day_table": country_purchase_rate_by_day_table,
+    "nightly_daily": nightly_daily,
+    "nightly_weekly": nightly_weekly,
+    "nightly_active_users": nightly_active_users,
 }

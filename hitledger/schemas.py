@@ -67,6 +67,17 @@ WEEKLY_SUMMARY = T.StructType(
     ]
 )
 
+# Tables of the nightly job: `last_load` is the newest load that the row's day has seen.
+NIGHTLY_DAILY = T.StructType([*DAILY_SUMMARY.fields, T.StructField("last_load", T.LongType())])
+
+ACTIVE_USERS = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("last_active", T.DateType()),
+        T.StructField("event_count", T.LongType()),
+    ]
+)
+
 # Column filled with the load time, by table. Tables that are
 # not listed carry no such column.
 AUDIT_COLUMN = {

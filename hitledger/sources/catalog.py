@@ -55,14 +55,32 @@ def full_refresh(df: DataFrame, table: str) -> None:
 
     Columns that `df` lacks take their default. The rows are written once.
     """
+    switch_to(df.sparkSession, {table: staged(df, table)})
+
+
+def staged(df: DataFrame, table: str, keep: DataFrame | None = None) -> str:
+    """Write the rows that a table is to hold to a new folder, and return it.
+
+    Columns that `df` lacks take their default. `keep` holds rows of the table itself that
+    stay, load times included. The table does not change before `switch_to`.
+    """
     spark = df.sparkSession
     fields = spark.table(table).schema.fields
     unknown = {c.lower() for c in df.columns} - {f.name.lower() for f in fields}
     if unknown:
         raise ValueError(f"{table} has no columns {sorted(unknown)}")
     folder = _new_folder(spark, table)
-    df.select(*[_filled(df, f) for f in fields]).write.parquet(folder)
-    _switch(spark, table, folder)
+    rows = df.select(*[_filled(df, f) for f in fields])
+    if keep is not None:
+        rows = rows.unionByName(keep)
+    rows.write.parquet(folder)
+    return folder
+
+
+def switch_to(spark: SparkSession, folders: dict[str, str]) -> None:
+    """Point tables at their staged rows, one catalog entry after the other, in order."""
+    for table, folder in folders.items():
+        _switch(spark, table, folder)
 
 
 def _filled(df: DataFrame, field: T.StructField):
