@@ -104,6 +104,31 @@ _WEEKLY = """
     FROM weeks GROUP BY week_start
 """
 
+_GAP_SESSIONS = """
+    , marked AS (
+        SELECT *, coalesce(event_timestamp - lag(event_timestamp) OVER w > INTERVAL 30 MINUTE, true) AS starts
+        FROM raw_events WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)
+    ), numbered AS (
+        SELECT *, sum(starts::INT) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id
+                                         ROWS UNBOUNDED PRECEDING) AS session_no
+        FROM marked
+    ), gap_sessions AS (
+        SELECT user_id, session_no::BIGINT AS session_no, min(event_timestamp) AS session_start,
+               max(event_timestamp) AS session_end, count(*) AS event_count,
+               count(*) FILTER (event_type = 'page_view') AS page_views,
+               count(*) FILTER (event_type = 'purchase') AS purchases,
+               date_sub('second', min(event_timestamp), max(event_timestamp)) AS duration_seconds
+        FROM numbered GROUP BY ALL
+    )
+"""
+
+_HOME_EVENTS = """
+    , home AS (
+        SELECT e.event_date, e.event_type, e.user_id, u.country
+        FROM raw_events e JOIN users u USING (user_id)
+    )
+"""
+
 _STATEMENTS = {
     "event_sample": "SELECT * EXCLUDE (event_date) FROM raw_events ORDER BY event_id LIMIT 10",
     "purchases_in_countries": """
@@ -268,6 +293,111 @@ _STATEMENTS = {
         SELECT user_id, max(event_date) AS last_active, count(*) AS event_count FROM raw_events
         WHERE event_date > (SELECT max(event_date) FROM raw_events) - 30 GROUP BY user_id
     """,
+    "gap_sessions": f"{_GAP_SESSIONS} SELECT * FROM gap_sessions",
+    "session_summary": f"""
+        {_GAP_SESSIONS}, days AS (
+            SELECT session_start::DATE AS session_date, count(*) AS session_count,
+                   count(DISTINCT user_id) AS user_count, sum(event_count)::BIGINT AS event_count,
+                   count(*) FILTER (event_count = 1) AS single_event_sessions,
+                   sum(duration_seconds)::BIGINT AS seconds, max(duration_seconds) AS longest_seconds
+            FROM gap_sessions GROUP BY session_date
+        )
+        SELECT * EXCLUDE (seconds), {_half_up("event_count", "session_count", 2)} AS events_per_session,
+               {_half_up("seconds", "session_count", 2)} AS avg_seconds
+        FROM days
+    """,
+    "funnel_report": """
+        , clicked AS (
+            SELECT DISTINCT v.user_id, v.event_timestamp AS viewed_at, c.event_timestamp AS clicked_at
+            FROM raw_events v JOIN raw_events c ON c.user_id = v.user_id
+             AND c.event_timestamp > v.event_timestamp
+             AND c.event_timestamp <= v.event_timestamp + INTERVAL 3 DAY
+            WHERE v.event_type = 'page_view' AND c.event_type = 'click'
+        ), bought AS (
+            SELECT DISTINCT c.user_id FROM clicked c JOIN raw_events p ON p.user_id = c.user_id
+             AND p.event_timestamp > c.clicked_at AND p.event_timestamp <= c.viewed_at + INTERVAL 3 DAY
+            WHERE p.event_type = 'purchase'
+        ), active AS (
+            SELECT user_id, bool_or(event_type = 'page_view') AS viewed FROM raw_events
+            WHERE event_type IN ('page_view', 'click', 'purchase') GROUP BY user_id
+        )
+        SELECT u.country, count(*) FILTER (viewed) AS viewed_users,
+               count(*) FILTER (user_id IN (SELECT user_id FROM clicked)) AS clicked_users,
+               count(*) FILTER (user_id IN (SELECT user_id FROM bought)) AS bought_users
+        FROM active JOIN users u USING (user_id) GROUP BY u.country
+    """,
+    "monthly_kpi": f"""
+        {_HOME_EVENTS}, months AS (
+            SELECT date_trunc('month', event_date)::DATE AS month_start, country,
+                   count(*) AS event_count, count(*) FILTER (event_type = 'purchase') AS purchase_count,
+                   count(DISTINCT user_id) AS active_users
+            FROM home GROUP BY month_start, country
+        )
+        SELECT *, {_half_up("purchase_count", "active_users", 4)} AS purchase_rate FROM months
+    """,
+    "period_users": f"""
+        {_HOME_EVENTS}, periods AS (
+            SELECT 'day' AS period, event_date AS period_start, user_id FROM home
+            UNION ALL SELECT 'week', date_trunc('week', event_date)::DATE, user_id FROM home
+            UNION ALL SELECT 'month', date_trunc('month', event_date)::DATE, user_id FROM home
+        )
+        SELECT period, period_start, count(*) AS event_count, count(DISTINCT user_id) AS active_users
+        FROM periods GROUP BY period, period_start
+    """,
+    "active_users": """
+        , days AS (
+            SELECT unnest(range(min(event_date), max(event_date) + 1, INTERVAL 1 DAY))::DATE AS day
+            FROM raw_events
+        )
+        SELECT day AS event_date, w::INT AS window_days, count(DISTINCT user_id) AS active_users
+        FROM days, (VALUES (1), (7), (30)) AS t(w)
+        LEFT JOIN raw_events e ON e.event_date <= day AND e.event_date > day - w
+        GROUP BY day, w
+    """,
+    "retention": f"""
+        , user_weeks AS (
+            SELECT DISTINCT user_id, date_trunc('week', event_date)::DATE AS week FROM raw_events
+        ), firsts AS (
+            SELECT user_id, min(week) AS cohort_week, max(week) AS last_week FROM user_weeks GROUP BY user_id
+        ), cohorts AS (
+            SELECT cohort_week, count(*) AS cohort_size FROM firsts GROUP BY cohort_week
+        ), grid AS (
+            SELECT cohort_week, cohort_size, unnest(range(
+                (SELECT (max(week) - cohort_week) // 7 + 1 FROM user_weeks)))::INT AS week_no
+            FROM cohorts
+        ), members AS (
+            SELECT g.*, f.user_id, f.last_week,
+                   w.user_id IS NOT NULL AS is_active, b.user_id IS NOT NULL AS was_active
+            FROM grid g JOIN firsts f USING (cohort_week)
+            LEFT JOIN user_weeks w ON w.user_id = f.user_id AND w.week = cohort_week + 7 * week_no
+            LEFT JOIN user_weeks b ON b.user_id = f.user_id AND b.week = cohort_week + 7 * week_no - 7
+        ), counted AS (
+            SELECT cohort_week, week_no, cohort_size, count(*) FILTER (is_active) AS active_users,
+                   count(*) FILTER (is_active AND NOT was_active AND week_no > 0) AS returned_users,
+                   count(*) FILTER (last_week < cohort_week + 7 * week_no) AS churned_users
+            FROM members GROUP BY cohort_week, week_no, cohort_size
+        )
+        SELECT *, {_half_up("active_users", "cohort_size", 4)} AS retention FROM counted
+    """,
+    "week_over_week": f"""
+        {_HOME_EVENTS}, weeks AS (
+            SELECT unnest(range(date_trunc('week', min(event_date))::DATE,
+                                max(event_date) + 1, INTERVAL 7 DAY))::DATE AS week_start FROM home
+        ), filled AS (
+            SELECT w.week_start, c.country, count(h.user_id) AS event_count,
+                   count(DISTINCT h.user_id) AS active_users
+            FROM weeks w CROSS JOIN (SELECT DISTINCT country FROM home) c
+            LEFT JOIN home h ON h.country = c.country AND date_trunc('week', h.event_date)::DATE = w.week_start
+            GROUP BY w.week_start, c.country
+        ), compared AS (
+            SELECT *, lag(event_count) OVER (PARTITION BY country ORDER BY week_start) AS previous_count
+            FROM filled
+        )
+        SELECT *, event_count - previous_count AS change,
+               CASE WHEN previous_count > 0 THEN sign(event_count - previous_count)
+                    * {_half_up("abs(event_count - previous_count)", "previous_count", 4)} END AS change_rate
+        FROM compared
+    """,
 }
 
 ORACLE_SQL: dict[str, str] = {name: _TABLES + sql for name, sql in _STATEMENTS.items()}

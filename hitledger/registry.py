@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger import schemas
-from hitledger.operators import checks, integrity, profiling
+from hitledger.operators import checks, funnel, integrity, profiling
+from hitledger.operators.sessions import gap_sessions, session_summary
 from hitledger.plans import (
+    activity,
     exploration,
     jobs,
     load_verification,
@@ -241,6 +243,14 @@ def nightly_active_users(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(_nightly(spark, d)["active"])
 
 
+def _user_states(spark: SparkSession, d: str) -> DataFrame:
+    """The daily states of users, stored as a table as a nightly job would keep them."""
+    base, _ = _database(spark, "states")
+    states = activity.user_states(raw_events(spark, d), users(spark, d))
+    catalog.materialize(states, f"{base}.user_states", "table")
+    return spark.table(f"{base}.user_states")
+
+
 QUERIES: dict[str, Query] = {
     "event_sample": event_sample,
     "purchases_in_countries": purchases_in_countries,
@@ -305,4 +315,12 @@ QUERIES: dict[str, Query] = {
     "nightly_daily": nightly_daily,
     "nightly_weekly": nightly_weekly,
     "nightly_active_users": nightly_active_users,
+    "gap_sessions": lambda s, d: gap_sessions(raw_events(s, d)),
+    "session_summary": lambda s, d: session_summary(gap_sessions(raw_events(s, d))),
+    "funnel_report": lambda s, d: funnel.country_steps(raw_events(s, d), users(s, d)),
+    "monthly_kpi": lambda s, d: activity.monthly_kpi(_user_states(s, d)),
+    "period_users": lambda s, d: activity.period_users(_user_states(s, d)),
+    "active_users": lambda s, d: activity.window_users(raw_events(s, d)),
+    "retention": lambda s, d: activity.retention(raw_events(s, d)),
+    "week_over_week": lambda s, d: activity.week_over_week(_user_states(s, d)),
 }
