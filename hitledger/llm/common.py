@@ -76,9 +76,22 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
             yield text or b""
 
 
+_memories: list[WordHashes] = []
+
+
+def forget_words() -> None:
+    """Drop the words that operators before this one remember in this Python worker."""
+    for memory in _memories:
+        memory.clear()
+
+
 class WordHashes(dict):
     """64-bit hashes of byte words, remembered up to MEMO_SIZE of them."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        _memories.append(self)
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_SIZE:
             self.clear()

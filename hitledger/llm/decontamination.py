@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import saved, text_bytes
+from hitledger.llm.common import forget_words, saved, text_bytes, with_free_name
 
 WINDOW = 10
 # Words of items in one automaton: at most twice as many states, some 100 MB per worker.
@@ -328,39 +328,46 @@ def decontaminated(
     """
     spark = docs.sparkSession
     columns = docs.columns
-    # Neutral names, so that no column of `docs` can clash with those of the match.
-    plain = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(columns)])
-    text = f"c{columns.index(text_col)}"
     blocks = automata(items, "item_id", "text", window)
     shared = [spark.sparkContext.broadcast(a) for a in blocks]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            out, keep = [], []
-            for value in batch.column(at).cast(pa.binary()).to_pylist():
-                words = words_of(value or b"")
-                spans = _merged([s for x in shared for s in x.value.match(words)[0]])
-                if sum(b - a for a, b in spans) > max_coverage * len(words):
-                    keep.append(False)
-                    out.append(value)
-                    continue
-                while spans:
-                    value = _without(value, spans)
-                    words = words_of(value)
-                    spans = _merged([s for x in shared for s in x.value.match(words)[0]])
-                keep.append(True)
-                out.append(value)
-            arrays = list(batch.columns)
-            arrays[at] = pa.array(out, pa.binary()).cast(batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema).filter(pa.array(keep))
-
-    cut = plain.mapInArrow(run, plain.schema)
-    named = {c: F.col(f"c{i}") for i, c in enumerate(columns)}
-    if "n_chars" in named and text_col != "n_chars":
-        kind = docs.schema["n_chars"].dataType
-        named["n_chars"] = F.when(
-            named["n_chars"].isNotNull(), F.coalesce(F.length(F.col(text)), F.lit(0))
-        ).cast(kind)
-    return cut.select(*[named[c].alias(c) for c in columns])
+    def spans_of(words: list[bytes]) -> list[tuple[int, int]]:
+        return _merged([s for x in shared for s in x.value.match(words)[0]])
+
+    def judged(text: bytes) -> tuple[bool, bytes | None]:
+        """Whether the document stays, and its text if that is cut."""
+        words = words_of(text)
+        spans = spans_of(words)
+        if sum(b - a for a, b in spans) > max_coverage * len(words):
+            return False, None
+        if not spans:
+            return True, None
+        while spans:
+            text = _without(text, spans)
+            spans = spans_of(words_of(text))
+        return True, text
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget_words()
+        for column in texts:
+            stays, cut = [], []
+            for text in text_bytes(column):
+                kept, changed = judged(text)
+                stays.append(kept)
+                cut.append(changed)
+            yield pa.StructArray.from_arrays(
+                [pa.array(stays, pa.bool_()), pa.array(cut, pa.binary()).cast(pa.string())],
+                names=["stays", "cut"],
+            )
 
+    # Only texts go to the Python workers, and only those that are cut come back.
+    verdict = F.arrow_udf(run, "stays boolean, cut string").asNondeterministic()
+    name = with_free_name(docs, "verdict")
+    found = docs.select(*columns, verdict(docs[text_col]).alias(name)).where(F.col(name)["stays"])
+    out = {c: found[c] for c in columns}
+    out[text_col] = F.coalesce(F.col(name)["cut"], out[text_col])
+    if "n_chars" in out and text_col != "n_chars":
+        kind = docs.schema["n_chars"].dataType
+        length = F.coalesce(F.length(out[text_col]), F.lit(0))
+        out["n_chars"] = F.when(out["n_chars"].isNotNull(), length).cast(kind)
+    return found.select(*[out[c].alias(c) for c in columns])

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import text_bytes
+from hitledger.llm import tokens
+from hitledger.llm.common import text_bytes, with_free_name
 
 UNKNOWN = "und"
 # Labelled documents per language that training takes, at most.
@@ -223,27 +224,29 @@ def train(
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs`, or its columns `keep`, with a struct `language`: name and score."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != "language"] if keep is None else keep
-    fields = [docs.schema[c] for c in keep]
-    types = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)]
-    plain = docs.select(
-        *[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].alias("text")
-    )
+    """`docs`, or its columns `keep`, with a struct `language`: name and score.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            found = [dict(zip(("name", "score"), shared.value.predict(t), strict=True)) for t in texts]
-            kind = pa.struct([("name", pa.string()), ("score", pa.float64())])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(found, kind)], names=[*batch.schema.names[:-1], "language"]
+    Where a kept column has that name, the struct takes the next free one, `_language`; it is
+    always the last. Only the text goes to the Python workers, and only the struct comes back.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens.forget()
+        for column in texts:
+            names, scores = [], []
+            for text in text_bytes(column):
+                name, score = shared.value.predict(text)
+                names.append(name)
+                scores.append(score)
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["name", "score"]
             )
 
-    out = plain.mapInArrow(run, ", ".join([*types, "language struct<name: string, score: double>"]))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "language")
+    # Filters on the result would otherwise be computed on their own, a second time.
+    language = F.arrow_udf(predict, "name string, score double").asNondeterministic()
+    kept = docs.select(*(docs.columns if keep is None else keep))
+    return docs.select(*kept.columns, language(docs[text_col]).alias(with_free_name(kept, "language")))
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -254,7 +257,8 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_col: st
     reason to drop a document.
     """
     columns = docs.columns
-    found = identified(docs, model, text_col).where(F.col("language.name") != UNKNOWN)
-    return found.select(
-        *[F.col("language.name").alias(c) if c == lang_col else F.col(f"`{c}`") for c in columns]
+    found = identified(docs, model, text_col)
+    name = F.col(found.columns[-1])["name"]
+    return found.where(name != UNKNOWN).select(
+        *[name.alias(c) if c == lang_col else F.col(f"`{c}`") for c in columns]
     )

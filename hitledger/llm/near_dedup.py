@@ -125,11 +125,14 @@ def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            sets = (batch.column(c).to_pylist() for c in ("set_a", "set_b"))
-            for x, y in zip(*sets, strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            # A few pairs at a time: sets of very long texts take megabytes each.
+            for at in range(0, batch.num_rows, 50):
+                part = batch.slice(at, 50)
+                sets = (part.column(c).to_pylist() for c in ("set_a", "set_b"))
+                for x, y in zip(*sets, strict=True):
+                    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
             links = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
             yield links.filter(pa.array(keep, pa.bool_()))
 

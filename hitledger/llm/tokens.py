@@ -139,3 +139,8 @@ def encoder(path: str, borders: str | None) -> Encoder:
         _encoders.clear()
         _encoders[key] = Encoder(path, borders)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Drop what this Python worker remembers, for operators that run after a tokenizer's."""
+    _encoders.clear()

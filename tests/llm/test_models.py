@@ -6,7 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from helpers import SF_DIR, clashing, crc, documents, white_words
+from helpers import SF_DIR, clashing, crc, documents, rows, white_words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -64,14 +64,18 @@ def test_language_of_odd_rows(spark):
     docs = clashing(documents(spark))
     model = language_id.train(docs, F.lit(True))
     found = language_id.identified(docs, model)
-    assert found.columns == [*[c for c in docs.columns if c != "language"], "language"]
-    by_id = {r.doc_id: r.language for r in found.where("doc_id is not null").collect()}
+    assert found.columns == [*docs.columns, "_language"]
+    assert {r.language for r in found.collect()} == {r.language for r in docs.collect()}
+    by_id = {r.doc_id: r._language for r in found.where("doc_id is not null").collect()}
     assert {i for i, x in by_id.items() if x.name == "und"} == {5, 6, 7, 11}
     assert by_id[5].score == 0 and by_id[1].name == "en"
-    kept = language_id.accepted(documents(spark), model)
-    assert kept.columns == documents(spark).columns and kept.where("lang is null").isEmpty()
+    kept = language_id.accepted(docs, model)
+    assert kept.columns == docs.columns and kept.where("lang is null").isEmpty()
+    passed_on = [c for c in docs.columns if c != "lang"]
+    wanted = docs.where("doc_id is null or doc_id not in (5, 6, 7, 11)").select(*passed_on)
+    assert rows(kept.select(*passed_on)) == rows(wanted)
     none = language_id.train(docs.where("false"), F.lit(True))
-    assert {r.language.name for r in language_id.identified(docs, none).collect()} == {"und"}
+    assert {r._language.name for r in language_id.identified(docs, none).collect()} == {"und"}
     assert language_id.identified(docs.limit(0), model).count() == 0
 
 
