@@ -238,4 +238,4 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_contract_columns(spark):
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
