@@ -69,7 +69,7 @@ def staged(df: DataFrame, table: str, keep: DataFrame | None = None) -> str:
     unknown = {c.lower() for c in df.columns} - {f.name.lower() for f in fields}
     if unknown:
         raise ValueError(f"{table} has no columns {sorted(unknown)}")
-    folder = _new_folder(spark, table)
+    folder = new_folder(spark, table)
     rows = df.select(*[_filled(df, f) for f in fields])
     if keep is not None:
         rows = rows.unionByName(keep)
@@ -91,7 +91,7 @@ def _filled(df: DataFrame, field: T.StructField):
     return value.cast(field.dataType).alias(field.name)
 
 
-def _new_folder(spark: SparkSession, table: str) -> str:
+def new_folder(spark: SparkSession, table: str) -> str:
     """A new folder for a table's rows, in the place of its database."""
     database, _, name = table.rpartition(".")
     place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
@@ -111,9 +111,62 @@ def _switch(spark: SparkSession, table: str, folder: str) -> None:
     remove_folder(spark, old)
 
 
+def replace_entry(spark: SparkSession, table: str, new: str) -> None:
+    """Give the name of a table to another one that is complete, then drop what had the name.
+
+    At every moment both tables' rows lie under some name: should the second renaming fail, the
+    first is taken back.
+    """
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        return
+    old = beside(table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    place = _location(spark, old)
+    spark.sql(f"DROP TABLE {old}")
+    remove_folder(spark, place)
+    spark.catalog.refreshTable(table)
+
+
+def beside(table: str) -> str:
+    """A new table name in the same database."""
+    return f"{table.rstrip('`')}_{uuid.uuid4().hex}{'`' if table.endswith('`') else ''}"
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _files(spark, folder)
+    files.delete(path, True)
+
+
+def swap_folder(spark: SparkSession, folder: str, new: str) -> None:
+    """Put a complete folder in the place of another one, which goes when it has moved."""
+    files, path = _files(spark, folder)
+    _, source = _files(spark, new)
+    _, old = _files(spark, f"{folder}-{uuid.uuid4().hex}")
+    if not files.exists(source):
+        raise OSError(f"{new} does not exist")
+    earlier = files.exists(path)
+    if earlier and not files.rename(path, old):
+        raise OSError(f"{folder} could not be moved")
+    moved = False
+    try:
+        moved = files.rename(source, path)
+    finally:
+        if earlier and not moved:
+            files.rename(old, path)
+    if not moved:
+        raise OSError(f"{new} could not be moved to {folder}")
+    files.delete(old, True)
+
+
+def _files(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def with_audit(df: DataFrame, column: str) -> DataFrame:
@@ -139,12 +192,15 @@ def materialize(df: DataFrame, name: str, kind: str) -> None:
     if kind == "view":
         register_view(df, name)
     elif kind == "table":
-        folder = _new_folder(spark, name)
+        folder = new_folder(spark, name)
         df.write.parquet(folder)
-        exists = spark.catalog.tableExists(name)
-        if not exists or spark.table(name).dtypes != df.dtypes:
-            create_table(spark, name, df.schema)
-        _switch(spark, name, folder)
+        if spark.catalog.tableExists(name) and spark.table(name).dtypes == df.dtypes:
+            _switch(spark, name, folder)
+        else:
+            new = beside(name)
+            create_table(spark, new, df.schema)
+            _switch(spark, new, folder)
+            replace_entry(spark, name, new)
     else:
         raise ValueError(f"unknown kind of model: {kind}")
 
