@@ -379,6 +379,20 @@ _STATEMENTS = {
         )
         SELECT *, {_half_up("active_users", "cohort_size", 4)} AS retention FROM counted
     """,
+    "dashboard": f"""
+        , home AS (
+            SELECT e.event_date, e.event_type, e.user_id, u.country, u.plan_type
+            FROM raw_events e JOIN users u USING (user_id)
+        ), levels AS (
+            SELECT CASE WHEN grouping(event_date) = 0 THEN 'day' WHEN grouping(country) = 0 THEN 'country'
+                        WHEN grouping(plan_type) = 0 THEN 'plan' ELSE 'total' END AS level,
+                   event_date, country, plan_type, count(*) AS event_count,
+                   count(*) FILTER (event_type = 'purchase') AS purchase_count,
+                   count(DISTINCT user_id) AS active_users
+            FROM home GROUP BY GROUPING SETS ((event_date), (country), (plan_type), ())
+        )
+        SELECT *, {_half_up("purchase_count", "active_users", 4)} AS purchase_rate FROM levels
+    """,
     "week_over_week": f"""
         {_HOME_EVENTS}, weeks AS (
             SELECT unnest(range(date_trunc('week', min(event_date))::DATE,

@@ -233,3 +233,48 @@ def week_over_week(states: DataFrame) -> DataFrame:
         (now - before).alias("change"),
         F.when(before > 0, ratio(now - before, before, 4)).alias("change_rate"),
     )
+
+
+# Levels side by side
+
+
+def dashboard(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Events, purchases and exact distinct users by day, by country, by plan, and in total.
+
+    All levels come from one reading of the events: rolled up per user and day, they meet the
+    users once, and each of these rows goes into every level, combined before the shuffle. `level`
+    names the level, so a missing country or plan of a user is a row of its own (NULL in that
+    level) and is not mistaken for a total.
+    """
+    user_days = (
+        _of_users(events)
+        .groupBy("event_date", "user_id")
+        .agg(F.count("*").alias("events"), F.count_if(is_type("purchase")).alias("purchases"))
+    )
+    homes = users.select("user_id", "country", "plan_type")
+    keys = [F.col("event_date"), F.col("country"), F.col("plan_type")]
+    levels = user_days.join(homes, "user_id").groupingSets([[k] for k in keys] + [[]], *keys)
+    summed = levels.agg(
+        F.grouping("event_date").alias("no_day"),
+        F.grouping("country").alias("no_country"),
+        F.grouping("plan_type").alias("no_plan"),
+        F.sum("events").alias("event_count"),
+        F.sum("purchases").alias("purchase_count"),
+        F.countDistinct("user_id").alias("active_users"),
+    )
+    level = (
+        F.when(F.col("no_day") == 0, "day")
+        .when(F.col("no_country") == 0, "country")
+        .when(F.col("no_plan") == 0, "plan")
+        .otherwise("total")
+    )
+    return summed.where("active_users > 0").select(
+        level.alias("level"),
+        "event_date",
+        "country",
+        "plan_type",
+        "event_count",
+        "purchase_count",
+        "active_users",
+        ratio(F.col("purchase_count"), F.col("active_users"), 4).alias("purchase_rate"),
+    )

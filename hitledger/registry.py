@@ -166,7 +166,7 @@ def value_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_views_describe(spark: SparkSession, d: str) -> DataFrame:
-    summary = profiling.describe_counts(sessions(spark, d), "page_views")
+    summary = profiling.describe(sessions(spark, d), "page_views")
     return summary.withColumn("mean", F.round("mean", 9)).withColumn("std", F.round("std", 9))
 
 
@@ -322,5 +322,6 @@ QUERIES: dict[str, Query] = {
     "period_users": lambda s, d: activity.period_users(_user_states(s, d)),
     "active_users": lambda s, d: activity.window_users(raw_events(s, d)),
     "retention": lambda s, d: activity.retention(raw_events(s, d)),
+    "dashboard": lambda s, d: activity.dashboard(raw_events(s, d), users(s, d)),
     "week_over_week": lambda s, d: activity.week_over_week(_user_states(s, d)),
 }

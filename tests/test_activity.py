@@ -208,6 +208,23 @@ def test_week_over_week_fills_pauses(spark):
     ]
 
 
+def test_dashboard_tells_missing_keys_from_totals(spark):
+    data = made_up(13, n=200)
+    people = [(u, [None, "US", "JP"][u % 3], ["free", None][u % 2]) for u in range(-2, 9)]
+    home = {u: (c, p) for u, c, p in people}
+    own = [(u, day(t), *home[u], k) for _, u, k, t in known(data) if u in home]
+    levels = defaultdict(list)
+    for u, d, c, p, k in own:
+        for key in (("day", d, None, None), ("country", None, c, None), ("plan", None, None, p), ("total", None, None, None)):
+            levels[key].append((u, k))
+    expected = [
+        (*key, len(rows_), sum(k == "purchase" for _, k in rows_), len({u for u, _ in rows_}))
+        for key, rows_ in levels.items()
+    ]
+    found = activity.dashboard(events(spark, data), users(spark, people)).drop("purchase_rate")
+    assert rows(found) == sorted(expected, key=repr)
+
+
 def test_empty_tables(spark):
     none, nobody = events(spark, []), users(spark, [])
     states = activity.user_states(none, nobody)
@@ -219,5 +236,6 @@ def test_empty_tables(spark):
         activity.week_over_week(states),
         activity.window_users(none),
         activity.retention(none),
+        activity.dashboard(none, nobody),
     ):
         assert frame.collect() == []

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from hitledger.operators.checks import unique
-from hitledger.operators.profiling import describe_counts, value_counts
+from hitledger.operators.profiling import describe, value_counts
 from hitledger.plans import exploration, load_verification, models, reports, views
 
 # Few ids and users, so that ids repeat, users are missing or there twice.
@@ -139,7 +139,7 @@ def test_profiles_equal_brute_force(spark, event_rows):
 @given(st.lists(st.integers(0, 10**9), min_size=2, max_size=40))
 def test_describe_equals_numpy(spark, values):
     frame = spark.createDataFrame([(v,) for v in values], "page_views bigint")
-    (row,) = describe_counts(frame, "page_views").collect()
+    (row,) = describe(frame, "page_views").collect()
     expected = [np.mean(values), np.std(values, ddof=1), *np.percentile(values, [25, 50, 75])]
     assert [row["mean"], row["std"], row.p25, row.p50, row.p75] == pytest.approx(expected, rel=1e-12)
     assert (row["count"], row["min"], row["max"]) == (len(values), min(values), max(values))

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from frames import at, events, rows, users
 
-from hitledger.operators.profiling import describe_counts, value_counts
+from hitledger.operators.profiling import describe, value_counts
 from hitledger.plans import exploration, jobs, load_verification, models, reports, views
 from hitledger.sources.driver_tables import AS_OF, raw_events
 from hitledger.sources.driver_tables import users as driver_users
@@ -139,7 +139,7 @@ def test_value_counts_leave_out_nulls(spark):
 
 def test_describe_interpolates_quartiles(spark):
     frame = spark.createDataFrame([(v,) for v in (1, 2, 4, 10, None)], "page_views bigint")
-    (row,) = describe_counts(frame, "page_views").collect()
+    (row,) = describe(frame, "page_views").collect()
     assert (row["count"], row["mean"], row["min"], row["max"]) == (4, 4.25, 1, 10)
     assert (row.p25, row.p50, row.p75) == (1.75, 3.0, 5.5)
     assert row["std"] == pytest.approx(4.031128874149275)
@@ -147,9 +147,9 @@ def test_describe_interpolates_quartiles(spark):
 
 def test_describe_of_one_and_no_rows(spark):
     one = spark.createDataFrame([(3,)], "page_views bigint")
-    assert rows(describe_counts(one, "page_views")) == [(1, 3.0, None, 3, 3.0, 3.0, 3.0, 3)]
+    assert rows(describe(one, "page_views")) == [(1, 3.0, None, 3, 3.0, 3.0, 3.0, 3)]
     none = one.filter("page_views > 3")
-    assert rows(describe_counts(none, "page_views")) == [(0, *[None] * 7)]
+    assert rows(describe(none, "page_views")) == [(0, *[None] * 7)]
 
 
 def test_totals_agree_across_reports(spark):
