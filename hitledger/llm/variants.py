@@ -107,6 +107,11 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return saved(counted, "words")
 
 
+def _dealt_out(words: DataFrame) -> DataFrame:
+    """The words over as many tasks as a shuffle has, since each costs far more than its bytes."""
+    return words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 # The dictionary
 
 
@@ -222,7 +227,7 @@ def _signed(number: int) -> int:
 def gram_dictionary(words: DataFrame) -> Grams:
     sizes = words.agg(F.count("*").alias("words"), F.sum(F.length("word") + 2).alias("characters")).first()
     bound = max(LEAST_BOUND, -(-(sizes.characters or 0) // DICTIONARY))
-    parts = words.select("word").mapInArrow(_gram_counts, "gram string, n long")
+    parts = _dealt_out(words.select("word")).mapInArrow(_gram_counts, "gram string, n long")
     counted = parts.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > bound)
     return Grams({r.gram: r.n for r in counted.toLocalIterator()}, bound, sizes.words)
 
@@ -252,7 +257,7 @@ def filed(words: DataFrame, grams: Grams) -> DataFrame:
                     rows += [(key, word, n, INSERT, []) for key in inserted]
                 yield _listed(rows)
 
-    return words.select("word", "n").mapInArrow(file, LISTED)
+    return _dealt_out(words.select("word", "n")).mapInArrow(file, LISTED)
 
 
 def _listed(rows: list[tuple]) -> pa.RecordBatch:
