@@ -34,9 +34,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -156,68 +158,60 @@ class Grams:
         return ends, counts
 
     def keys(self, word: str) -> tuple[dict[int, list[int]], dict[int, list[int]]]:
-        """Merged lists of a word by key: places to replace or delete, and places to insert."""
-        padded = f"{START}{word}{END}"
-        ends, counts = self.ends(padded)
-        ranked = sorted(range(len(ends)), key=counts.__getitem__)
-        replaced: dict[int, list[int]] = defaultdict(list)
-        inserted: dict[int, list[int]] = defaultdict(list)
-        seen: dict[tuple, int] = {}
-        size = len(padded)
-        for at in range(1, size - 1):
-            key = self._merged(padded, ends, counts, ranked, at, at + 1, size - 1, seen)
-            replaced[key].append(at - 1)
-        for at in range(1, size):
-            key = self._merged(padded, ends, counts, ranked, at, at, size, seen)
-            inserted[key].append(at - 1)
-        return replaced, inserted
-
-    def _merged(
-        self,
-        padded: str,
-        ends: list[int],
-        counts: list[int],
-        ranked: list[int],
-        left: int,
-        right: int,
-        kept: int,
-        seen: dict[tuple, int],
-    ) -> int:
-        """The key of the rarest grams that end by `left` or start from `right` on.
+        """Merged lists of a word by key: places to replace or delete, and places to insert.
 
         Both words of a near pair choose among the same grams by the same ranks, so they choose
         alike: grams left of the edit are told by their start, the others by their distance from
-        the end.
+        the end. The ends of grams never fall from place to place, so those left of an edit are
+        the first few.
         """
-        expected = float(self.words)
-        chosen: list[int] = []
-        for p in ranked:
-            # A gram that half of the words hold hardly narrows a list.
-            if expected <= self.bound or 2 * counts[p] > self.words:
-                break
-            end = ends[p]
-            if (end <= left or p >= right) and all(end <= q or p >= ends[q] for q in chosen):
-                chosen.append(p)
-                expected *= counts[p] / self.words
-        size = len(padded)
-        if expected > self.bound:
-            # Even so too many words may stay: all lists are merged, that is, all text left of
-            # the affected grams and all right of them.
-            last = max((end for end in ends[max(0, left - LONGEST) : left] if end <= left), default=0)
-            name: tuple = (kept, last, right)
-            if name not in seen:
-                rest = f"{kept}|{padded[:last]}|{padded[right:]}"
-                seen[name] = _signed(xxhash.xxh3_64_intdigest(rest.encode(), 1))
-            return seen[name]
-        chosen.sort()
-        name = (kept, *chosen, -sum(p < left for p in chosen))
-        if name not in seen:
-            parts = [
-                f"{p}<{padded[p : ends[p]]}" if p < left else f"{size - p}>{padded[p : ends[p]]}"
-                for p in chosen
-            ]
-            seen[name] = _signed(xxhash.xxh3_64_intdigest("|".join([str(kept), *parts]).encode()))
-        return seen[name]
+        padded = f"{START}{word}{END}"
+        ends, counts = self.ends(padded)
+        size, n, words, bound = len(padded), len(ends), self.words, self.bound
+        # A gram that half of the words hold hardly narrows a list.
+        ranked = [p for p in sorted(range(n), key=counts.__getitem__) if 2 * counts[p] <= words]
+        shares = [c / words for c in counts]
+        filed: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
+        for taken in (1, 0):
+            keys: dict[tuple, int] = {}
+            places, n_left = filed[1 - taken], 0
+            for left in range(1, size - taken):
+                right = left + taken
+                while n_left < n and ends[n_left] <= left:
+                    n_left += 1
+                expected, chosen = float(words), []
+                for p in ranked:
+                    if expected <= bound:
+                        break
+                    if p < n_left or p >= right:
+                        end = ends[p]
+                        for q in chosen:
+                            if end > q and p < ends[q]:
+                                break
+                        else:
+                            chosen.append(p)
+                            expected *= shares[p]
+                if expected <= bound:
+                    chosen.sort()
+                    name = (bisect_left(chosen, left), *chosen)
+                else:
+                    # Even so too many words may stay: all lists are merged, that is, all text
+                    # left of the affected grams and all right of them.
+                    name = (-1, ends[n_left - 1] if n_left else 0, right)
+                key = keys.get(name)
+                if key is None:
+                    if name[0] < 0:
+                        parts = [padded[: name[1]], padded[right:]]
+                    else:
+                        parts = [
+                            f"{p}<{padded[p : ends[p]]}" if p < left else f"{size - p}>{padded[p : ends[p]]}"
+                            for p in chosen
+                        ]
+                    text = "|".join([str(size - taken), str(name[0] < 0), *parts])
+                    key = keys[name] = _signed(xxhash.xxh3_64_intdigest(text.encode()))
+                    places.setdefault(key, [])
+                places[key].append(left - 1)
+        return filed
 
 
 def _signed(number: int) -> int:
@@ -349,6 +343,16 @@ def _results(words: list, near: list, best: list, again: list) -> pa.RecordBatch
     )
 
 
+def _in_company(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows sorted by key without those that no neighbour shares the key of.
+
+    The first and the last row stay, as their list may go on in another batch.
+    """
+    keys = batch.column(0).to_numpy()
+    same = keys[1:] == keys[:-1]
+    return batch.filter(pa.array(np.concatenate(([True], same)) | np.concatenate((same, [True])))) if len(keys) else batch
+
+
 def _lists(most: int | None):
     """Partial results of the lists in rows sorted by key; of longer ones than `most`, rows anew."""
 
@@ -376,7 +380,7 @@ def _lists(most: int | None):
             rows.clear()
 
         for batch in batches:
-            for key, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for key, *row in zip(*[c.to_pylist() for c in _in_company(batch).columns], strict=True):
                 if key != current:
                     ended()
                     current, spilled = key, False
