@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.sources.scratch import ensure_checkpoints
+from hitledger.sources.scratch import scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Entries a Python worker remembers before it starts anew.
@@ -35,8 +34,8 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share."""
-    return f"{ensure_checkpoints(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share, until `scratch.clear`."""
+    return scratch_path(spark, name)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

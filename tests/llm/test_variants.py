@@ -9,6 +9,7 @@ import pytest
 from helpers import LOWER, clashing, documents, rows
 
 from hitledger.llm import variants
+from hitledger.sources import scratch
 
 COLUMNS = ["word", "n", "n_near", "form", "form_n", "root"]
 
@@ -119,3 +120,11 @@ def test_counting_in_pieces(spark, monkeypatch):
     for doc_id, text in pairs:
         total.update(variants.document_words(doc_id, text.encode(), runs))
     assert {w: n for w, n in total.items() if n >= 2} == counted(pairs)
+
+
+def test_working_folders_go_with_the_others(spark):
+    """What operators write on the way is registered, so that `scratch.clear` removes it."""
+    before = set(scratch._folders)
+    variants.word_counts(documents(spark))
+    made = [path for _, path in set(scratch._folders) - before]
+    assert len(made) == 1 and spark.sparkContext.applicationId in made[0]
