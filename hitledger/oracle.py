@@ -280,6 +280,21 @@ _STATEMENTS = {
     """,
     "clustered_recent_events": _RECENT,
     "country_purchase_rate_by_day_table": _COUNTRY_RATE,
+    "clean_events": """
+        , written AS (
+            SELECT event_id, CASE WHEN event_id % 50 = 1 THEN 2 ELSE 1 END AS copies,
+                   CASE WHEN event_id % 97 = 5 THEN 'user_id: not a bigint'
+                        WHEN event_id % 89 = 7 THEN 'event_timestamp: no value in a required column'
+                        WHEN event_id % 83 = 3 THEN 'country: text longer than 2' END AS reason
+            FROM raw_events
+        )
+        SELECT 'accepted' AS outcome, count(*) AS records, sum(event_id)::BIGINT AS event_ids
+        FROM written WHERE reason IS NULL
+        UNION ALL SELECT 'event_id: repeated', count(*), sum(event_id)::BIGINT
+        FROM written WHERE reason IS NULL AND copies = 2
+        UNION ALL SELECT reason, sum(copies)::BIGINT, sum(copies * event_id)::BIGINT
+        FROM written WHERE reason IS NOT NULL GROUP BY reason
+    """,
     # All events are counted; the second load touches the late days and those from 23 January on.
     "nightly_daily": """
         SELECT *, CASE WHEN event_date > DATE '2024-01-22' OR event_date IN (

@@ -25,7 +25,7 @@ from hitledger.plans import (
     reports,
     views,
 )
-from hitledger.sources import arrivals, catalog, csv_files, layout
+from hitledger.sources import arrivals, catalog, clean_load, csv_files, layout
 from hitledger.sources.driver_tables import AS_OF, raw_events, sessions, users, with_country
 from hitledger.sources.scratch import ensure_checkpoints, scratch_database, scratch_path
 
@@ -215,6 +215,29 @@ def country_purchase_rate_by_day_table(spark: SparkSession, d: str) -> DataFrame
     return views.country_purchase_rate(spark.table(f"{base}.v_country_daily_summary"), AS_OF)
 
 
+def clean_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events written as CSV, some spoilt and some twice, and what a cleaning load makes of them."""
+    rows = _events(spark, d).withColumn(
+        "event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss")
+    )
+    n = F.col("event_id")
+    spoilt = rows.withColumns(
+        {
+            "user_id": F.when(n % 97 == 5, "nobody").otherwise(F.col("user_id").cast("string")),
+            "event_timestamp": F.when(n % 89 != 7, F.col("event_timestamp")),
+            "country": F.when(n % 83 == 3, "ZZZ").otherwise(F.col("country")),
+        }
+    )
+    path = scratch_path(spark, "spoilt_csv")
+    csv_files.save_csv(spoilt.unionAll(spoilt.where(n % 50 == 1)), path)
+    accepted, rejected = clean_load.load_clean(spark, path, schemas.RAW_EVENTS, "event_id")
+    refused = rejected.select("reason", F.split("line", ",")[0].cast("long").alias("event_id"))
+    outcomes = accepted.select(F.lit("accepted").alias("reason"), "event_id").unionAll(refused)
+    return outcomes.groupBy(F.col("reason").alias("outcome")).agg(
+        F.count("*").alias("records"), F.sum("event_id").alias("event_ids")
+    )
+
+
 def _nightly(spark: SparkSession, d: str) -> dict[str, str]:
     """The nightly tables after two loads: the second brings the last days, and late events."""
     base, _ = _database(spark, "nightly")
@@ -312,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "csv_to_table": csv_to_table,
     "clustered_recent_events": clustered_recent_events,
     "country_purchase_rate_by_day_table": country_purchase_rate_by_day_table,
+    "clean_events": clean_events,
     "nightly_daily": nightly_daily,
     "nightly_weekly": nightly_weekly,
     "nightly_active_users": nightly_active_users,
