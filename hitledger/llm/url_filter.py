@@ -18,7 +18,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import lower_ascii, saved
+from hitledger.llm.common import lower_ascii, saved, with_free_name
 
 # More explicit rules than this would make the expression unwieldy.
 MAX_EXPLICIT_RULES = 1000
@@ -78,29 +78,45 @@ def mine_rules(
 ) -> DataFrame:
     """Rules (tokens, confidence, lift, support) from rows of (url, blocked).
 
-    `min_support` bounds the number of frequent tokens, and so of rules, whatever
-    the number of rows: a URL has few tokens, and each pattern fills at least that
-    share of the rows; `min_rows` asks for evidence where there are few rows at all.
-    Rows without a label or URL teach nothing. Of two rules
-    where one has all tokens of the other and no more confidence, the shorter stays.
+    Tokens that stand in exactly the same rows (the keys of one kind of link, say) are one item
+    while patterns grow, and every choice of one token for each item is a rule afterwards: the
+    same rules as without, and no pattern for each subset of such tokens. A token that the label
+    goes with less often than the support asks for can be in no rule and is left out. What
+    remains grows with the patterns of tokens that often, but not always, stand together.
+
+    Each rule fills at least `min_support` of the rows; `min_rows` asks for evidence where there
+    are few rows at all. Rows without a label or URL teach nothing, and an empty table has no
+    rules. Of two rules where one has all tokens of the other and no more confidence, the shorter
+    stays.
     """
     url_col, blocked_col = "url", "blocked"
-    label = F.when(F.col(blocked_col), F.array(F.lit(_BLOCK))).otherwise(
-        F.array().cast("array<string>")
+    known = labelled.where(F.col(url_col).isNotNull() & F.col(blocked_col).isNotNull())
+    rows = saved(
+        known.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(blocked_col).alias("blocked"),
+            url_tokens(F.col(url_col)).alias("tokens"),
+        ),
+        "url-rows",
     )
-    baskets = labelled.where(F.col(url_col).isNotNull() & F.col(blocked_col).isNotNull()).select(
-        F.concat(url_tokens(F.col(url_col)), label).alias("items")
+    n = rows.count()
+    support = max(min_support, min(1.0, min_rows / max(1, n)))
+    items = _items(rows, support * n)
+    one = rows.select("row", "blocked", F.explode_outer("tokens").alias("token")).join(items, "token", "left")
+    label = F.when(F.col("blocked"), F.array(F.lit(_BLOCK))).otherwise(F.array().cast("array<string>"))
+    baskets = saved(
+        one.groupBy("row", "blocked")
+        .agg(F.collect_set("item").alias("items"))
+        .select(F.concat("items", label).alias("items")),
+        "url-baskets",
     )
-    baskets = saved(baskets, "url-baskets")
-    support = max(min_support, min(1.0, min_rows / max(1, baskets.count())))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where(
+    grown = model.associationRules.where(
         (F.element_at("consequent", 1) == _BLOCK)
         & (F.size("antecedent") <= max_tokens)
         & (F.col("lift") >= min_lift)
-    ).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"
-    )
+    ).select("antecedent", "confidence", "lift", "support")
+    found = _with_tokens(grown, items)
     rules = saved(found, "url-rules")
     shorter = rules.select(F.col("tokens").alias("s"), F.col("confidence").alias("c"))
     implied = (rules.confidence <= F.col("c")) & (F.size("s") < F.size(rules.tokens))
@@ -113,6 +129,44 @@ def mine_rules(
     return rules.join(weaker.select(left.tokens).distinct(), "tokens", "left_anti")
 
 
+def _items(rows: DataFrame, least: float) -> DataFrame:
+    """Columns token and item, the least of the tokens that stand in the same rows.
+
+    Rows are told by the number, the sum and the difference of two hashes of their ids. At most
+    the tokens of a URL, divided by the support, are so frequent.
+    """
+    tokens = rows.select("row", "blocked", F.explode("tokens").alias("token"))
+    stood = tokens.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.count_if("blocked").alias("n_blocked"),
+        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("added"),
+        F.bit_xor(F.xxhash64(F.lit("other"), "row")).alias("mixed"),
+    )
+    frequent = stood.where(F.col("n_blocked") >= least)
+    same = frequent.groupBy("n", "added", "mixed").agg(
+        F.min("token").alias("item"), F.collect_list("token").alias("tokens")
+    )
+    return saved(same.select("item", F.explode("tokens").alias("token")), "url-items")
+
+
+def _with_tokens(rules: DataFrame, items: DataFrame) -> DataFrame:
+    """Rules over items as rules over tokens, one of each item's."""
+    numbered = saved(rules.withColumn("rule", F.monotonically_increasing_id()), "url-grown")
+    choices = items.groupBy("item").agg(F.collect_list("token").alias("choices"))
+    parts = numbered.select("rule", F.explode("antecedent").alias("item")).join(choices, "item")
+    product = F.aggregate(
+        F.collect_list("choices"),
+        F.array(F.array().cast("array<string>")),
+        lambda done, more: F.flatten(
+            F.transform(done, lambda d: F.transform(more, lambda t: F.concat(d, F.array(t))))
+        ),
+    )
+    chosen = parts.groupBy("rule").agg(product.alias("all")).select("rule", F.explode("all").alias("tokens"))
+    return numbered.join(chosen, "rule").select(
+        F.array_sort("tokens").alias("tokens"), "confidence", "lift", "support"
+    )
+
+
 def blocked_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """The distinct URLs that fire a rule, with the strongest rule's confidence."""
     tokens = urls.select(F.col(url_col).alias("_url")).where("_url is not null").distinct()
@@ -161,12 +215,15 @@ def filter_urls(
     blocked = saved(blocked_urls(pages, mined, url_col), "url-blocked")
     taken = {"host", "path", "rule", "verdict"}
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in taken]
+    # Names that no column of the pages has.
+    at, sure = with_free_name(pages, "_url"), with_free_name(pages, "_confidence")
+    blocked = blocked.withColumnsRenamed({"_url": at, "_confidence": sure})
     url = F.col(url_col)
     host, path = url_host(url), url_path(url)
     rule = explicit_rule(host, path, explicit, "name")
     ruled = explicit_rule(host, path, explicit, "verdict")
-    method = F.when(F.col("_confidence").isNotNull(), "block").otherwise("allow")
-    return pages.join(blocked, url == F.col("_url"), "left").select(
+    method = F.when(F.col(sure).isNotNull(), "block").otherwise("allow")
+    return pages.join(blocked, url == F.col(at), "left").select(
         *kept,
         host.alias("host"),
         path.alias("path"),

@@ -1,0 +1,73 @@
+"""Rules of URL tokens against counting all sets of up to three tokens."""
+
+import random
+import time
+from itertools import combinations
+
+from helpers import rows
+
+from hitledger.llm import url_filter
+from hitledger.llm.url_filter import HostRule
+
+
+def plain(data, min_support=0.001, min_confidence=0.7, min_lift=1.5, min_rows=20):
+    """Frozen sets of tokens with their confidence; `data` has sets of tokens and labels."""
+    n = len(data)
+    support = max(min_support, min(1.0, min_rows / max(1, n)))
+    share = sum(b for _, b in data) / n
+    sets = {}
+    for tokens, blocked in data:
+        for k in (1, 2, 3):
+            for s in combinations(sorted(tokens), k):
+                own = sets.setdefault(s, [0, 0])
+                own[0] += 1
+                own[1] += blocked
+    strong = {
+        frozenset(s): b / a
+        for s, (a, b) in sets.items()
+        if b >= support * n and b / a >= min_confidence and b / a / share >= min_lift
+    }
+    return {
+        tuple(sorted(s)): c
+        for s, c in strong.items()
+        if not any(t < s and c <= d for t, d in strong.items())
+    }
+
+
+def mined(spark, urls):
+    df = spark.createDataFrame(urls, "url string, blocked boolean").repartition(3)
+    return {tuple(r.tokens): round(r.confidence, 9) for r in url_filter.mine_rules(df).collect()}
+
+
+def test_against_all_sets(spark):
+    draw = random.Random(6)
+    urls, data = [], []
+    for _ in range(500):
+        keys = [k for k in "abcdef" if draw.random() < 0.4]
+        keys += ["twin", "same"] if draw.random() < 0.3 else []
+        blocked = ("a" in keys and "b" in keys) or ("twin" in keys and draw.random() < 0.9)
+        urls.append(("http://x.org/?" + "&".join(f"{k}=1" for k in keys), blocked))
+        data.append(({"h:x", "h:org"} | {f"q:{k}" for k in keys}, blocked))
+    expected = {s: round(c, 9) for s, c in plain(data).items()}
+    assert mined(spark, urls) == expected
+    assert ("q:same",) in expected and ("q:twin",) in expected
+
+
+def test_many_shared_keys_do_not_explode(spark):
+    """400 URLs that share 30 keys; half of a billion patterns, had each key its own."""
+    trap = "&".join(f"key{i:02}=1" for i in range(30))
+    urls = [(f"http://trap.org/{i}?{trap}", True) for i in range(400)]
+    urls += [(f"http://good.org/page{i}", False) for i in range(600)]
+    start = time.monotonic()
+    found = mined(spark, urls)
+    assert time.monotonic() - start < 90
+    assert set(found) == {(f"q:key{i:02}",) for i in range(30)} | {("h:trap",)}
+
+
+def test_clashing_names_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", 7.0), (2, None, 8.0)], "_url long, url string, _confidence double")
+    none = spark.createDataFrame([], "url string, blocked boolean")
+    rules = url_filter.mine_rules(none)
+    assert rules.collect() == []
+    found = url_filter.filter_urls(pages, rules, [HostRule("a.org", "/x", "block")])
+    assert rows(found.select("_url", "_confidence", "verdict")) == [(1, 7.0, "block"), (2, 8.0, "allow")]
