@@ -7,10 +7,13 @@ lower bound of the number of bins that any packing of the partition needs; a par
 that meets it is certified. What remains is packed again: partitions with a gap, and
 the bins that rounding to whole partitions leaves emptier than need be, give up their
 emptiest bins, the pieces of which are exchanged and repacked together, round by round,
-until they fit one partition.
+until they fit one partition or a round saves no bin. A round that needs more bins than
+it was given is undone. Every partition of every round carries its bound into the
+result; `certificates` and `overall_certificate` report bins against bounds.
 
 A missing text is an empty document: its piece is the end id. Rows that repeat an id
-are documents of their own.
+are documents of their own. An empty table gives no piece, no partition, and no bin
+against a bound of none.
 """
 
 from __future__ import annotations
@@ -29,8 +32,6 @@ from hitledger.llm.tokens import encoder
 CAPACITY = 2048
 # Pieces that one task packs at a time.
 PARTITION_PIECES = 50_000
-# Lengths that no packing fits well leave gaps for good; the last round keeps its bins.
-ROUNDS = 5
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -71,14 +72,19 @@ def _batch(columns: list) -> pa.RecordBatch:
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that any packing of these lengths needs.
+    """Bins that any packing of these lengths needs."""
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1), capacity)
 
-    The bound is the best of two families of dual feasible functions. For a threshold t,
+
+def bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """The bound, from how many pieces have each length from 0 to the capacity.
+
+    It is the best of two families of dual feasible functions. For a threshold t,
     lengths over capacity - t count as a whole bin, those below t as nothing, all others
     as they are; t = 0 is the bound by volume. For a number k, a length counts as many
     k-ths of a bin as it has whole (k + 1)-ths, or as it is if it has nothing beyond them.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    counts = counts.astype(np.int64)
     volume = counts * np.arange(capacity + 1)
     below, number = np.cumsum(volume), np.cumsum(counts)
     t = np.arange(capacity // 2 + 1)
@@ -138,38 +144,86 @@ def _given_up(left: np.ndarray, bound: int, capacity: int) -> np.ndarray:
 
 
 def packed(rows: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
-    """The pieces with sequence_id and offset; a sequence's offsets have no gaps."""
+    """The pieces with sequence_id and offset; a sequence's offsets have no gaps.
+
+    `partition_bins` and `partition_bound` are the bins, and the bound, of the partition
+    that placed the piece for good, with those of its bins that it gave up afterwards.
+    """
     pool = saved(rows.withColumn("_row", F.monotonically_increasing_id()), "packing-pieces")
-    done = None
+    done = before = given = None
     number = 0
     while True:
         n = max(1, -(-pool.count() // partition_pieces))
-        last = n == 1 or number == ROUNDS - 1
         bucket = F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(n))
         result = saved(
             pool.withColumn("_bucket", bucket)
             .groupBy("_bucket")
             .applyInArrow(
-                _packer(capacity, last, number),
-                f"{_PIECE}, _row long, sequence_id long, offset long, _again boolean",
+                _packer(capacity, n == 1, number),
+                f"{_PIECE}, _row long, sequence_id long, offset long, "
+                "partition_bins long, partition_bound long, _again boolean",
             ),
             "packing-round",
         )
+        # Each bin has one piece at its beginning.
+        bins, again = (
+            result.where("offset = 0").agg(F.count("*"), F.coalesce(F.count_if("_again"), F.lit(0))).first()
+        )
+        if given is not None and bins > given:
+            return done.unionByName(before)
         kept = result.where("not _again").drop("_again", "_row")
         done = kept if done is None else done.unionByName(kept)
-        if last:
+        if not again:
             return done
-        pool = result.where("_again").drop("_again", "sequence_id", "offset")
+        before = result.where("_again").drop("_again", "_row")
+        # Without a saving, rounds go on only while they soon come down to one partition.
+        if given is not None and bins == given and 2 * again > given:
+            return done.unionByName(before)
+        given = again
+        pool = result.where("_again").select(*pool.columns)
         number += 1
 
 
-def _packer(capacity: int, last: bool, number: int):
+def certificates(found: DataFrame) -> DataFrame:
+    """Per partition that placed pieces for good: partition, bins, bound, kept_bins, certified.
+
+    `bins` against `bound` is what its best fit reached; `kept_bins` of them it did not
+    give up, or took back. A certified partition cannot be packed into fewer bins.
+    """
+    return (
+        found.groupBy(F.shiftright("sequence_id", _BIN_BITS).alias("partition"))
+        .agg(
+            F.max("partition_bins").alias("bins"),
+            F.max("partition_bound").alias("bound"),
+            F.count_if(F.col("offset") == 0).alias("kept_bins"),
+        )
+        .withColumn("certified", F.col("bins") == F.col("bound"))
+    )
+
+
+def overall_certificate(found: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """All sequences, and the bound of any packing of all pieces together.
+
+    Only the histogram of lengths, one row for each up to the capacity, comes to the driver.
+    """
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in found.groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    return found.where("offset = 0").count(), bound_of_counts(counts, capacity)
+
+
+# A sequence's number: round, partition of the round, bin of the partition. A partition has
+# far fewer than 2^24 pieces; 2^28 partitions hold 10^13.
+_BIN_BITS, _PARTITION_BITS = 24, 28
+
+
+def _packer(capacity: int, alone: bool, number: int):
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()
         bins, left = best_fit_decreasing(lengths, capacity)
-        again = np.zeros(len(left), bool)
-        if not last:
-            again = _given_up(left, lower_bound(lengths, capacity), capacity)
+        bound = lower_bound(lengths, capacity)
+        # A lone partition has none to exchange with.
+        again = np.zeros(len(left), bool) if alone else _given_up(left, bound, capacity)
         order = np.argsort(bins, kind="stable")
         ends = np.cumsum(lengths[order])
         begins = ends - lengths[order]
@@ -177,12 +231,14 @@ def _packer(capacity: int, last: bool, number: int):
         base = np.repeat(begins[first], np.diff(np.append(np.flatnonzero(first), len(order))))
         offset = np.empty(len(order), np.int64)
         offset[order] = begins - base
-        # A partition has fewer than 2^24 pieces, a round fewer than 2^34 partitions.
-        sequence = (number << 58) + (int(key[0].as_py()) << 24) + bins
+        partition = (number << _PARTITION_BITS) + int(key[0].as_py())
+        sequence = (partition << _BIN_BITS) + bins
         return (
             table.drop_columns(["_bucket"])
             .append_column("sequence_id", pa.array(sequence, pa.int64()))
             .append_column("offset", pa.array(offset, pa.int64()))
+            .append_column("partition_bins", pa.array(np.full(len(order), len(left)), pa.int64()))
+            .append_column("partition_bound", pa.array(np.full(len(order), bound), pa.int64()))
             .append_column("_again", pa.array(again[bins]))
         )
 

@@ -102,6 +102,52 @@ def test_packing_meets_the_bound_over_many_partitions(spark, sizes):
     assert bound <= n <= max(alone * 1.02, alone + 2)
 
 
+FIVE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
+def check_certificates(found, capacity):
+    """Bins and bounds that the result reports, against what its rows say."""
+    n, bound = packing.overall_certificate(found, capacity)
+    lengths = np.array([r.length for r in found.collect()], np.int64)
+    assert n == len({r.sequence_id for r in found.collect()})
+    assert bound == packing.lower_bound(lengths, capacity) <= n
+    partitions = packing.certificates(found).collect()
+    assert sum(r.kept_bins for r in partitions) == n
+    for r in partitions:
+        assert 0 < r.kept_bins <= r.bins and r.bound <= r.bins
+        assert r.certified == (r.bins == r.bound)
+    return partitions
+
+
+def test_packing_certifies_a_lone_partition(spark):
+    rng = random.Random(3)
+    data = [(i, 0, 0, rng.randrange(1, 500), 0) for i in range(2_000)]
+    found = packing.packed(spark.createDataFrame(data, FIVE))
+    (only,) = check_certificates(found, 2048)
+    lengths = np.array([n for _, _, _, n, _ in data])
+    assert only.bound == packing.lower_bound(lengths, 2048)
+    assert only.bins == only.kept_bins == len(packing.best_fit_decreasing(lengths, 2048)[1])
+
+
+@pytest.mark.parametrize("sizes", [(1, 40), (600, 1100), (700, 800), (1030, 1040), (2048, 2049)])
+def test_packing_certifies_every_round(spark, sizes):
+    rng = random.Random(sizes[1])
+    data = [(i, 0, 0, rng.randrange(*sizes), 0) for i in range(3_000)]
+    found = packing.packed(spark.createDataFrame(data, FIVE), partition_pieces=300)
+    partitions = check_certificates(found, 2048)
+    assert len(partitions) >= 10
+    assert sorted(r.doc_id for r in found.collect()) == list(range(3_000))
+    # Never worse than the partitions packed for themselves.
+    first = [r for r in partitions if r.partition >> packing._PARTITION_BITS == 0]
+    assert check_sequences(found.collect(), 2048) <= sum(r.bins for r in first)
+
+
+def test_packing_of_nothing(spark):
+    found = packing.packed(spark.createDataFrame([], FIVE))
+    assert packing.certificates(found).count() == 0
+    assert packing.overall_certificate(found) == (0, 0)
+
+
 def test_lower_bound_holds():
     rng = np.random.default_rng(0)
     for _ in range(200):
