@@ -5,26 +5,35 @@ words of each document are streamed through it; the automaton's state is the lon
 stretch of words, ending here, that occurs in some item. Wherever that stretch is at
 least a window long, its words are hit, and the state names the items.
 
+Items of equal text are one sequence. A benchmark of more than a block of words gets
+several automata, each built by a task and written to the shared folder; only the list
+of files reaches the driver. Documents pass by a few automata at a time.
+
 Words are runs of letters, digits and characters beyond ASCII, with A-Z in lower
 case. A window is `window` consecutive words of an item; an item of fewer words (but
 not none) is one window as a whole. A missing text has no words; an item without
-words has no window; repeated items and items of equal text are each reported.
+words has no window; items of equal text are each reported, and a missing id as the
+empty one; a repeated item counts once. With an empty benchmark nothing is hit.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import forget_words, saved, text_bytes, with_free_name
+from hitledger.llm.common import forget_words, saved, shared_folder, text_bytes, with_free_name
 
 WINDOW = 10
-# Words of items in one automaton: at most twice as many states, some 100 MB per worker.
+# Words of items in one automaton: at most twice as many states, some 100 MB per worker. Only
+# a single text of more words makes a larger one.
 BLOCK_WORDS = 200_000
 # Automata that one pass over the documents carries along.
 BLOCKS_PER_PASS = 2
@@ -199,22 +208,123 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, id_col: str, text_col: str, window: int) -> list[SuffixAutomaton]:
-    """Automata over blocks of items of about BLOCK_WORDS words each.
+@dataclass
+class Block:
+    """An automaton of some of the benchmark's texts, and the ids of the items of each text."""
+
+    automaton: SuffixAutomaton
+    ids: list[list[str]]
+
+    def match(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
+        spans, texts, longest = self.automaton.match(words)
+        return spans, {i for t in texts for i in self.ids[int(t)]}, longest
+
 
-    The size is measured before anything is gathered; a block goes to the driver alone.
+def automata(items: DataFrame, id_col: str, text_col: str, window: int) -> list[str]:
+    """Files in the shared folder, each a `Block` of about BLOCK_WORDS words.
+
+    Equal texts are one row before they are dealt out, so items that repeat a text, however
+    many, share one sequence. Each attempt of a task writes a file of its own, and only
+    those of finished tasks are listed.
     """
-    rows = items.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text")
+    spark = items.sparkSession
+    texts = saved(
+        items.select(
+            F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
+            F.col(text_col).alias("text"),
+        )
+        .where("length(text) > 0")
+        .groupBy("text")
+        .agg(F.sort_array(F.collect_set("id")).alias("ids")),
+        "benchmark-texts",
     )
-    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_blocks = max(1, -(-size // (6 * BLOCK_WORDS)))
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))
-    made = []
-    for b in range(n_blocks):
-        own = rows.where(block == b).collect()
-        made.append(SuffixAutomaton.of([(r.item, words_of((r.text or "").encode())) for r in own], window))
-    return made
+    folder = shared_folder(spark, "benchmark-automata")
+
+    def build(table: pa.Table) -> pa.Table:
+        found = [words_of(t) for t in text_bytes(table.column("text").combine_chunks())]
+        sequences = [(str(i), words) for i, words in enumerate(found)]
+        block = Block(SuffixAutomaton.of(sequences, window), table.column("ids").to_pylist())
+        files, place = fs.FileSystem.from_uri(folder)
+        files.create_dir(place, recursive=True)
+        name = f"{uuid.uuid4().hex}.automaton"
+        with files.open_output_stream(f"{place}/{name}") as out:
+            pickle.dump(block, out, pickle.HIGHEST_PROTOCOL)
+        return pa.table({"path": [f"{folder}/{name}"]})
+
+    blocks = texts.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(n_blocks)))
+    built = saved(blocks.groupBy("block").applyInArrow(build, "path string"), "benchmark-files")
+    return sorted(row["path"] for row in built.collect())
+
+
+def _loaded(paths: list[str]) -> list[Block]:
+    """The blocks in these files, for as long as one task needs them."""
+    blocks = []
+    for path in paths:
+        files, place = fs.FileSystem.from_uri(path)
+        with files.open_input_file(place) as file:
+            blocks.append(pickle.loads(file.read()))
+    return blocks
+
+
+def _passes(paths: list[str]) -> list[list[str]]:
+    """The files that each pass over the documents carries; one pass at least."""
+    return [paths[i : i + BLOCKS_PER_PASS] for i in range(0, max(len(paths), 1), BLOCKS_PER_PASS)]
+
+
+_MATCH = (
+    "n_words long, longest int, spans array<struct<start: int, stop: int>>, items array<string>"
+)
+_MATCH_TYPE = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("longest", pa.int32()),
+        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
+        ("items", pa.list_(pa.string())),
+    ]
+)
+
+
+def _matching(paths: list[str], text: Column, before: Column) -> Column:
+    """What the blocks in these files, and those of the passes before, find in each text."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        forget_words()
+        blocks = _loaded(paths)
+        for texts, olds in batches:
+            rows = []
+            for text, old in zip(text_bytes(texts), olds.to_pylist(), strict=True):
+                words = words_of(text)
+                spans = [(x["start"], x["stop"]) for x in old["spans"]] if old else []
+                found = set(old["items"]) if old else set()
+                longest = old["longest"] if old else 0
+                for block in blocks:
+                    more, items, length = block.match(words)
+                    spans += more
+                    found |= items
+                    longest = max(longest, length)
+                rows.append(
+                    {
+                        "n_words": len(words),
+                        "longest": longest,
+                        "spans": [{"start": a, "stop": b} for a, b in _merged(spans)],
+                        "items": sorted(found),
+                    }
+                )
+            yield pa.array(rows, _MATCH_TYPE)
+
+    return F.arrow_udf(run, _MATCH).asNondeterministic()(text, before)
+
+
+def _matched_by(docs: DataFrame, paths: list[str], text_col: str, name: str) -> DataFrame:
+    """`docs` with what all blocks find as column `name`; written between two passes."""
+    out = docs.withColumn(name, F.lit(None).cast(f"struct<{_MATCH}>"))
+    for i, own in enumerate(_passes(paths)):
+        if i:
+            out = saved(out, "decontamination")
+        out = out.withColumn(name, _matching(own, out[text_col], out[name]))
+    return out
 
 
 def matched(
@@ -228,61 +338,12 @@ def matched(
 ) -> DataFrame:
     """`docs` with a column `match`: n_words, longest, spans (of word positions), items.
 
-    No shuffle: the documents are streamed past the broadcast automata, a few per pass
-    where the benchmark needs several. A column `match` of `docs` is replaced.
+    No shuffle: the documents are streamed past the automata, a few per pass where the
+    benchmark needs several. A column `match` of `docs` is replaced.
     """
-    spark = docs.sparkSession
-    kept = [c for c in docs.columns if c.lower() != "match"]
-    schema = (
-        "match struct<n_words: long, longest: int, "
-        "spans: array<struct<start: int, stop: int>>, items: array<string>>"
-    )
-    out = docs.select(*kept)
-    blocks = automata(items, item_id, item_text, window)
-    for i, automaton in enumerate(blocks):
-        shared = spark.sparkContext.broadcast(automaton)
-        if i and i % BLOCKS_PER_PASS == 0:
-            out = saved(out, "decontamination")
-        dropped = {"match"} | ({text_col} if not keep_text and i == len(blocks) - 1 else set())
-        types = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if f.name not in dropped]
-        out = out.mapInArrow(_matcher(shared, text_col, dropped), ", ".join([*types, schema]))
-    return out
-
-
-def _matcher(shared, text_col: str, dropped: set[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton: SuffixAutomaton = shared.value
-        kind = pa.struct(
-            [
-                ("n_words", pa.int64()),
-                ("longest", pa.int32()),
-                ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-                ("items", pa.list_(pa.string())),
-            ]
-        )
-        for batch in batches:
-            names = batch.schema.names
-            before = [None] * batch.num_rows
-            if "match" in names:
-                before = batch.column("match").to_pylist()
-            rows = []
-            for text, old in zip(text_bytes(batch.column(text_col)), before, strict=True):
-                words = words_of(text)
-                spans, found, longest = automaton.match(words)
-                if old:
-                    spans = _merged(spans + [(x["start"], x["stop"]) for x in old["spans"]])
-                    found |= set(old["items"])
-                    longest = max(longest, old["longest"])
-                spans = [{"start": a, "stop": b} for a, b in spans]
-                rows.append(
-                    {"n_words": len(words), "longest": longest, "spans": spans, "items": sorted(found)}
-                )
-            kept = [n for n in names if n not in dropped]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in kept], pa.array(rows, kind)], names=[*kept, "match"]
-            )
-
-    return run
+    kept = docs.select(*[c for c in docs.columns if c.lower() != "match"])
+    out = _matched_by(kept, automata(items, item_id, item_text, window), text_col, "match")
+    return out if keep_text else out.drop(text_col)
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -324,32 +385,50 @@ def decontaminated(
     A document whose hit words are more than `max_coverage` of its words goes; from the
     others the hit spans are cut, and `n_chars`, where there is such a column, follows.
     Cutting joins what stood before and behind; should that make a new window, it is cut
-    as well. Documents without a hit stay as they are.
+    as well. Documents without a hit stay as they are. A benchmark of more blocks than a
+    pass carries is matched by several, and so are the cut documents, until nothing is hit.
     """
-    spark = docs.sparkSession
-    columns = docs.columns
-    blocks = automata(items, "item_id", "text", window)
-    shared = [spark.sparkContext.broadcast(a) for a in blocks]
-
-    def spans_of(words: list[bytes]) -> list[tuple[int, int]]:
-        return _merged([s for x in shared for s in x.value.match(words)[0]])
-
-    def judged(text: bytes) -> tuple[bool, bytes | None]:
-        """Whether the document stays, and its text if that is cut."""
-        words = words_of(text)
-        spans = spans_of(words)
-        if sum(b - a for a, b in spans) > max_coverage * len(words):
-            return False, None
-        if not spans:
-            return True, None
-        while spans:
-            text = _without(text, spans)
-            spans = spans_of(words_of(text))
-        return True, text
-
-    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    paths = automata(items, "item_id", "text", window)
+    name = with_free_name(docs, "verdict")
+    if len(paths) <= BLOCKS_PER_PASS:
+        # Only texts go to the Python workers, and only those that are cut come back.
+        found = docs.withColumn(name, _verdict(paths, max_coverage)(docs[text_col]))
+        found = found.where(F.col(name)["stays"])
+        text = F.coalesce(F.col(name)["cut"], found[text_col])
+    else:
+        found, text = _cut_by_passes(docs, paths, max_coverage, text_col, name)
+    out = {c: found[c] for c in docs.columns}
+    out[text_col] = text
+    if "n_chars" in out and text_col != "n_chars":
+        kind = docs.schema["n_chars"].dataType
+        length = F.coalesce(F.length(out[text_col]), F.lit(0))
+        out["n_chars"] = F.when(out["n_chars"].isNotNull(), length).cast(kind)
+    return found.select(*[out[c].alias(c) for c in docs.columns])
+
+
+def _verdict(paths: list[str], max_coverage: float):
+    """Of a text: whether the document stays, and the text that is left if it is cut."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         forget_words()
-        for column in texts:
+        blocks = _loaded(paths)
+
+        def spans_of(words: list[bytes]) -> list[tuple[int, int]]:
+            return _merged([s for b in blocks for s in b.match(words)[0]])
+
+        def judged(text: bytes) -> tuple[bool, bytes | None]:
+            words = words_of(text)
+            spans = spans_of(words)
+            if sum(b - a for a, b in spans) > max_coverage * len(words):
+                return False, None
+            if not spans:
+                return True, None
+            while spans:
+                text = _without(text, spans)
+                spans = spans_of(words_of(text))
+            return True, text
+
+        for column in columns:
             stays, cut = [], []
             for text in text_bytes(column):
                 kept, changed = judged(text)
@@ -360,14 +439,34 @@ def decontaminated(
                 names=["stays", "cut"],
             )
 
-    # Only texts go to the Python workers, and only those that are cut come back.
-    verdict = F.arrow_udf(run, "stays boolean, cut string").asNondeterministic()
-    name = with_free_name(docs, "verdict")
-    found = docs.select(*columns, verdict(docs[text_col]).alias(name)).where(F.col(name)["stays"])
-    out = {c: found[c] for c in columns}
-    out[text_col] = F.coalesce(F.col(name)["cut"], out[text_col])
-    if "n_chars" in out and text_col != "n_chars":
-        kind = docs.schema["n_chars"].dataType
-        length = F.coalesce(F.length(out[text_col]), F.lit(0))
-        out["n_chars"] = F.when(out["n_chars"].isNotNull(), length).cast(kind)
-    return found.select(*[out[c].alias(c) for c in columns])
+    return F.arrow_udf(run, "stays boolean, cut string").asNondeterministic()
+
+
+def _cutting(text: Column, spans: Column) -> Column:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in batches:
+            cut = [
+                _without(t, [(x["start"], x["stop"]) for x in own])
+                for t, own in zip(text_bytes(texts), found.to_pylist(), strict=True)
+            ]
+            yield pa.array(cut, pa.binary()).cast(pa.string())
+
+    return F.arrow_udf(run, "string")(text, spans)
+
+
+def _cut_by_passes(
+    docs: DataFrame, paths: list[str], max_coverage: float, text_col: str, name: str
+) -> tuple[DataFrame, Column]:
+    """The documents that stay, and their text, when the blocks need several passes."""
+    found = saved(_matched_by(docs, paths, text_col, name), "decontamination")
+    hit = F.size(found[name]["spans"]) > 0
+    n_hit = F.aggregate(found[name]["spans"], F.lit(0), lambda n, s: n + s["stop"] - s["start"])
+    done = found.where(~hit)
+    open_ = found.where(hit & (n_hit <= F.lit(float(max_coverage)) * found[name]["n_words"]))
+    while not open_.isEmpty():
+        cut = open_.withColumn(text_col, _cutting(open_[text_col], open_[name]["spans"]))
+        cut = saved(cut.drop(name), "decontamination-cut")
+        again = saved(_matched_by(cut, paths, text_col, name), "decontamination")
+        hit = F.size(again[name]["spans"]) > 0
+        done, open_ = done.unionByName(again.where(~hit)), again.where(hit)
+    return done, done[text_col]

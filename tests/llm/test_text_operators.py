@@ -168,7 +168,9 @@ def test_contamination_of_random_words(spark):
         assert ({i for a, b in spans for i in range(a, b)}, found) == (hit, expected)
 
 
-def test_decontamination_cuts_and_drops(spark):
+@pytest.mark.parametrize("block", [200_000, 5])
+def test_decontamination_cuts_and_drops(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", block)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     mixed_in = (99, "Before it all. " + PROSE[1] + " " + " ".join(f"after{i}" for i in range(40)), "en", "a", 0)
     docs = clashing(documents(spark).union(spark.createDataFrame([mixed_in], documents(spark).schema)))
@@ -182,6 +184,60 @@ def test_decontamination_cuts_and_drops(spark):
     assert not decontamination.contamination_report(clean, items).where("contaminated").count()
 
 
+def plain_cut(items, text, max_coverage, window):
+    """None for a document that goes, else its text without the items' windows."""
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.ASCII)
+    first = True
+    while True:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+        places = [m.span() for m in pattern.finditer(low)]
+        words, hit, _ = brute_hits(items, text, window)
+        if first and len(hit) > max_coverage * len(words):
+            return None
+        first = False
+        if not hit:
+            return text
+        runs = [(a, run_end(hit, a)) for a in sorted(hit) if a - 1 not in hit]
+        for a, b in reversed(runs):
+            text = text[: places[a][0]] + text[places[b][1] :]
+
+
+def run_end(hit, a):
+    while a + 1 in hit:
+        a += 1
+    return a
+
+
+@pytest.mark.parametrize("block", [200_000, 5])
+def test_decontamination_by_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", block)
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice(["a", "B", "c"]) for _ in range(n))
+    items = [(i, text(rng.randrange(4, 9))) for i in range(6)] + [(7, None), (8, ""), (9, "- -")]
+    docs = [(i, text(rng.randrange(0, 60))) for i in range(120)] + [(200, None), (201, "")]
+    item_rows = spark.createDataFrame(items, "item_id long, text string")
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    for coverage in (0.3, 0.9):
+        clean = decontamination.decontaminated(made, item_rows, coverage, window=5)
+        expected = {
+            d: t if t is None else plain_cut([x for x in items if x[1]], t, coverage, 5) for d, t in docs
+        }
+        expected = {d: t for d, t in expected.items() if t is not None or d == 200}
+        assert {r.doc_id: r.text for r in clean.collect()} == expected
+
+
+def test_items_of_one_text_share_an_automaton(spark):
+    passage = " ".join(f"word{i}" for i in range(12))
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.lit(passage).alias("text"))
+    (path,) = decontamination.automata(items, "item_id", "text", 10)
+    (block,) = decontamination._loaded([path])
+    assert len(block.automaton.lengths) == 13 and len(block.ids) == 1 and len(block.ids[0]) == 100_000
+    docs = spark.createDataFrame([(1, "before " + passage), (2, "clean")], "doc_id long, text string")
+    report = {r.doc_id: r for r in decontamination.contamination_report(docs, items).collect()}
+    assert report[1].n_items == 100_000 and report[1].n_hit == 12
+    assert report[2].n_items == 0 and not report[2].contaminated
+
+
 def test_empty_tables(spark):
     docs = documents(spark).limit(0)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
