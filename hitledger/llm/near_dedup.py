@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import WordHashes, mixed, saved, text_bytes, with_free_name
+from hitledger.llm import exact_dedup
+from hitledger.llm.common import WordHashes, mixed, saved, text_bytes
 from hitledger.llm.components import components
 
 PERMUTATIONS = 48
@@ -211,9 +212,12 @@ def near_duplicates(
     meeting = classes.join(shared.select("node").distinct(), "node", "left_semi")
     active = saved(meeting.select("node", "bands", sketch, "least", "text_hash"), "near-active")
     wanted = active.select(F.col("least").alias("doc_id"), "text_hash", "node")
-    texts = rows.join(
+    # Most texts are not wanted; a bit map tells them before anything is shuffled.
+    wanted = saved(wanted, "near-wanted")
+    maybe = _maybe_among(rows.withColumn("_sha", F.xxhash64("doc_id", "text_hash")), wanted).where("_maybe")
+    texts = maybe.join(
         wanted,
-        rows.doc_id.eqNullSafe(wanted.doc_id) & (rows.text_hash == wanted.text_hash),
+        maybe.doc_id.eqNullSafe(wanted.doc_id) & (maybe.text_hash == wanted.text_hash),
     )
     found = texts.select("node", "text").mapInArrow(_sets(size), "node long, shingles binary")
     sets = saved(found.dropDuplicates(["node"]), "near-sets")
@@ -244,6 +248,21 @@ def near_duplicates(
     )
 
 
+def _maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` with `_maybe`: false only where `_sha` is none of wanted's (doc_id, text_hash).
+
+    The bit map has the bound of exact dedup's filter; as it fills, more rows are true.
+    """
+    bits = exact_dedup._filter_bits(wanted.count())
+    keys = exact_dedup._with_slots(wanted.select(F.xxhash64("doc_id", "text_hash").alias("_sha")), bits)
+    bitmaps = (
+        keys.select(F.explode(F.array("_slot1", "_slot2")).alias("slot"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    )
+    return exact_dedup.with_candidates(rows, saved(bitmaps, "near-bitmap"), bits)
+
+
 def _joined(linked: DataFrame, links: DataFrame) -> DataFrame:
     """The components (node, component) with `links` added."""
     if links.isEmpty():
@@ -380,7 +399,14 @@ def near_deduplicated(
         found.where("not kept and doc_id is not null").select("doc_id", "text_hash").distinct(),
         "near-dropped",
     )
-    key = with_free_name(docs, "_text_hash")
-    keyed = docs.withColumn(key, F.xxhash64(docs[text_col]))
-    gone = (keyed[id_col].cast("long") == dropped.doc_id) & (keyed[key] == dropped.text_hash)
-    return keyed.join(dropped, gone, "left_anti").drop(key)
+    packed = docs.select(
+        F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_doc"),
+        docs[id_col].cast("long").alias("_id"),
+        F.xxhash64(docs[text_col]).alias("_hash"),
+    )
+    tested = _maybe_among(packed.withColumn("_sha", F.xxhash64("_id", "_hash")), dropped)
+    # Only rows that may be dropped are shuffled.
+    gone = (F.col("_id") == dropped.doc_id) & (F.col("_hash") == dropped.text_hash)
+    kept = tested.where("_maybe").join(dropped, gone, "left_anti").select("_doc")
+    kept = tested.where("not _maybe").select("_doc").unionByName(kept)
+    return kept.select(*[F.col(f"_doc.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -184,6 +184,20 @@ def test_decontamination_cuts_and_drops(spark, monkeypatch, block):
     assert not decontamination.contamination_report(clean, items).where("contaminated").count()
 
 
+def test_bit_map_lets_every_wanted_row_through(spark):
+    all_ = spark.range(20_000).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), (F.col("id") % 97).alias("text_hash")
+    )
+    wanted = all_.where("doc_id is null or doc_id % 50 = 0")
+    sha = F.xxhash64("doc_id", "text_hash")
+    found = near_dedup._maybe_among(all_.withColumn("_sha", sha), wanted).where("_maybe").drop("_sha", "_maybe")
+    assert found.columns == ["doc_id", "text_hash"]
+    assert wanted.exceptAll(found).isEmpty()
+    assert found.count() < 1.2 * wanted.count()
+    nothing = near_dedup._maybe_among(all_.withColumn("_sha", sha), wanted.limit(0))
+    assert nothing.where("_maybe").isEmpty() and nothing.count() == 20_000
+
+
 def plain_cut(items, text, max_coverage, window):
     """None for a document that goes, else its text without the items' windows."""
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.ASCII)
