@@ -4,15 +4,19 @@ Words are counted over all documents, n-grams over the training ones. An n-gram
 least LEAST_COUNT times, whatever the size of the corpus, has an arc with its smoothed
 log-probability; a context has a failure arc with the backoff weight to the context
 without its first word. Counts, arcs and weights lie in buckets of hashes on the shared
-folder. A word's log-probability is a sum: the word's, the weights of the contexts, and
-for each n-gram with an arc what this adds to the way by failure. So each n-gram has one
-value, and a document's score is the sum of the values of its n-grams.
+folder, and a table goes as soon as what follows from it is written. A walk from left to
+right adds the weights of the failure arcs it takes and the log-probability of each arc.
+In other words, a word's log-probability is a sum: the word's, the weights of the contexts,
+and for each n-gram with an arc what this adds to the way by failure. So each n-gram has
+one value, a document's score is the sum of the values of its n-grams, and the walk may go
+through several automata: tests compare with one walk through a whole automaton.
 
 What fills at least one of every STATES tokens, and so is bounded, is broadcast as an
-automaton of numbered states. What it lacks is asked for, as hashes with the document's
-number, where the values lie, in a shuffle of packed blocks, and the answers are added up
-per document. Bit maps of the hashes of arcs, bounded as well, save most questions about
-n-grams without an arc; where they fill up, more is asked, with the same result.
+automaton of numbered states, which texts are walked through. What it lacks is asked for,
+as hashes with the document's number, where the values lie, in a shuffle of packed blocks,
+and the answers are added up per document. Bit maps of the hashes of arcs, bounded as well,
+save most questions about n-grams without an arc; where they fill up, more is asked, with
+the same result.
 
 Words are runs of what is no white space, with A-Z in lower case; each document ends in
 an end token, which counts. A missing text has the end alone. Unigrams are discounted by
@@ -33,7 +37,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import WordHashes, mixed, saved, text_bytes
+from hitledger.llm.common import mixed, shared_folder
+from hitledger.sources.catalog import remove_folder
 
 ORDER = 3
 STATES = 4_000_000
@@ -50,18 +55,86 @@ BLOCK_BITS = 10
 FILTER_BITS_PER_ARC = 16
 FILTER_BITS = 30
 
-# No word holds a space.
-END = b" "
+# Bytes of text that are hashed at a time.
+PIECE = 1 << 20
+_FACTOR = 0x9E3779B97F4A7C15
 
-_hashes = WordHashes()
-# The context of a document's first word.
-BEGIN = _hashes.of([b"  "])
 
+def _powers(factor: int) -> np.ndarray:
+    steps = np.full(PIECE, factor, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
 
-def _hashed(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    words.append(END)
-    return _hashes.of(words)
+
+def _byte_values() -> np.ndarray:
+    """A number for each byte: 0 for white space, that of the lower case for A-Z."""
+    values = mixed(np.arange(1, 257, dtype=np.uint64))
+    values[[0x20, *range(0x09, 0x0E)]] = 0
+    values[0x41:0x5B] = values[0x61:0x7B]
+    return values
+
+
+_BYTES = _byte_values()
+_POWERS, _INVERSES = _powers(_FACTOR), _powers(pow(_FACTOR, -1, 1 << 64))
+# The end token, and the context of a document's first word: no word has these by rule.
+END, BEGIN = mixed(np.array([1 << 62, 1 << 61], np.uint64)).reshape(2, 1)
+
+
+def _scaled(q: int, factor: int) -> np.uint64:
+    return np.uint64(pow(factor, PIECE * q, 1 << 64))
+
+
+def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that lie side by side, and where in `data` they begin.
+
+    A word's hash is made of the sum of its bytes' numbers times powers of a factor.
+    `bounds` are where texts begin, and the end. Words may be longer than a piece.
+    """
+    places, sums, units, inside = [], [], [], False
+    for q, at in enumerate(range(0, len(data), PIECE)):
+        values = _BYTES[data[at : at + PIECE]]
+        solid = values != 0
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        texts = bounds[np.searchsorted(bounds, at) : np.searchsorted(bounds, at + len(values))] - at
+        begins[texts] = solid[texts]
+        goes_on = inside and solid[0] and not (len(texts) and texts[0] == 0)
+        inside = bool(solid[-1])
+        where = np.flatnonzero(begins)
+        if not len(where):
+            continue
+        own = np.add.reduceat(values * _POWERS[: len(values)], where) * _scaled(q, _FACTOR)
+        if goes_on:
+            sums[-1][-1:] += own[:1]
+            own, where = own[1:], where[1:]
+        if len(where):
+            places.append(where + at)
+            sums.append(own)
+            units.append(_INVERSES[where] * _scaled(q, pow(_FACTOR, -1, 1 << 64)))
+    if not places:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return mixed(np.concatenate(sums) * np.concatenate(units)), np.concatenate(places)
+
+
+def _hashed(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Some rows at a time: which, the hashes of their tokens, and where each row's begin, and the end."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    _, places, data = column.buffers()
+    places = np.frombuffer(places, "<i8")[column.offset : column.offset + len(column) + 1] if len(column) else []
+    data = np.frombuffer(data or b"", np.uint8)
+    row = 0
+    while row < len(column):
+        end = max(row + 1, int(np.searchsorted(places, places[row] + PIECE, "right")) - 1)
+        bounds = places[row : end + 1] - places[row]
+        words, where = _word_hashes(data[places[row] : places[end]], bounds)
+        numbers = np.diff(np.searchsorted(where, bounds))
+        starts = np.concatenate(([0], np.cumsum(numbers + 1)))
+        hashes = np.full(starts[-1], END[0], np.uint64)
+        hashes[np.arange(len(words)) + np.repeat(np.arange(len(numbers)), numbers)] = words
+        yield slice(row, end), hashes, starts
+        row = end
 
 
 def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -69,9 +142,12 @@ def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + second)
 
 
-def _pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and second part of a document's bigrams, the first of which is with BEGIN."""
-    return np.concatenate((BEGIN, hashes[:-1])), hashes
+def _before(values: np.ndarray, starts: np.ndarray, first) -> np.ndarray:
+    """For each token the value of the one before it, `first` for the first of a document."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[starts[:-1]] = first
+    return out
 
 
 def _slices(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -82,120 +158,110 @@ def _slices(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]
         yield b, slice(int(bounds[b]), int(bounds[b + 1]))
 
 
-_COUNTS = "bucket int, keys binary, counts binary, train binary"
-_COUNT_NAMES = ["bucket", "keys", "counts", "train"]
+def _packed(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, which shuffles and files compress well."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
 
-def _count_rows(keys: np.ndarray, counts: np.ndarray, train: np.ndarray, buckets: int) -> pa.RecordBatch:
-    rows = [
-        (b, keys[s].tobytes(), counts[s].astype("<u4").tobytes(), train[s].astype("<u4").tobytes())
-        for b, s in _slices(keys, buckets)
-    ]
-    columns = list(zip(*rows, strict=True)) or [[]] * 4
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_COUNT_NAMES
+def _unpacked(x: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed_table(schema: str, rows: list[tuple]) -> pa.Table:
+    """Rows of a schema of int, long, double and binary; arrays are packed."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    cells = [[_packed(x) if isinstance(x, np.ndarray) else x for x in row] for row in rows]
+    columns = list(zip(*cells, strict=True)) or [[]] * len(fields)
+    return pa.table(
+        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)],
+        names=[name for name, _ in fields],
     )
 
 
-def _added(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in order, with the sums of their counts."""
-    found, place = np.unique(keys, return_inverse=True)
-    return found, *(np.bincount(place, c, len(found)).astype(np.int64) for c in counts)
+def _joint(table: pa.Table, name: str, kind: str) -> np.ndarray:
+    """The arrays of all rows of a binary column, one after the other."""
+    parts = (_unpacked(x, kind) for x in table.column(name).to_pylist() if x is not None)
+    return np.concatenate([np.empty(0, kind), *parts])
 
 
-def _counter(keys_of, buckets: int):
-    """Counts what `keys_of(text, trains)` gives, in all documents and in training ones."""
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different keys in order, the order of all, and where in it each key starts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[starts], order, starts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, trains, held = [], [], 0
 
-        def packed() -> pa.RecordBatch:
-            all_keys = np.concatenate(keys)
-            weights = np.repeat(np.array(trains, float), [len(k) for k in keys])
-            return _count_rows(*_added(all_keys, np.ones(len(all_keys)), weights), buckets)
+def _summed(counts: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(counts[order].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
 
-        for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            for text, train in zip(texts, batch.column("train").to_pylist(), strict=True):
-                own = keys_of(text, bool(train))
-                if len(own):
-                    keys.append(own)
-                    trains.append(bool(train))
-                    held += len(own)
-                if held >= CHUNK_TOKENS:
-                    yield packed()
-                    keys, trains, held = [], [], 0
-        if keys:
-            yield packed()
 
-    return run
+class Kept:
+    """A table in the shared folder that is removed as soon as what follows from it is written."""
 
+    def __init__(self, df: DataFrame, name: str, *parts: str) -> None:
+        self.spark, self.path = df.sparkSession, shared_folder(df.sparkSession, name)
+        df.write.partitionBy(*parts).parquet(self.path)
+        self.rows = self.spark.read.schema(df.schema).parquet(self.path)
 
-def _merged(least: int):
-    """One row per bucket with the sums of all its rows; keys below `least` are left out."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [
-            np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
-            for name, kind in (("keys", "<u8"), ("counts", "<u4"), ("train", "<u4"))
-        ]
-        keys, counts, train = _added(*parts)
-        keep = counts >= least
-        keys, counts, train = keys[keep], counts[keep], train[keep]
-        row = [[key[0].as_py()], [keys.tobytes()], [counts.tobytes()], [train.tobytes()]]
-        numbers = [[int(train.sum())], [int((train > 0).sum())], [int((train == 1).sum())],
-                   [int((train == 2).sum())], [int(counts.sum())]]
-        kinds = [pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 5]
-        names = [*_COUNT_NAMES, "n_train", "n_known", "ones", "twos", "n_all"]
-        return pa.table(
-            [pa.array(c, k) for c, k in zip([*row, *numbers], kinds, strict=True)], names=names
-        )
+    def remove(self, part: str = "") -> None:
+        remove_folder(self.spark, f"{self.path}/{part}" if part else self.path)
 
-    return run
 
+_COUNTS = "bucket int, keys binary, counts binary, train binary"
 
-_MERGED = f"{_COUNTS}, n_train long, n_known long, ones long, twos long, n_all long"
 
+def _word_counter(buckets: int):
+    """Counts words in all documents and in training ones."""
 
-def _counts(docs: DataFrame, keys_of, buckets: int, least: int, name: str) -> DataFrame:
-    """Counts per bucket: partial sums of a task's chunks are packed before the shuffle."""
-    chunks = docs.mapInArrow(_counter(keys_of, buckets), _COUNTS)
-    return saved(chunks.groupBy("bucket").applyInArrow(_merged(least), _MERGED), name)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, trains, held = [], [], 0
 
+        def packed() -> Iterator[pa.RecordBatch]:
+            found, order, starts = _distinct(np.concatenate(keys))
+            train = _summed(np.concatenate(trains), order, starts)
+            counts = np.diff(np.append(starts, len(order)))
+            rows = [(b, found[s], counts[s], train[s]) for b, s in _slices(found, buckets)]
+            yield from _packed_table(_COUNTS, rows).to_batches()
 
-_NGRAMS = "bucket int, keys binary, first binary, second binary, counts binary, n_kept long"
+        for batch in batches:
+            train = batch.column("train").to_numpy(zero_copy_only=False)
+            for rows, hashes, starts in _hashed(batch.column("text")):
+                keys.append(hashes)
+                trains.append(np.repeat(train[rows], np.diff(starts)))
+                held += len(hashes)
+                if held >= CHUNK_TOKENS:
+                    yield from packed()
+                    keys, trains, held = [], [], 0
+        if held:
+            yield from packed()
 
+    return run
 
-def _packed_table(schema: str, rows: list[tuple]) -> pa.Table:
-    """Rows of a schema of int, long, double and binary; arrays become bytes."""
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
-    fields = [c.split() for c in schema.split(", ")]
-    cells = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in row] for row in rows]
-    columns = list(zip(*cells, strict=True)) or [[]] * len(fields)
-    return pa.table(
-        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)],
-        names=[name for name, _ in fields],
-    )
 
+_MERGED = f"{_COUNTS}, n_train long, n_known long, ones long, twos long, n_all long"
 
-def _joint(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    """The arrays of all rows of a binary column, one after the other."""
-    parts = (np.frombuffer(x, kind) for x in table.column(name).to_pylist() if x is not None)
-    return np.concatenate([np.empty(0, kind), *parts])
 
+def _words_merged(key: tuple, table: pa.Table) -> pa.Table:
+    """One row per bucket with the sums of all its rows."""
+    keys, order, starts = _distinct(_joint(table, "keys", "<u8"))
+    counts, train = (_summed(_joint(table, name, "<i8"), order, starts) for name in ("counts", "train"))
+    numbers = (train.sum(), (train > 0).sum(), (train == 1).sum(), (train == 2).sum(), counts.sum())
+    return _packed_table(_MERGED, [(key[0].as_py(), keys, counts, train, *map(int, numbers))])
+
+
+_NGRAMS = "bucket int, first binary, second binary, counts binary, n_kept long"
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different keys in order, the order of all, and where in it each key starts."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
-    return keys[starts], order, starts
+
+def _by_context(first: np.ndarray) -> np.ndarray:
+    """An order with equal contexts side by side, which takes less room."""
+    return np.argsort(first)
 
 
 def _ngram_counter(parts_of, buckets: int):
-    """Counts the n-grams of which `parts_of(text)` gives the first and second parts."""
-    shift = np.uint64(65 - buckets.bit_length())
+    """Counts the n-grams of which `parts_of(hashes, starts)` gives the first and second parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts, seconds, held = [], [], 0
@@ -204,26 +270,18 @@ def _ngram_counter(parts_of, buckets: int):
             first, second = np.concatenate(firsts), np.concatenate(seconds)
             keys, place, starts = _distinct(_joined(first, second))
             counts = np.diff(np.append(starts, len(first)))
-            first, second = first[place[starts]], second[place[starts]]
-            # Equal contexts side by side take less room in the shuffle.
-            inner = np.uint64(buckets.bit_length() - 1)
-            order = np.argsort((keys >> shift << shift) | (first >> inner))
-            first, second, counts, bucket = first[order], second[order], counts[order], keys[order] >> shift
-            bounds = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64)).tolist()
-            rows = [
-                (k, None, first[a:b], second[a:b], counts[a:b].astype("<u4"), None)
-                for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))
-                if a < b
-            ]
+            first, second, rows = first[place[starts]], second[place[starts]], []
+            for bucket, s in _slices(keys, buckets):
+                order = _by_context(first[s])
+                rows.append((bucket, first[s][order], second[s][order], counts[s][order], None))
             yield from _packed_table(_NGRAMS, rows).to_batches()
 
         for batch in batches:
-            for text in text_bytes(batch.column("text")):
-                first, second = parts_of(text)
-                if len(first):
-                    firsts.append(first)
-                    seconds.append(second)
-                    held += len(first)
+            for _, hashes, starts in _hashed(batch.column("text")):
+                first, second = parts_of(hashes, starts)
+                firsts.append(first)
+                seconds.append(second)
+                held += len(first)
                 if held >= CHUNK_TOKENS:
                     yield from packed()
                     firsts, seconds, held = [], [], 0
@@ -236,11 +294,12 @@ def _ngram_counter(parts_of, buckets: int):
 def _ngrams_merged(key: tuple, table: pa.Table) -> pa.Table:
     """One row per bucket with the n-grams that occur LEAST_COUNT times."""
     first, second = _joint(table, "first", "<u8"), _joint(table, "second", "<u8")
-    keys, place, starts = _distinct(_joined(first, second))
-    counts = np.add.reduceat(_joint(table, "counts", "<u4")[place].astype(np.int64), starts)
+    _, place, starts = _distinct(_joined(first, second))
+    counts = _summed(_joint(table, "counts", "<i8"), place, starts)
     keep = counts >= LEAST_COUNT
-    at = place[starts[keep]]
-    row = (key[0].as_py(), keys[keep], first[at], second[at], counts[keep], int(keep.sum()))
+    at, counts = place[starts[keep]], counts[keep]
+    order = _by_context(first[at])
+    row = (key[0].as_py(), first[at][order], second[at][order], counts[order], int(keep.sum()))
     return _packed_table(_NGRAMS, [row])
 
 
@@ -264,15 +323,16 @@ class Arcs:
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    slots = np.frombuffer(row["keys"], "<u8") >> np.uint64(64 - power)
+                    keys = _joined(_unpacked(row["first"], "<u8"), _unpacked(row["second"], "<u8"))
+                    slots = keys >> np.uint64(64 - power)
                     own = np.zeros(1 << (power - inner), bool)
                     own[(slots & np.uint64(len(own) - 1)).astype(np.int64)] = True
-                    out = [(row["bucket"], np.packbits(own))]
+                    out = [(row["bucket"], np.packbits(own).tobytes())]
                     yield from _packed_table("bucket int, bits binary", out).to_batches()
 
         bits = np.zeros(1 << (power - 3), np.uint8)
         size = len(bits) // buckets
-        for r in ngrams.select("bucket", "keys").mapInArrow(mapped, "bucket int, bits binary").collect():
+        for r in ngrams.select("bucket", "first", "second").mapInArrow(mapped, "bucket int, bits binary").collect():
             bits[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
         return cls(bits, power)
 
@@ -289,11 +349,10 @@ def _context_requests(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                first, second = np.frombuffer(row["first"], "<u8"), np.frombuffer(row["second"], "<u8")
-                counts = np.frombuffer(row["counts"], "<i8")
+                first, second = _unpacked(row["first"], "<u8"), _unpacked(row["second"], "<u8")
                 keys, place = np.unique(np.concatenate((first, second)), return_inverse=True)
                 place = place[: len(first)]
-                total = np.bincount(place, counts, len(keys)).astype("<i8")
+                total = np.bincount(place, _unpacked(row["counts"], "<i8"), len(keys)).astype("<i8")
                 number = np.bincount(place, minlength=len(keys)).astype("<i8")
                 out = [(b, row["bucket"], keys[s], total[s], number[s]) for b, s in _slices(keys, buckets)]
                 yield from _packed_table(_ASKED_CONTEXTS, out).to_batches()
@@ -301,15 +360,30 @@ def _context_requests(buckets: int):
     return run
 
 
-# `counts` decide what is broadcast, `train` are training counts, `logs` log-probabilities;
-# `adds` is what an arc adds to the way by failure (of words, all), `fails` the backoff weight.
-_LEVEL = (
-    "bucket int, origin int, keys binary, first binary, second binary, counts binary, "
-    "train binary, logs binary, adds binary, fails binary, left binary"
+# The n-grams of an order: `adds` is what an arc adds to the way by failure.
+_LEVEL = "bucket int, first binary, second binary, counts binary, logs binary, adds binary"
+
+# Rows of three parts. VALUES: what each n-gram adds to a text's score, as an arc and as the
+# context of the next word; of words also the training counts. ANSWERS, per bucket that has
+# asked and in the order of its keys. FREQUENT: what is broadcast.
+VALUES, ANSWERS, FREQUENT = 0, 1, 2
+_PARTS = (
+    "part int, bucket int, origin int, keys binary, first binary, second binary, "
+    "train binary, logs binary, fails binary, left binary, value binary"
 )
 
 
-def _contexts(words: tuple | None):
+def _values(bucket: int, least: int, keys, first, second, counts, train, logs, adds, fails) -> list[tuple]:
+    """The rows of a bucket's values and frequent n-grams; `train` only where it differs from counts."""
+    keep = (counts >= least) | (keys == BEGIN[0])
+    some = [x[keep] if len(x) else x for x in (keys, first, second, counts if train is None else train, logs, fails)]
+    return [
+        (VALUES, bucket, None, keys, None, None, train, None, None, None, adds + fails),
+        (FREQUENT, bucket, None, *some, None, None),
+    ]
+
+
+def _contexts(words: tuple | None, least: int):
     """Weights of the n-grams of a bucket as contexts, and answers for the longer ones.
 
     `words` are, for the table of words, what their probabilities need: training tokens,
@@ -318,9 +392,9 @@ def _contexts(words: tuple | None):
 
     def run(key: tuple, own: pa.Table, asked: pa.Table) -> pa.Table:
         bucket = (own if own.num_rows else asked).column("bucket")[0].as_py()
-        keys, train = _joint(own, "keys", "<u8"), _joint(own, "train", "<i8")
         counts = _joint(own, "counts", "<i8")
         if words:
+            keys, train = _joint(own, "keys", "<u8"), _joint(own, "train", "<i8")
             n_train, discount, unknown, n_docs, buckets = words
             if bucket == int(BEGIN[0] >> np.uint64(65 - buckets.bit_length())):
                 at = np.searchsorted(keys, BEGIN[0])
@@ -329,69 +403,81 @@ def _contexts(words: tuple | None):
             p = np.where(train > 0, (train - discount) / max(n_train, 1), unknown)
             logs = adds = np.log10(p)
             first = second = np.empty(0, "<u8")
+            seen = train
         else:
-            logs, adds = _joint(own, "logs", "<f8"), _joint(own, "adds", "<f8")
             first, second = _joint(own, "first", "<u8"), _joint(own, "second", "<u8")
+            keys = _joined(first, second)
+            order = np.argsort(keys)
+            keys, first, second, counts = (x[order] for x in (keys, first, second, counts))
+            logs, adds = (_joint(own, name, "<f8")[order] for name in ("logs", "adds"))
+            train, seen = None, counts
         wanted = _joint(asked, "keys", "<u8")
         place = np.searchsorted(keys, wanted)
         total = np.bincount(place, _joint(asked, "total", "<i8"), len(keys))
         number = np.bincount(place, _joint(asked, "number", "<i8"), len(keys))
-        left = 1 - (total - DISCOUNT * number) / np.maximum(train, 1)
+        left = 1 - (total - DISCOUNT * number) / np.maximum(seen, 1)
         fails = np.log10(np.maximum(left, 1e-12))
-        rows = [(bucket, None, keys, first, second, counts, train, logs, adds, fails, None)]
+        rows = _values(bucket, least, keys, first, second, counts, train, logs, adds, fails)
         for origin, asks in zip(asked.column("origin").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-            asks = np.frombuffer(asks, "<u8")
-            at = np.searchsorted(keys, asks)
-            rows.append((None, origin, asks, *[None] * 3, train[at], logs[at], None, None, left[at]))
-        return _packed_table(_LEVEL, rows)
+            at = np.searchsorted(keys, _unpacked(asks, "<u8"))
+            rows.append((ANSWERS, bucket, origin, *[None] * 3, seen[at], logs[at], None, left[at], None))
+        return _packed_table(_PARTS, rows)
 
     return run
 
 
-def _arcs(key: tuple, ngrams: pa.Table, answers: pa.Table) -> pa.Table:
+def _arcs(least: int, last: bool):
     """Log-probabilities of the n-grams of a bucket from the answers about their parts."""
-    known = _joint(answers, "keys", "<u8")
-    order = np.argsort(known)
-    train, logs, left = (
-        _joint(answers, name, kind)[order] for name, kind in (("train", "<i8"), ("logs", "<f8"), ("left", "<f8"))
-    )
-    keys, first, second = (_joint(ngrams, name, "<u8") for name in ("keys", "first", "second"))
-    counts = _joint(ngrams, "counts", "<i8")
-    context, shorter = (np.searchsorted(known[order], x) for x in (first, second))
-    own = (counts - DISCOUNT) / train[context]
-    found = np.log10(own + left[context] * 10 ** logs[shorter])
-    adds = found - np.log10(np.maximum(left[context], 1e-12)) - logs[shorter]
-    row = (key[0].as_py(), None, keys, first, second, counts, counts, found, adds, np.zeros(len(keys)), None)
-    return _packed_table(_LEVEL, [row])
-
-
-def _longer(level: DataFrame, ngrams: DataFrame, buckets: int, words: tuple | None, name: str):
-    """The shorter n-grams of `level` with their weights, and the level of `ngrams`."""
-    asked = ngrams.mapInArrow(_context_requests(buckets), _ASKED_CONTEXTS)
-    both = saved(
-        level.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_contexts(words), _LEVEL),
-        f"{name}-contexts",
-    )
-    answers = both.where("origin is not null").select("origin", "keys", "train", "logs", "left")
-    arcs = ngrams.groupBy("bucket").cogroup(answers.groupBy("origin")).applyInArrow(_arcs, _LEVEL)
-    return both.where("origin is null"), saved(arcs, f"{name}-arcs")
 
+    def run(key: tuple, ngrams: pa.Table, answers: pa.Table) -> pa.Table:
+        first, second = _joint(ngrams, "first", "<u8"), _joint(ngrams, "second", "<u8")
+        counts = _joint(ngrams, "counts", "<i8")
+        # What was asked, and the answers in the same order: buckets are ranges of keys.
+        known = np.unique(np.concatenate((first, second)))
+        answers = answers.sort_by("bucket")
+        train, logs, left = (
+            _joint(answers, name, kind) for name, kind in (("train", "<i8"), ("logs", "<f8"), ("left", "<f8"))
+        )
+        context, shorter = np.searchsorted(known, first), np.searchsorted(known, second)
+        own = (counts - DISCOUNT) / train[context]
+        found = np.log10(own + left[context] * 10 ** logs[shorter])
+        adds = found - np.log10(np.maximum(left[context], 1e-12)) - logs[shorter]
+        bucket = ngrams.column("bucket")[0].as_py()
+        if not last:
+            return _packed_table(_LEVEL, [(bucket, first, second, counts, found, adds)])
+        keys = _joined(first, second)
+        order = np.argsort(keys)
+        columns = [x[order] for x in (keys, first, second, counts)]
+        rows = _values(bucket, least, *columns, None, found[order], adds[order], np.zeros(len(keys)))
+        return _packed_table(_PARTS, rows)
 
-def _gathered(level: DataFrame, least: int) -> dict[str, np.ndarray]:
-    """What occurs `least` times, at most STATES of a level, and BEGIN."""
-    kinds = {"keys": "<u8", "first": "<u8", "second": "<u8", "train": "<i8", "logs": "<f8", "fails": "<f8"}
-    schema = ", ".join(f"{c} binary" for c in kinds)
+    return run
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                columns = [np.frombuffer(row[c], k) for c, k in kinds.items()]
-                keep = (np.frombuffer(row["counts"], "<i8") >= least) | (columns[0] == BEGIN[0])
-                out = [tuple(x[keep] if len(x) else x for x in columns)]
-                yield from _packed_table(schema, out).to_batches()
 
-    rows = level.select(*kinds, "counts").mapInArrow(frequent, schema).collect()
-    return {c: np.concatenate([np.empty(0, k), *(np.frombuffer(r[c], k) for r in rows)]) for c, k in kinds.items()}
+def _longer(level: Kept, ngrams: Kept, buckets: int, words: tuple | None, least: int, last: bool):
+    """The values of the shorter n-grams of `level`, and the level of `ngrams`, or its values."""
+    asked = ngrams.rows.mapInArrow(_context_requests(buckets), _ASKED_CONTEXTS)
+    parts = level.rows.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_contexts(words, least), _PARTS)
+    parts = Kept(parts, "lm-contexts", "part")
+    level.remove()
+    _released(level.spark)
+    answers = parts.rows.where(F.col("part") == ANSWERS).select("origin", "bucket", "train", "logs", "left")
+    arcs = ngrams.rows.groupBy("bucket").cogroup(answers.groupBy("origin"))
+    if last:
+        longer = Kept(arcs.applyInArrow(_arcs(least, last), _PARTS), "lm-values", "part")
+    else:
+        longer = Kept(arcs.applyInArrow(_arcs(least, last), _LEVEL), "lm-arcs")
+    ngrams.remove()
+    parts.remove(f"part={ANSWERS}")
+    _released(level.spark)
+    return parts, longer
+
+
+def _gathered(parts: Kept) -> dict[str, np.ndarray]:
+    """The frequent n-grams of an order, at most STATES, and BEGIN."""
+    kinds = {"keys": "<u8", "first": "<u8", "second": "<u8", "train": "<i8", "logs": "<f8", "fails": "<f8"}
+    rows = parts.rows.where(F.col("part") == FREQUENT).select(*kinds).collect()
+    return {c: np.concatenate([np.empty(0, k), *(_unpacked(r[c], k) for r in rows)]) for c, k in kinds.items()}
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -429,44 +515,46 @@ class Automaton:
         n = max(self.n_train, 1)
         return np.where(counts > 0, (counts - self.discount) / n, self.unknown)
 
-    def states(self, ids: np.ndarray) -> list[np.ndarray]:
+    def states(self, ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         """For each position, the arcs of 2, 3, ... words that end there; 0 for none."""
-        begin = len(self.words) + 1
-        before = np.concatenate(([begin], ids[:-1]))
+        before = _before(ids, starts, len(self.words) + 1)
         out = []
         for arcs in self.arcs:
             wanted = (before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
-            arc = np.where((before > 0) & (ids > 0), _found(arcs, wanted), 0)
+            some = np.flatnonzero((before > 0) & (ids > 0))
+            arc = np.zeros(len(ids), np.int64)
+            arc[some] = _found(arcs, wanted[some])
             out.append(arc)
-            before = np.concatenate(([0], arc[:-1]))
+            before = _before(arc, starts, 0)
         return out
 
-    def logs(self, ids: np.ndarray, counts: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
+    def logs(self, ids: np.ndarray, counts: np.ndarray, states: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
         """The log10-probability of each word as far as it is known here.
 
         What is not in the automaton adds nothing; its value comes on top.
         """
-        begin = len(self.words) + 1
         with np.errstate(divide="ignore"):
             total = np.where(ids > 0, np.log10(self.unigram(counts)), 0.0)
-        before = np.concatenate(([begin], ids[:-1]))
+        before = _before(ids, starts, len(self.words) + 1)
         for arc, logs, failures in zip(states, self.arc_logs, self.failures, strict=False):
             total = np.where(arc > 0, logs[arc], failures[before] + total)
-            before = np.concatenate(([0], arc[:-1]))
+            before = _before(arc, starts, 0)
         return total
 
-    def rare(self, hashes: np.ndarray, ids: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
-        """Hashes of the words and n-grams to ask for."""
-        out = [hashes[ids == 0]]
-        keys, fit = _joined(*_pairs(hashes)), True
+    def rare(self, hashes: np.ndarray, ids: np.ndarray, states: list[np.ndarray], starts: np.ndarray):
+        """Hashes of the words and n-grams to ask for, and the tokens at which they end."""
+        at = [np.flatnonzero(ids == 0)]
+        out = [hashes[at[0]]]
+        keys, fit = _joined(_before(hashes, starts, BEGIN[0]), hashes), np.ones(len(hashes), bool)
         for k, (arcs, known) in enumerate(zip(self.maps, states, strict=True)):
             if k:
-                keys = _joined(keys[:-1], keys[1:])
                 # An n-gram with an arc has them for its parts.
-                fit, known = fit[:-1] & fit[1:], known[1:]
+                fit = fit & _before(fit, starts, False)
+                keys = _joined(_before(keys, starts, BEGIN[0]), keys)
             fit = fit & ((known > 0) | arcs.maybe(keys))
-            out.append(keys[fit & (known == 0)])
-        return np.concatenate(out)
+            at.append(np.flatnonzero(fit & (known == 0)))
+            out.append(keys[at[-1]])
+        return np.concatenate(out), np.concatenate(at)
 
     def add_words(self, found: dict[str, np.ndarray]) -> None:
         """The words of the automaton and their weights as contexts, and that of BEGIN."""
@@ -517,8 +605,9 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
     size, n_docs = texts.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
     # A power of two, so that a bucket is a range of hashes.
     buckets = 1 << max(3, int((size or 0) // BUCKET_BYTES).bit_length())
-    words = _counts(texts, lambda text, _: _hashed(text), buckets, 1, "lm-words")
-    sums = words.agg(*[F.sum(c).alias(c) for c in ("n_train", "n_known", "ones", "twos", "n_all")]).first()
+    words = texts.mapInArrow(_word_counter(buckets), _COUNTS).groupBy("bucket").applyInArrow(_words_merged, _MERGED)
+    level = Kept(words, "lm-words")
+    sums = level.rows.agg(*[F.sum(c).alias(c) for c in ("n_train", "n_known", "ones", "twos", "n_all")]).first()
     n_train, n_known = sums["n_train"] or 0, sums["n_known"] or 0
     # Only for what is broadcast; arcs need LEAST_COUNT occurrences at any size.
     least = max(LEAST_COUNT, -(-(sums["n_all"] or 0) // STATES))
@@ -530,110 +619,104 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
     none = np.empty(0, "<u8")
     automaton = Automaton(none, none, n_train, n_known, unknown, discount, [], [], [], [])
     spark = docs.sparkSession
-    level, hashes, values = words, None, []
+    hashes, values = None, []
     for k in range(order - 1):
         shared = spark.sparkContext.broadcast(automaton.maps)
 
-        def parts_of(text: bytes, shared=shared, k=k) -> tuple[np.ndarray, np.ndarray]:
-            first, second = _pairs(_hashed(text))
+        def parts_of(hashes: np.ndarray, starts: np.ndarray, shared=shared, k=k) -> tuple[np.ndarray, np.ndarray]:
+            first, second = _before(hashes, starts, BEGIN[0]), hashes
             if k:
                 keys = _joined(first, second)
                 fit = shared.value[0].maybe(keys)
-                fit = fit[:-1] & fit[1:]
-                first, second = keys[:-1][fit], keys[1:][fit]
+                fit &= _before(fit, starts, False)
+                first, second = _before(keys, starts, BEGIN[0])[fit], keys[fit]
             return first, second
 
         chunks = texts.where("train").mapInArrow(_ngram_counter(parts_of, buckets), _NGRAMS)
-        ngrams = saved(chunks.groupBy("bucket").applyInArrow(_ngrams_merged, _NGRAMS), "lm-ngrams")
+        ngrams = Kept(chunks.groupBy("bucket").applyInArrow(_ngrams_merged, _NGRAMS), "lm-ngrams")
         _released(spark)
-        automaton.maps = [*automaton.maps, Arcs.of(ngrams, buckets)]
+        automaton.maps = [*automaton.maps, Arcs.of(ngrams.rows, buckets)]
         about = (n_train, discount, unknown, n_docs, buckets) if k == 0 else None
-        shorter, level = _longer(level, ngrams, buckets, about, f"lm-{k + 2}")
+        shorter, level = _longer(level, ngrams, buckets, about, least, k == order - 2)
         if k:
-            hashes = automaton.add_order(_gathered(shorter, least), hashes)
+            hashes = automaton.add_order(_gathered(shorter), hashes)
         else:
-            automaton.add_words(_gathered(shorter, least))
+            automaton.add_words(_gathered(shorter))
         values.append(shorter)
-        _released(spark)
-    automaton.add_order(_gathered(level, least), hashes)
-    values.append(level)
-    known = values[0].select("bucket", "keys", "train", "adds", "fails")
-    for longer in values[1:]:
-        known = known.unionByName(longer.select("bucket", "keys", F.lit(None).cast("binary").alias("train"), "adds", "fails"))
+    automaton.add_order(_gathered(level), hashes)
+    known = None
+    for parts in [*values, level]:
+        rows = parts.rows.where(F.col("part") == VALUES).select("bucket", "keys", "train", "value")
+        known = rows if known is None else known.unionByName(rows)
     return automaton, known, buckets
 
 
-def unmixed(x: np.ndarray) -> np.ndarray:
-    """What `mixed` was made from: its steps backwards, with inverse factors."""
-    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
-    x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
-    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
-    x = x * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
-    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
-
-
 _SCORED = (
     "row long, doc_id long, n_tokens long, n_known long, base double, score double, "
-    "bucket int, keys binary, rows binary, times binary"
+    "bucket int, keys binary, fill binary, rows binary, times binary"
 )
 
 
 def _scorer(shared, buckets: int):
-    """Per document what the automaton knows, and per bucket what is to be asked for."""
+    """Per document what the automaton knows, and per bucket what is to be asked for.
+
+    Rows that ask are numbered from the first one, `row`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: Automaton = shared.value
         known_counts = np.concatenate(([0], a.train))
-        names = [c.split()[0] for c in _SCORED.split(", ")]
-        kinds = [*[pa.int64()] * 4, pa.float64(), pa.float64(), pa.int32(), *[pa.binary()] * 3]
         asked, askers, held = [], [], 0
 
-        def requests() -> pa.RecordBatch:
-            keys = np.concatenate(asked)
-            rows = np.repeat(np.array(askers, np.int64), [len(x) for x in asked])
-            # Rows of one key stay in order.
-            order = np.argsort(keys, kind="stable")
-            keys, rows = keys[order], rows[order]
-            first = np.concatenate(([True], (np.diff(keys) != 0) | (np.diff(rows) != 0)))
-            times = np.diff(np.append(np.flatnonzero(first), len(keys)))
-            keys, rows = keys[first], rows[first]
-            out = [
-                (*[None] * 6, b, keys[s].tobytes(), rows[s].tobytes(), times[s].astype("<u4").tobytes())
-                for b, s in _slices(keys, buckets)
-            ]
-            columns = zip(*out, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-            )
+        def requests() -> Iterator[pa.RecordBatch]:
+            keys, rows = np.concatenate(asked), np.concatenate(askers)
+            base = int(rows.min())
+            order = np.lexsort((rows, keys))
+            keys, rows = keys[order], (rows[order] - base).astype("<u4")
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            first = new.copy()
+            first[1:] |= rows[1:] != rows[:-1]
+            times = np.diff(np.append(np.flatnonzero(first), len(keys))).astype("<u4")
+            rows, new = rows[first], np.flatnonzero(new[first])
+            keys, ends = keys[first][new], np.append(new, len(rows))
+            fill = np.diff(ends).astype("<u4")
+            out = []
+            for b, s in _slices(keys, buckets):
+                own = slice(int(ends[s.start]), int(ends[s.stop]))
+                out.append((base, *[None] * 5, b, keys[s], fill[s], rows[own], times[own]))
+            yield from _packed_table(_SCORED, out).to_batches()
 
         for batch in batches:
-            out = []
-            rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
-            for row, doc, text in zip(rows, ids, text_bytes(batch.column("text")), strict=True):
-                hashes = _hashed(text)
+            rows, ids = batch.column("row").to_numpy(), batch.column("doc_id").to_pylist()
+            for some, hashes, starts in _hashed(batch.column("text")):
                 word_ids = _found(a.words, hashes)
                 counts = known_counts[word_ids]
-                frequent = word_ids > 0
-                base = float(np.log10(counts[frequent] + 1.0).sum())
-                states = a.states(word_ids)
-                score = float(a.logs(word_ids, counts, states).sum())
+                states = a.states(word_ids, starts)
+                sums = [
+                    np.add.reduceat(x, starts[:-1]).tolist()
+                    for x in (
+                        (counts > 0).astype(np.int64),
+                        np.where(word_ids > 0, np.log10(counts + 1.0), 0.0),
+                        a.logs(word_ids, counts, states, starts),
+                    )
+                ]
+                own = rows[some]
                 # They go along with the questions to one of the buckets.
-                some = (row >> BLOCK_BITS) % buckets
-                out.append((row, doc, len(hashes), int((counts > 0).sum()), base, score, some, *[None] * 3))
-                rare = a.rare(hashes, word_ids, states)
+                others = ((own >> BLOCK_BITS) % buckets).tolist()
+                columns = (own.tolist(), ids[some], np.diff(starts).tolist(), *sums, others)
+                out = [(*row, *[None] * 4) for row in zip(*columns, strict=True)]
+                yield from _packed_table(_SCORED, out).to_batches()
+                rare, at = a.rare(hashes, word_ids, states, starts)
                 if len(rare):
                     asked.append(rare)
-                    askers.append(row)
+                    askers.append(np.repeat(own, np.diff(starts))[at])
                     held += len(rare)
                 if held >= CHUNK_TOKENS:
-                    yield requests()
+                    yield from requests()
                     asked, askers, held = [], [], 0
-            columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-            )
         if asked:
-            yield requests()
+            yield from requests()
 
     return run
 
@@ -652,16 +735,20 @@ def _answers(key: tuple, values: pa.Table, asked: pa.Table) -> pa.Table:
     """
     own = asked.filter(pa.compute.is_null(asked.column("keys")))
     asked = asked.filter(pa.compute.is_valid(asked.column("keys")))
-    keys, rows, times = (_joint(asked, name, kind) for name, kind in (("keys", "<u8"), ("rows", "<i8"), ("times", "<u4")))
+    keys, fill, rows, times = (
+        _joint(asked, name, kind) for name, kind in (("keys", "<u8"), ("fill", "<u4"), ("rows", "<u4"), ("times", "<u4"))
+    )
+    numbers = [len(x) // 4 for x in asked.column("rows").to_pylist()]
+    rows = rows + np.repeat(asked.column("row").to_numpy().astype(np.int64), numbers)
     parts = []
     for r in values.to_pylist():
-        hashes = np.frombuffer(r["keys"], "<u8")
-        counts = np.zeros(len(hashes), "<i8") if r["train"] is None else np.frombuffer(r["train"], "<i8")
-        adds = np.frombuffer(r["adds"], "<f8") + np.frombuffer(r["fails"], "<f8")
+        hashes, adds = _unpacked(r["keys"], "<u8"), _unpacked(r["value"], "<f8")
+        counts = np.zeros(len(hashes), "<i8") if r["train"] is None else _unpacked(r["train"], "<i8")
         place = _found(hashes, keys)
         parts.append((np.concatenate(([0], counts))[place], np.concatenate(([0.0], adds))[place]))
     c = sum((p[0] for p in parts), np.zeros(len(keys), np.int64))
     value = sum((p[1] for p in parts), np.zeros(len(keys)))
+    c, value = np.repeat(c, fill), np.repeat(value, fill)
     found, place = np.unique(rows, return_inverse=True)
     sums = [np.bincount(place, w * times, len(found)).astype("<f8") for w in (c > 0, np.log10(c + 1.0), value)]
     blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
@@ -705,7 +792,9 @@ def scores(
 
     The model is learnt from the `usable` documents. `base_score` is the sum of
     log10((c + 1) / (N + V + 1)): c the training count of each token, N that of all
-    tokens and V that of different ones.
+    tokens and V that of different ones. Each row is a document of its own, repeated ids and
+    texts too; a missing text is empty, an empty table gives no rows, and without training
+    documents both scores are 0.
     """
     spark = docs.sparkSession
     automaton, values, buckets = train(docs, usable, text_col, order)

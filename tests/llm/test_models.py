@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hitledger.llm import decontamination, language_id, lm_scoring, quality, queries
-from hitledger.llm.common import mixed
 
 SF001 = "/root/testdata/sf0.01"
 
@@ -196,11 +195,6 @@ def test_lm_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch, order,
     assert np.allclose(found(), whole, rtol=1e-9, atol=1e-9)
 
 
-def test_scrambling_is_undone():
-    x = np.random.default_rng(0).integers(0, 1 << 63, 1_000, dtype=np.uint64)
-    assert (lm_scoring.unmixed(mixed(x)) == x).all()
-
-
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
