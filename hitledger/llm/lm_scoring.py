@@ -47,7 +47,9 @@ DISCOUNT = 0.5
 # Tokens that a task gathers before it packs their counts, and bytes of text per bucket
 # of counts.
 CHUNK_TOKENS = 2_000_000
-BUCKET_BYTES = 32_000_000
+BUCKET_BYTES = 16_000_000
+# Bytes of packed rows that a task hands over at a time.
+BATCH_BYTES = 4_000_000
 # Documents whose sums are put together at a time, as a power of two.
 BLOCK_BITS = 10
 
@@ -139,7 +141,11 @@ def _hashed(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
 
 def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Hashes of n-grams from those of all words but the last and of all but the first."""
-    return mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + second)
+    keys = first + np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(keys), PIECE):
+        part = slice(at, at + PIECE)
+        keys[part] = mixed(mixed(keys[part]) + second[part])
+    return keys
 
 
 def _before(values: np.ndarray, starts: np.ndarray, first) -> np.ndarray:
@@ -182,8 +188,27 @@ def _packed_table(schema: str, rows: list[tuple]) -> pa.Table:
 
 def _joint(table: pa.Table, name: str, kind: str) -> np.ndarray:
     """The arrays of all rows of a binary column, one after the other."""
-    parts = (_unpacked(x, kind) for x in table.column(name).to_pylist() if x is not None)
-    return np.concatenate([np.empty(0, kind), *parts])
+    size, at = np.dtype(kind).itemsize, 0
+    out = np.empty(sum(pa.compute.binary_length(table.column(name)).drop_null().to_pylist()) // size, kind)
+    for x in table.column(name):
+        if x.is_valid:
+            part = _unpacked(x.as_buffer(), kind)
+            out[at : at + len(part)] = part
+            at += len(part)
+    return out
+
+
+def _batches(schema: str, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """The rows, some BATCH_BYTES at a time."""
+    some, held = [], 0
+    for row in rows:
+        some.append(row)
+        held += sum(x.nbytes for x in row if isinstance(x, np.ndarray))
+        if held >= BATCH_BYTES:
+            yield from _packed_table(schema, some).to_batches()
+            some, held = [], 0
+    if some:
+        yield from _packed_table(schema, some).to_batches()
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,10 +246,12 @@ def _word_counter(buckets: int):
 
         def packed() -> Iterator[pa.RecordBatch]:
             found, order, starts = _distinct(np.concatenate(keys))
+            keys.clear()
             train = _summed(np.concatenate(trains), order, starts)
+            trains.clear()
             counts = np.diff(np.append(starts, len(order)))
-            rows = [(b, found[s], counts[s], train[s]) for b, s in _slices(found, buckets)]
-            yield from _packed_table(_COUNTS, rows).to_batches()
+            rows = ((b, found[s], counts[s], train[s]) for b, s in _slices(found, buckets))
+            yield from _batches(_COUNTS, rows)
 
         for batch in batches:
             train = batch.column("train").to_numpy(zero_copy_only=False)
@@ -234,7 +261,7 @@ def _word_counter(buckets: int):
                 held += len(hashes)
                 if held >= CHUNK_TOKENS:
                     yield from packed()
-                    keys, trains, held = [], [], 0
+                    held = 0
         if held:
             yield from packed()
 
@@ -268,13 +295,19 @@ def _ngram_counter(parts_of, buckets: int):
 
         def packed() -> Iterator[pa.RecordBatch]:
             first, second = np.concatenate(firsts), np.concatenate(seconds)
+            firsts.clear()
+            seconds.clear()
             keys, place, starts = _distinct(_joined(first, second))
             counts = np.diff(np.append(starts, len(first)))
-            first, second, rows = first[place[starts]], second[place[starts]], []
-            for bucket, s in _slices(keys, buckets):
-                order = _by_context(first[s])
-                rows.append((bucket, first[s][order], second[s][order], counts[s][order], None))
-            yield from _packed_table(_NGRAMS, rows).to_batches()
+            place = place[starts]
+            first, second = first[place], second[place]
+
+            def rows() -> Iterator[tuple]:
+                for bucket, s in _slices(keys, buckets):
+                    order = _by_context(first[s])
+                    yield bucket, first[s][order], second[s][order], counts[s][order], None
+
+            yield from _batches(_NGRAMS, rows())
 
         for batch in batches:
             for _, hashes, starts in _hashed(batch.column("text")):
@@ -284,7 +317,7 @@ def _ngram_counter(parts_of, buckets: int):
                 held += len(first)
                 if held >= CHUNK_TOKENS:
                     yield from packed()
-                    firsts, seconds, held = [], [], 0
+                    held = 0
         if held:
             yield from packed()
 
@@ -294,10 +327,11 @@ def _ngram_counter(parts_of, buckets: int):
 def _ngrams_merged(key: tuple, table: pa.Table) -> pa.Table:
     """One row per bucket with the n-grams that occur LEAST_COUNT times."""
     first, second = _joint(table, "first", "<u8"), _joint(table, "second", "<u8")
-    _, place, starts = _distinct(_joined(first, second))
+    place, starts = _distinct(_joined(first, second))[1:]
     counts = _summed(_joint(table, "counts", "<i8"), place, starts)
     keep = counts >= LEAST_COUNT
     at, counts = place[starts[keep]], counts[keep]
+    del place, starts
     order = _by_context(first[at])
     row = (key[0].as_py(), first[at][order], second[at][order], counts[order], int(keep.sum()))
     return _packed_table(_NGRAMS, [row])
@@ -354,8 +388,8 @@ def _context_requests(buckets: int):
                 place = place[: len(first)]
                 total = np.bincount(place, _unpacked(row["counts"], "<i8"), len(keys)).astype("<i8")
                 number = np.bincount(place, minlength=len(keys)).astype("<i8")
-                out = [(b, row["bucket"], keys[s], total[s], number[s]) for b, s in _slices(keys, buckets)]
-                yield from _packed_table(_ASKED_CONTEXTS, out).to_batches()
+                out = ((b, row["bucket"], keys[s], total[s], number[s]) for b, s in _slices(keys, buckets))
+                yield from _batches(_ASKED_CONTEXTS, out)
 
     return run
 
@@ -418,8 +452,8 @@ def _contexts(words: tuple | None, least: int):
         left = 1 - (total - DISCOUNT * number) / np.maximum(seen, 1)
         fails = np.log10(np.maximum(left, 1e-12))
         rows = _values(bucket, least, keys, first, second, counts, train, logs, adds, fails)
-        for origin, asks in zip(asked.column("origin").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-            at = np.searchsorted(keys, _unpacked(asks, "<u8"))
+        for origin, asks in zip(asked.column("origin").to_pylist(), asked.column("keys"), strict=True):
+            at = np.searchsorted(keys, _unpacked(asks.as_buffer(), "<u8"))
             rows.append((ANSWERS, bucket, origin, *[None] * 3, seen[at], logs[at], None, left[at], None))
         return _packed_table(_PARTS, rows)
 
@@ -588,7 +622,9 @@ def _released(spark: SparkSession) -> None:
     """Lets Spark delete the shuffles of tables that are saved by now.
 
     It does so for what the driver's garbage collectors find unused, which else may be long after.
+    Spark's listeners hold on to the last query until the next one, so a small one comes first.
     """
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -617,6 +653,7 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
     discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
     unknown = discount * n_known / n_train if n_train else 1.0
     none = np.empty(0, "<u8")
+    _released(docs.sparkSession)
     automaton = Automaton(none, none, n_train, n_known, unknown, discount, [], [], [], [])
     spark = docs.sparkSession
     hashes, values = None, []
@@ -634,8 +671,8 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", order: int =
 
         chunks = texts.where("train").mapInArrow(_ngram_counter(parts_of, buckets), _NGRAMS)
         ngrams = Kept(chunks.groupBy("bucket").applyInArrow(_ngrams_merged, _NGRAMS), "lm-ngrams")
-        _released(spark)
         automaton.maps = [*automaton.maps, Arcs.of(ngrams.rows, buckets)]
+        _released(spark)
         about = (n_train, discount, unknown, n_docs, buckets) if k == 0 else None
         shorter, level = _longer(level, ngrams, buckets, about, least, k == order - 2)
         if k:
@@ -670,6 +707,8 @@ def _scorer(shared, buckets: int):
 
         def requests() -> Iterator[pa.RecordBatch]:
             keys, rows = np.concatenate(asked), np.concatenate(askers)
+            asked.clear()
+            askers.clear()
             base = int(rows.min())
             order = np.lexsort((rows, keys))
             keys, rows = keys[order], (rows[order] - base).astype("<u4")
@@ -681,11 +720,13 @@ def _scorer(shared, buckets: int):
             rows, new = rows[first], np.flatnonzero(new[first])
             keys, ends = keys[first][new], np.append(new, len(rows))
             fill = np.diff(ends).astype("<u4")
-            out = []
-            for b, s in _slices(keys, buckets):
-                own = slice(int(ends[s.start]), int(ends[s.stop]))
-                out.append((base, *[None] * 5, b, keys[s], fill[s], rows[own], times[own]))
-            yield from _packed_table(_SCORED, out).to_batches()
+
+            def out() -> Iterator[tuple]:
+                for b, s in _slices(keys, buckets):
+                    own = slice(int(ends[s.start]), int(ends[s.stop]))
+                    yield base, *[None] * 5, b, keys[s], fill[s], rows[own], times[own]
+
+            yield from _batches(_SCORED, out())
 
         for batch in batches:
             rows, ids = batch.column("row").to_numpy(), batch.column("doc_id").to_pylist()
@@ -714,7 +755,7 @@ def _scorer(shared, buckets: int):
                     held += len(rare)
                 if held >= CHUNK_TOKENS:
                     yield from requests()
-                    asked, askers, held = [], [], 0
+                    held = 0
         if asked:
             yield from requests()
 
