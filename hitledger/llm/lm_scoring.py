@@ -46,7 +46,7 @@ LEAST_COUNT = 2
 DISCOUNT = 0.5
 # Tokens that a task gathers before it packs their counts, and bytes of text per bucket
 # of counts.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 BUCKET_BYTES = 16_000_000
 # Bytes of packed rows that a task hands over at a time.
 BATCH_BYTES = 4_000_000
@@ -772,32 +772,35 @@ _TOTALS = "doc_id long, n_tokens long, n_known long, base double, score double"
 def _answers(key: tuple, values: pa.Table, asked: pa.Table) -> pa.Table:
     """What the rare words and n-grams of a bucket add to the documents, a row per block of them.
 
-    The documents' own rows pass through.
+    The documents' own rows pass through. One task's questions are answered after the other.
     """
     own = asked.filter(pa.compute.is_null(asked.column("keys")))
     asked = asked.filter(pa.compute.is_valid(asked.column("keys")))
-    keys, fill, rows, times = (
-        _joint(asked, name, kind) for name, kind in (("keys", "<u8"), ("fill", "<u4"), ("rows", "<u4"), ("times", "<u4"))
-    )
-    numbers = [len(x) // 4 for x in asked.column("rows").to_pylist()]
-    rows = rows + np.repeat(asked.column("row").to_numpy().astype(np.int64), numbers)
-    parts = []
-    for r in values.to_pylist():
-        hashes, adds = _unpacked(r["keys"], "<u8"), _unpacked(r["value"], "<f8")
-        counts = np.zeros(len(hashes), "<i8") if r["train"] is None else _unpacked(r["train"], "<i8")
-        place = _found(hashes, keys)
-        parts.append((np.concatenate(([0], counts))[place], np.concatenate(([0.0], adds))[place]))
-    c = sum((p[0] for p in parts), np.zeros(len(keys), np.int64))
-    value = sum((p[1] for p in parts), np.zeros(len(keys)))
-    c, value = np.repeat(c, fill), np.repeat(value, fill)
-    found, place = np.unique(rows, return_inverse=True)
-    sums = [np.bincount(place, w * times, len(found)).astype("<f8") for w in (c > 0, np.log10(c + 1.0), value)]
-    blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
-    ends = np.append(first[1:], len(found))[: len(first)]
-    out = [
-        (int(block), *[None] * 6, *[x[a:b] for x in (found.astype("<i8"), *sums)])
-        for block, a, b in zip(blocks, first, ends, strict=True)
-    ]
+    levels = []
+    for hashes, adds, train in zip(*(values.column(c) for c in ("keys", "value", "train")), strict=True):
+        counts = _unpacked(train.as_buffer(), "<i8") if train.is_valid else None
+        levels.append((_unpacked(hashes.as_buffer(), "<u8"), _unpacked(adds.as_buffer(), "<f8"), counts))
+    out = []
+    for base, *packed in zip(*(asked.column(c) for c in ("row", "keys", "fill", "rows", "times")), strict=True):
+        keys, fill, rows, times = (
+            _unpacked(x.as_buffer(), kind) for x, kind in zip(packed, ("<u8", "<u4", "<u4", "<u4"), strict=True)
+        )
+        count, value = np.zeros(len(keys), np.int64), np.zeros(len(keys))
+        for hashes, adds, counts in levels:
+            place = _found(hashes, keys)
+            at = np.flatnonzero(place)
+            value[at] += adds[place[at] - 1]
+            if counts is not None:
+                count[at] = counts[place[at] - 1]
+        found, place = np.unique(rows, return_inverse=True)
+        sums = [
+            np.bincount(place, np.repeat(w, fill) * times, len(found)).astype("<f8")
+            for w in (count > 0, np.log10(count + 1.0), value)
+        ]
+        found = found.astype("<i8") + base.as_py()
+        blocks, first = np.unique(found >> BLOCK_BITS, return_index=True)
+        for block, s in zip(blocks, map(slice, first, [*first[1:], len(found)]), strict=True):
+            out.append((int(block), *[None] * 6, *[x[s] for x in (found, *sums)]))
     names = ["row", "doc_id", "n_tokens", "n_known", "base", "score"]
     for r in own.select(names).to_pylist():
         out.append((r["row"] >> BLOCK_BITS, *[r[n] for n in names], *[None] * 4))
