@@ -228,7 +228,7 @@ class Kept:
 
     def __init__(self, df: DataFrame, name: str, *parts: str) -> None:
         self.spark, self.path = df.sparkSession, shared_folder(df.sparkSession, name)
-        df.write.partitionBy(*parts).parquet(self.path)
+        df.write.partitionBy(*parts).option("compression", "zstd").parquet(self.path)
         self.rows = self.spark.read.schema(df.schema).parquet(self.path)
 
     def remove(self, part: str = "") -> None:
@@ -397,7 +397,7 @@ def _context_requests(buckets: int):
 # The n-grams of an order: `adds` is what an arc adds to the way by failure.
 _LEVEL = "bucket int, first binary, second binary, counts binary, logs binary, adds binary"
 
-# Rows of three parts. VALUES: what each n-gram adds to a text's score, as an arc and as the
+# Rows of three parts. VALUES: what each n-gram that is not broadcast adds to a text's score, as an arc and as the
 # context of the next word; of words also the training counts. ANSWERS, per bucket that has
 # asked and in the order of its keys. FREQUENT: what is broadcast.
 VALUES, ANSWERS, FREQUENT = 0, 1, 2
@@ -410,9 +410,10 @@ _PARTS = (
 def _values(bucket: int, least: int, keys, first, second, counts, train, logs, adds, fails) -> list[tuple]:
     """The rows of a bucket's values and frequent n-grams; `train` only where it differs from counts."""
     keep = (counts >= least) | (keys == BEGIN[0])
+    rare = [None if x is None else x[~keep] for x in (keys, train, adds + fails)]
     some = [x[keep] if len(x) else x for x in (keys, first, second, counts if train is None else train, logs, fails)]
     return [
-        (VALUES, bucket, None, keys, None, None, train, None, None, None, adds + fails),
+        (VALUES, bucket, None, rare[0], None, None, rare[1], None, None, None, rare[2]),
         (FREQUENT, bucket, None, *some, None, None),
     ]
 
@@ -508,9 +509,10 @@ def _longer(level: Kept, ngrams: Kept, buckets: int, words: tuple | None, least:
 
 
 def _gathered(parts: Kept) -> dict[str, np.ndarray]:
-    """The frequent n-grams of an order, at most STATES, and BEGIN."""
+    """The frequent n-grams of an order, at most STATES, and BEGIN; their table goes."""
     kinds = {"keys": "<u8", "first": "<u8", "second": "<u8", "train": "<i8", "logs": "<f8", "fails": "<f8"}
     rows = parts.rows.where(F.col("part") == FREQUENT).select(*kinds).collect()
+    parts.remove(f"part={FREQUENT}")
     return {c: np.concatenate([np.empty(0, k), *(_unpacked(r[c], k) for r in rows)]) for c, k in kinds.items()}
 
 
