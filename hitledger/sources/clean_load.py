@@ -7,7 +7,7 @@ format is that of `csv_files`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,13 +17,17 @@ from hitledger.sources.scratch import scratch_path
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 _FORMS = {T.DateType(): _DATE, T.TimestampType(): _TIME, T.TimestampNTZType(): _TIME}
+# Records, and bytes of their lines, that one task looks for repeated keys in.
+TASK_ROWS = 250_000
+TASK_BYTES = 64_000_000
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Columns file, line_no (from 1) and line, written down once.
+    """Columns file, line_no (from 1), line and place, written down once.
 
     A file may be read by many tasks. Each notes where its piece of the file starts and counts its
-    lines; the pieces' counts, a row for each, are added up along the file.
+    lines; the pieces' counts, a row for each, are added up along the file, and the files' counts
+    along their names: `place` numbers the lines of all files.
     """
     own = scratch_path(spark, "lines")
     read = spark.read.option("lineSep", "\n").text(path)
@@ -39,11 +43,16 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = F.aggregate(
         F.filter("all", lambda p: p["piece"] < F.col("one.piece")), F.lit(0).cast("long"), lambda a, p: a + p["n"]
     )
-    starts = pieces.select("file", "all", F.explode("all").alias("one")).select(
-        "file", "one.piece", (before - F.col("one.first") + 1).alias("shift")
+    # One row per file.
+    whole = F.aggregate("all", F.lit(0).cast("long"), lambda a, p: a + p["n"])
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("others", F.coalesce(F.sum(whole).over(earlier), F.lit(0)))
+    starts = pieces.select("file", "all", "others", F.explode("all").alias("one")).select(
+        "file", "others", "one.piece", (before - F.col("one.first") + 1).alias("shift")
     )
+    line_no = F.col("place") + F.col("shift")
     return lines.join(starts, ["file", "piece"]).select(
-        "file", (F.col("place") + F.col("shift")).alias("line_no"), "line"
+        "file", line_no.alias("line_no"), "line", (F.col("others") + line_no).alias("place")
     )
 
 
@@ -84,7 +93,7 @@ def load_clean(
     shape = F.when(F.col("r").isNull() | F.col("r._bad").isNotNull() | (F.trim("line") == ""), "wrong number of fields")
     judged_at = scratch_path(spark, "judged")
     parsed.select(
-        "file", "line_no", "line", F.coalesce(shape, fields).alias("reason"),
+        "file", "line_no", "line", "place", F.coalesce(shape, fields).alias("reason"),
         F.struct(*[typed[n].alias(n) for n in names]).alias("record"),
     ).write.parquet(judged_at)
     judged = spark.read.parquet(judged_at)
@@ -92,12 +101,18 @@ def load_clean(
     rejected = bad.select("file", "line_no", "line", "reason")
     if key is not None:
         of = F.col("record")[key]
-        place = F.struct("file", "line_no")
-        last = good.where(of.isNotNull()).groupBy(of.alias("k")).agg(F.max(place).alias("last"))
+        keyed = good.where(of.isNotNull())
+        # A number of partitions given with `repartition` stays: rows that compress well would
+        # else be merged to very many per task. Semi and anti joins would slip below it.
+        n, size = keyed.agg(F.count("*"), F.sum(F.octet_length("line"))).first()
+        tasks = 1 + max(n // TASK_ROWS, (size or 0) // TASK_BYTES)
+        last = keyed.groupBy(of.alias("k")).agg(F.max("place").alias("place"))
         # Places are unique, so a key that very many records share makes no hot group here.
-        stay = last.select("last.file", "last.line_no")
-        repeated = good.where(of.isNotNull()).join(stay, ["file", "line_no"], "left_anti")
+        stay = last.select("place", F.lit(True).alias("stays")).repartition(tasks, "place")
+        unique = keyed.select("place", "record").repartition(tasks, "place").join(stay, "place")
+        others = keyed.select("place", "file", "line_no", "line").repartition(tasks, "place")
+        repeated = others.join(stay, "place", "left").where("stays is null")
         again = repeated.select("file", "line_no", "line", F.lit(f"{key}: repeated").alias("reason"))
-        good = good.where(of.isNull()).unionByName(good.join(stay, ["file", "line_no"], "left_semi").select(*good.columns))
+        good = good.where(of.isNull()).select("record").unionByName(unique.select("record"))
         rejected = rejected.unionByName(again)
     return good.select("record.*"), rejected

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hitledger import schemas
+from hitledger.sources import clean_load
 from hitledger.sources.clean_load import load_clean, numbered_lines
 
 HEADER = "user_id,signup_date,country,plan_type,is_active"
@@ -71,6 +72,26 @@ def test_line_numbers_across_pieces_of_a_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_many_records_are_dealt_to_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clean_load, "TASK_ROWS", 100, raising=False)
+    record = "{},2024-01-01,US,free,true"
+    files = {
+        "b.csv": [record.format(i) for i in range(1500)],
+        "a.csv": [record.format(i) for i in range(500, 2000)],
+        "c.csv": [record.format(7)] * 600,
+    }
+    accepted, kept, refused = load(spark, tmp_path, files)
+    assert kept == list(range(2000))
+    # b.csv comes after a.csv, and c.csv after both, whichever is longer.
+    assert refused == {
+        **{("a.csv", i - 498): "user_id: repeated" for i in range(500, 1500)},
+        **{("c.csv", i): "user_id: repeated" for i in range(2, 601)},
+        ("b.csv", 9): "user_id: repeated",
+    }
+    per_task = accepted.groupBy(F.spark_partition_id()).count()
+    assert per_task.agg(F.max("count")).first()[0] < 300
+
+
 def test_nothing_to_load(spark, tmp_path):
     accepted, kept, refused = load(spark, tmp_path, {"a.csv": []})
     assert kept == [] and refused == {} and accepted.columns == schemas.USERS.names
