@@ -16,7 +16,8 @@ automaton of numbered states, which texts are walked through. What it lacks is a
 as hashes with the document's number, where the values lie, in a shuffle of packed blocks,
 and the answers are added up per document. Bit maps of the hashes of arcs, bounded as well,
 save most questions about n-grams without an arc; where they fill up, more is asked, with
-the same result.
+the same result. Documents are scored in PASSES parts, one after the other, so that the
+questions and answers of one part lie on disk at a time.
 
 Words are runs of what is no white space, with A-Z in lower case; each document ends in
 an end token, which counts. A missing text has the end alone. Unigrams are discounted by
@@ -37,7 +38,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import mixed, shared_folder
+from hitledger.llm.common import mixed, saved, shared_folder
 from hitledger.sources.catalog import remove_folder
 
 ORDER = 3
@@ -52,6 +53,8 @@ BUCKET_BYTES = 16_000_000
 BATCH_BYTES = 4_000_000
 # Documents whose sums are put together at a time, as a power of two.
 BLOCK_BITS = 10
+# Parts of the documents, by their ids, that are scored one after the other.
+PASSES = 2
 
 # Bits of a map for each arc, and of a map at most, as a power of two.
 FILTER_BITS_PER_ARC = 16
@@ -845,19 +848,17 @@ def scores(
     spark = docs.sparkSession
     automaton, values, buckets = train(docs, usable, text_col, order)
     shared = spark.sparkContext.broadcast(automaton)
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        docs[id_col].cast("long").alias("doc_id"),
-        docs[text_col].alias("text"),
-    )
-    asked = rows.mapInArrow(_scorer(shared, buckets), _SCORED)
-    answers = values.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answers, _ANSWERS)
-    # A block holds at most 2^BLOCK_BITS documents that one task has read.
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     total = automaton.n_train + automaton.n_known + 1
-    return (
-        answers.groupBy("block")
-        .applyInArrow(_totals, _TOTALS)
-        .select(
+
+    def scored(part: int) -> DataFrame:
+        rows = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(PASSES)) == part)
+        rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+        asked = rows.mapInArrow(_scorer(shared, buckets), _SCORED)
+        answers = values.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answers, _ANSWERS)
+        # A block holds at most 2^BLOCK_BITS documents that one task has read.
+        totals = answers.groupBy("block").applyInArrow(_totals, _TOTALS)
+        found = totals.select(
             "doc_id",
             "n_tokens",
             "n_known",
@@ -865,4 +866,11 @@ def scores(
             (F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(total)))).alias("base_score"),
             "score",
         )
-    )
+        return saved(found, "lm-scores")
+
+    scores = None
+    for part in range(PASSES):
+        some = scored(part)
+        _released(spark)
+        scores = some if scores is None else scores.unionByName(some)
+    return scores

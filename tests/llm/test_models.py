@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hitledger.llm import decontamination, language_id, lm_scoring, quality, queries
+from hitledger.llm.common import saved
 
 SF001 = "/root/testdata/sf0.01"
 
@@ -149,6 +150,24 @@ def test_lm_of_odd_rows(spark, order):
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in untrained} == {(0, 0, 0.0, 0.0)}
 
 
+def test_lm_scores_are_asked_for_in_parts(spark, monkeypatch):
+    """The questions of some documents only lie in a shuffle at a time; no document is lost or twice."""
+    parts = []
+
+    def kept(df, name):
+        parts.append(saved(df, name))
+        return parts[-1]
+
+    monkeypatch.setattr(lm_scoring, "saved", kept, raising=False)
+    rows = [(i, f"a b c w{i} w{i % 7} a b") for i in range(300)] + [(None, "a b"), (None, None), (5, "a b c"), (5, "a b c")]
+    found = lm_scoring.scores(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True))
+    ids = [r.doc_id for r in found.collect()]
+    assert sorted(ids, key=str) == sorted((i for i, _ in rows), key=str)
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == len(rows) and max(sizes) < 0.7 * len(rows)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().toString()
+
+
 def test_automaton_is_a_distribution(spark):
     """Over all words and the unknown one, each state's probabilities add up to 1."""
     docs = spark.createDataFrame(
