@@ -748,8 +748,9 @@ def _scorer(shared, buckets: int):
                     )
                 ]
                 own = rows[some]
-                # They go along with the questions to one of the buckets.
-                others = ((own >> BLOCK_BITS) % buckets).tolist()
+                # They go along with the questions to one of the buckets, mixed as numbers of
+                # rows begin with that of the task.
+                others = (mixed((own >> BLOCK_BITS).astype(np.uint64)) % np.uint64(buckets)).tolist()
                 columns = (own.tolist(), ids[some], np.diff(starts).tolist(), *sums, others)
                 out = [(*row, *[None] * 4) for row in zip(*columns, strict=True)]
                 yield from _packed_table(_SCORED, out).to_batches()
