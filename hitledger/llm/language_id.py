@@ -3,8 +3,8 @@
 A text is a vector of frequencies of hashed byte pairs and triples. Linear support
 vector machines, one for each two families, vote for the family; then those for each two
 languages of that family vote for the language. They are trained on a sample of the
-labelled documents that is bounded per language; the whole text counts, in training and
-in prediction.
+labelled documents that is bounded per language, each machine in a task of its own; the
+driver gets their weights only. The whole text counts, in training and in prediction.
 
 A missing text, or one without a letter, is `und` with score 0. A score is the least
 confidence on the way, from 0 to 1; votes that tie go to the larger sum of margins, then
@@ -14,7 +14,8 @@ none every text is `und`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.llm import tokens
-from hitledger.llm.common import text_bytes, with_free_name
+from hitledger.llm.common import saved, text_bytes, with_free_name
 
 UNKNOWN = "und"
 # Labelled documents per language that training takes, at most.
@@ -32,6 +33,9 @@ SAMPLE_PER_LANGUAGE = 500
 FEATURES = 4096
 # Bytes of a text that are counted at a time.
 SLICE = 1 << 20
+# Vectors of the sample in one row, and features that one task takes the deviations of.
+PART = 250
+WIDTH = 128
 
 # Families of languages by code; one that is not listed is its own family.
 FAMILIES = {
@@ -79,7 +83,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, turns: int = 30)
     """Weights of a linear support vector machine by dual coordinate descent; y is +1 or -1."""
     rng = np.random.default_rng(1)
     alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
-    square = np.maximum((x * x).sum(axis=1), 1e-12)
+    square = np.maximum([(row * row).sum() for row in x], 1e-12)
     for _ in range(turns):
         for i in rng.permutation(len(x)):
             new = min(max(alpha[i] - (y[i] * (w @ x[i]) - 1) / square[i], 0.0), cost)
@@ -98,17 +102,11 @@ class Choice:
     offsets: np.ndarray
 
     @classmethod
-    def of(cls, x: np.ndarray, labels: np.ndarray) -> Choice:
-        names = sorted(set(labels.tolist()))
-        weights, offsets = [], []
-        for a, b in combinations(names, 2):
-            own = (labels == a) | (labels == b)
-            y = np.where(labels[own] == a, 1.0, -1.0)
-            w = linear_svm(x[own], y)
-            weights.append(w[:-1])
-            offsets.append(w[-1])
-        k = len(weights)
-        return cls(names, np.array(weights).reshape(k, FEATURES).T, np.array(offsets))
+    def of(cls, names: list[str], machines: Iterable[np.ndarray], scale: np.ndarray) -> Choice:
+        """Of the machines for each two of the names, in the order of their combinations."""
+        found = list(machines)
+        weights = np.array([w[:-1] for w in found]).reshape(len(found), FEATURES).T
+        return cls(names, weights * scale[:, None], np.array([w[-1] for w in found]))
 
     def best(self, x: np.ndarray) -> tuple[str, float]:
         if len(self.names) == 1:
@@ -175,6 +173,102 @@ def _least_hashes(known: DataFrame, n: int) -> dict[str, int]:
     return {r["lang"]: r["last"] for r in rows}
 
 
+def _pack(x: np.ndarray) -> bytes:
+    return zlib.compress(x.astype("<f4").tobytes(), 1)
+
+
+def _unpack(part: bytes, width: int = FEATURES) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(part), "<f4").reshape(-1, width)
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    return table.sort_by([("lang", "ascending"), ("part", "ascending")])
+
+
+def _vectors(texts: DataFrame) -> DataFrame:
+    """(lang, part, n, x) of (lang, text): a language's n vectors in their order, PART in a row."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
+        for batch in batches:
+            langs = batch.column("lang").dictionary_encode()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                found = batch.column("text").filter(pa.array(langs.indices.to_numpy() == code))
+                for at in range(0, len(found), PART):
+                    x = np.stack([frequencies(t) for t in text_bytes(found.slice(at, PART))])
+                    row = [pa.array([lang], pa.string()), pa.array([_pack(x)], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(row, names=["lang", "x"])
+
+    def ordered(key: tuple, table: pa.Table) -> pa.Table:
+        rows = sorted(row.tobytes() for part in table.column("x").to_pylist() for row in _unpack(part))
+        parts = [rows[at : at + PART] for at in range(0, len(rows), PART)]
+        return pa.table(
+            {
+                "lang": pa.array([key[0].as_py()] * len(parts), pa.string()),
+                "part": pa.array(range(len(parts)), pa.int32()),
+                "n": pa.array(map(len, parts), pa.int32()),
+                "x": pa.array([zlib.compress(b"".join(p), 1) for p in parts], pa.binary()),
+            }
+        )
+
+    packed = texts.mapInArrow(own, "lang string, x binary")
+    return packed.groupBy("lang").applyInArrow(ordered, "lang string, part int, n int, x binary")
+
+
+def _deviations(sample: DataFrame) -> np.ndarray:
+    """The standard deviation of each feature; a task takes WIDTH of them from all vectors."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts = range(0, FEATURES, WIDTH)
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = _unpack(row["x"])
+                columns = [
+                    pa.array(firsts, pa.int32()),
+                    pa.array([row["lang"]] * len(firsts), pa.string()),
+                    pa.array([row["part"]] * len(firsts), pa.int32()),
+                    pa.array([_pack(x[:, at : at + WIDTH]) for at in firsts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["first", "lang", "part", "x"])
+
+    def spread(key: tuple, table: pa.Table) -> pa.Table:
+        parts = [_unpack(x, WIDTH) for x in _in_order(table).column("x").to_pylist()]
+        found = np.concatenate(parts).astype(float).std(axis=0)
+        return pa.table({"first": pa.array([key[0].as_py()], pa.int32()), "spread": [found]})
+
+    slices = sample.select("lang", "part", "x").mapInArrow(sliced, "first int, lang string, part int, x binary")
+    found = slices.groupBy("first").applyInArrow(spread, "first int, spread array<double>").collect()
+    return np.concatenate([r["spread"] for r in sorted(found, key=lambda r: r["first"])])
+
+
+def _machines(sample: DataFrame, pairs: list[tuple[list[str], list[str]]], scale: np.ndarray) -> list[np.ndarray]:
+    """The machine of each pair of groups of languages, trained in a task."""
+
+    def trained(key: tuple, table: pa.Table) -> pa.Table:
+        tokens.forget()
+        table = _in_order(table)
+        n = sum(table.column("n").to_pylist())
+        x, y, at = np.ones((n, FEATURES + 1)), np.empty(n), 0
+        # One part at a time is unpacked beside the matrix.
+        for part, side in zip(table.column("x"), table.column("side").to_pylist(), strict=True):
+            own = _unpack(part.as_py())
+            x[at : at + len(own), :-1] = own
+            y[at : at + len(own)] = side
+            at += len(own)
+        x[:, :-1] *= scale
+        w = linear_svm(x, y).tobytes()
+        return pa.table({"pair": pa.array([key[0].as_py()], pa.int32()), "w": pa.array([w], pa.binary())})
+
+    sides = []
+    for i, (first, second) in enumerate(pairs):
+        sides += [(i, name, 1.0) for name in first] + [(i, name, -1.0) for name in second]
+    if not sides:
+        return []
+    dealt = F.broadcast(sample.sparkSession.createDataFrame(sides, "pair int, lang string, side double"))
+    rows = sample.join(dealt, "lang").groupBy("pair").applyInArrow(trained, "pair int, w binary").collect()
+    return [np.frombuffer(r["w"]) for r in sorted(rows, key=lambda r: r["pair"])]
+
+
 def train(
     docs: DataFrame,
     usable: Column,
@@ -186,7 +280,8 @@ def train(
 
     The sample of a language is its different texts with the least hashes, `per_language`
     of them or all there are: copies count once, and no labelled language is left out.
-    They reach the driver as vectors of FEATURES numbers.
+    Their vectors of FEATURES numbers stay in the shared folder; each machine is trained
+    in a task, on the languages it tells apart.
     """
     known = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash")
@@ -196,31 +291,21 @@ def train(
         return Model(None, {})
     limit = F.create_map(*[F.lit(v) for pair in last.items() for v in pair])
     # A text that very many rows repeat is one text of the sample.
-    sample = known.where(F.col("hash") <= limit[F.col("lang")]).select("lang", "text").distinct()
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [frequencies(t).astype("<f4").tobytes() for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array(rows, pa.binary())], names=["lang", "x"]
-            )
-
-    rows = sample.mapInArrow(vectors, "lang string, x binary").collect()
-    rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["x"])))
-    if not rows:
-        return Model(None, {})
-    x = np.stack([np.frombuffer(r["x"], "<f4") for r in rows]).astype(float)
-    labels = np.array([r["lang"] for r in rows])
-    scale = 1 / (x.std(axis=0) + 1e-4) / np.sqrt(FEATURES)
-    scaled = np.hstack([x * scale, np.ones((len(x), 1))])
-    families = np.array([family_of(n) for n in labels.tolist()])
-    model = Model(
-        Choice.of(scaled, families),
-        {f: Choice.of(scaled[families == f], labels[families == f]) for f in set(families.tolist())},
-    )
-    for choice in (model.families, *model.languages.values()):
-        choice.weights = choice.weights * scale[:, None]
-    return model
+    texts = known.where(F.col("hash") <= limit[F.col("lang")]).select("lang", "text").distinct()
+    sample = saved(_vectors(texts), "language-sample")
+    scale = 1 / (_deviations(sample) + 1e-4) / np.sqrt(FEATURES)
+    members: dict[str, list[str]] = {}
+    for name in sorted(last):
+        members.setdefault(family_of(name), []).append(name)
+    families = sorted(members)
+    pairs = [(members[a], members[b]) for a, b in combinations(families, 2)]
+    pairs += [([a], [b]) for f in families for a, b in combinations(members[f], 2)]
+    machines = iter(_machines(sample, pairs, scale))
+
+    def choice(names: list[str]) -> Choice:
+        return Choice.of(names, (next(machines) for _ in combinations(names, 2)), scale)
+
+    return Model(choice(families), {f: choice(members[f]) for f in families})
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -97,6 +98,39 @@ def test_copies_do_not_thin_the_language_sample(spark):
         assert model.predict(text.encode())[0] == lang
 
 
+def test_language_machines_are_trained_in_tasks(spark, monkeypatch):
+    """The driver gets weights and deviations, no vector; the model is that of one sorted matrix."""
+    stems = {"en": "the cat {} sleeps", "de": "die Katze {} liegt", "fr": "le chat {} dort", "xx": "kxq {} zzv"}
+    texts = [(stem.format(i * 7919), lang) for lang, stem in stems.items() for i in range(300)]
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(5)
+    frame, seen = type(docs), []
+    collect = frame.collect
+
+    def counted(df):
+        seen.append(collect(df))
+        return seen[-1]
+
+    monkeypatch.setattr(frame, "collect", counted)
+    model = language_id.train(docs, F.lit(True))
+    monkeypatch.undo()
+    binary = sum(len(v) for rows in seen for r in rows for v in r if isinstance(v, bytes | bytearray))
+    assert binary <= 4 * 8 * (language_id.FEATURES + 1)
+    vectors = sorted((n, language_id.frequencies(t.encode()).astype("<f4").tobytes()) for t, n in texts)
+    x = np.stack([np.frombuffer(v, "<f4") for _, v in vectors]).astype(float)
+    scale = 1 / (x.std(axis=0) + 1e-4) / np.sqrt(language_id.FEATURES)
+    scaled = np.hstack([x * scale, np.ones((len(x), 1))])
+    names = np.array([n for n, _ in vectors])
+    families = np.array([language_id.family_of(n) for n in names.tolist()])
+    assert model.families.names == ["germanic", "only xx", "romance"]
+    assert {f: c.names for f, c in model.languages.items()} == {"germanic": ["de", "en"], "only xx": ["xx"], "romance": ["fr"]}
+    for choice, labels in ((model.families, families), (model.languages["germanic"], names)):
+        for k, (a, b) in enumerate(combinations(choice.names, 2)):
+            own = (labels == a) | (labels == b)
+            w = language_id.linear_svm(scaled[own], np.where(labels[own] == a, 1.0, -1.0))
+            assert np.allclose(choice.weights[:, k], w[:-1] * scale, rtol=1e-9, atol=1e-12)
+            assert math.isclose(choice.offsets[k], w[-1], rel_tol=1e-9)
+
+
 def test_accepted_documents_carry_the_prediction(spark):
     model = language_id.train(documents(spark), F.lit(True))
     wrong = documents(spark).withColumn("lang", F.lit("xx"))
