@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.llm import decontamination, exact_dedup, language_id, near_dedup, packing
-from hitledger.llm.common import crc_remainder, ready, saved
+from hitledger.llm.common import crc_remainder, ready, saved, short_batches
 from hitledger.llm.queries import WORD_TOKENIZER, table, tokenizer_path
 
+# Words that a worker keeps the ids of in packing: the executors' JVMs have grown by then.
+REMEMBERED = 200_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ready(spark)
+    short_batches(ready(spark))
     model = language_id.train(docs, crc_remainder(F.col("doc_id"), 5) != 0)
     return language_id.accepted(docs, model)
 
@@ -35,18 +38,19 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ready(spark)
+    short_batches(ready(spark))
     return near_dedup.near_deduplicated(docs, size=5, percent=80)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(ready(spark))
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ready(spark)
+    short_batches(ready(spark))
     name, borders = WORD_TOKENIZER
-    return packing.packed(packing.pieces(docs, tokenizer_path(name), borders))
+    return packing.packed(packing.pieces(docs, tokenizer_path(name), borders, remembered=REMEMBERED))
 
 
 STAGES = [

@@ -17,6 +17,9 @@ from hitledger.sources.scratch import scratch_path
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Entries a Python worker remembers before it starts anew.
 MEMO_SIZE = 200_000
+# Rows that Spark sends to a Python worker at a time, unless the session says otherwise.
+ARROW_ROWS = 500
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -33,6 +36,17 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def short_batches(spark: SparkSession) -> SparkSession:
+    """Let Spark send whole texts to Python workers ARROW_ROWS rows at a time, not 10,000.
+
+    Both the executor and the worker keep the buffers of the largest batch they have had.
+    A size that the session was given stays.
+    """
+    if spark.conf.get(_ARROW_ROWS, None) is None:
+        spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
+    return spark
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one that driver and executors share, until `scratch.clear`."""
     return scratch_path(spark, name)
@@ -75,6 +89,11 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
             yield text or b""
 
 
+def give_back() -> None:
+    """Return what Arrow holds unused in this Python worker; for the end of a task."""
+    pa.default_memory_pool().release_unused()
+
+
 _memories: list[WordHashes] = []
 
 

@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import forget_words, saved, shared_folder, text_bytes, with_free_name
+from hitledger.llm.common import forget_words, give_back, saved, shared_folder, text_bytes, with_free_name
 
 WINDOW = 10
 # Words of items in one automaton: at most twice as many states, some 100 MB per worker. Only
@@ -313,6 +313,7 @@ def _matching(paths: list[str], text: Column, before: Column) -> Column:
                     }
                 )
             yield pa.array(rows, _MATCH_TYPE)
+        give_back()
 
     return F.arrow_udf(run, _MATCH).asNondeterministic()(text, before)
 
@@ -438,6 +439,7 @@ def _verdict(paths: list[str], max_coverage: float):
                 [pa.array(stays, pa.bool_()), pa.array(cut, pa.binary()).cast(pa.string())],
                 names=["stays", "cut"],
             )
+        give_back()
 
     return F.arrow_udf(run, "stays boolean, cut string").asNondeterministic()
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.llm import tokens
-from hitledger.llm.common import saved, text_bytes, with_free_name
+from hitledger.llm.common import give_back, saved, text_bytes, with_free_name
 
 UNKNOWN = "und"
 # Labelled documents per language that training takes, at most.
@@ -198,6 +198,7 @@ def _vectors(texts: DataFrame) -> DataFrame:
                     x = np.stack([frequencies(t) for t in text_bytes(found.slice(at, PART))])
                     row = [pa.array([lang], pa.string()), pa.array([_pack(x)], pa.binary())]
                     yield pa.RecordBatch.from_arrays(row, names=["lang", "x"])
+        give_back()
 
     def ordered(key: tuple, table: pa.Table) -> pa.Table:
         rows = sorted(row.tobytes() for part in table.column("x").to_pylist() for row in _unpack(part))
@@ -327,6 +328,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text", keep: list
             yield pa.StructArray.from_arrays(
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["name", "score"]
             )
+        give_back()
 
     # Filters on the result would otherwise be computed on their own, a second time.
     language = F.arrow_udf(predict, "name string, score double").asNondeterministic()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.llm import exact_dedup
-from hitledger.llm.common import WordHashes, mixed, saved, text_bytes
+from hitledger.llm.common import WordHashes, forget_words, give_back, mixed, saved, text_bytes
 from hitledger.llm.components import components
 
 PERMUTATIONS = 48
@@ -107,6 +107,8 @@ def _signatures(size: int):
                 ],
                 names=["doc_id", "text_hash", "n_shingles", "set1", "set2", "bands", "parity"],
             )
+        forget_words()
+        give_back()
 
     return run
 
@@ -118,6 +120,8 @@ def _sets(size: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"]
             )
+        forget_words()
+        give_back()
 
     return run
 
@@ -136,6 +140,7 @@ def _confirmed(percent: int):
                     keep.append(100 * both >= percent * (len(p) + len(q) - both))
             links = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
             yield links.filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return run
 

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import saved, text_bytes
-from hitledger.llm.tokens import encoder
+from hitledger.llm.common import give_back, saved, text_bytes
+from hitledger.llm.tokens import PIECES, encoder
 
 CAPACITY = 2048
 # Pieces that one task packs at a time.
@@ -43,12 +43,16 @@ def pieces(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = PIECES,
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, and the checksum of its ids."""
+    """Per piece: doc_id, piece, start, length, and the checksum of its ids.
+
+    `remembered` bounds the words that a Python worker keeps the ids of.
+    """
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, borders)
+        encode = encoder(tokenizer, borders, remembered)
         end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
             rows = []
@@ -59,6 +63,7 @@ def pieces(
                     own = tokens[at : at + capacity]
                     rows.append((doc, i, at, len(own), zlib.crc32(own.astype("<u4").tobytes())))
             yield _batch(list(zip(*rows, strict=True)) or [[]] * 5)
+        give_back()
 
     return plain.mapInArrow(cut, _PIECE)
 

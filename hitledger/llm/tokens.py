@@ -2,7 +2,7 @@
 
 Encoding a text is encoding its pieces where the tokenizer never merges across their
 borders. A task asks the library for each piece once and remembers the answer, up to
-PIECES of them; words repeat, so most of a text is looked up.
+`remembered` of them; words repeat, so most of a text is looked up.
 """
 
 from __future__ import annotations
@@ -46,13 +46,13 @@ class _Memo(dict):
     to the tokenizer's model; anything else passes all of its steps.
     """
 
-    def __init__(self, encode, encode_word, prefix: bytes):
+    def __init__(self, encode, encode_word, prefix: bytes, size: int):
         super().__init__()
-        self.encode, self.encode_word, self.prefix = encode, encode_word, prefix
+        self.encode, self.encode_word, self.prefix, self.size = encode, encode_word, prefix, size
         self.marks = {b",": encode(","), b".": encode(".")}
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= PIECES:
+        if len(self) >= self.size:
             self.clear()
         mark = self.marks.get(piece[-1:])
         if mark is not None and piece[-2:-1].isalpha():
@@ -73,7 +73,7 @@ class Encoder:
     space before it (byte-level pieces). Without it, each text goes to the library whole.
     """
 
-    def __init__(self, path: str, borders: str | None = None):
+    def __init__(self, path: str, borders: str | None = None, remembered: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,8 +81,8 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.borders = borders
-        self.plain = _Memo(self._whole, self._word, b"")
-        self.spaced = _Memo(self._whole, self._word, b" ")
+        self.plain = _Memo(self._whole, self._word, b"", remembered)
+        self.spaced = _Memo(self._whole, self._word, b" ", remembered)
 
     def _whole(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -129,15 +129,15 @@ class Encoder:
         )
 
 
-_encoders: dict[tuple[str, str | None], Encoder] = {}
+_encoders: dict[tuple[str, str | None, int], Encoder] = {}
 
 
-def encoder(path: str, borders: str | None) -> Encoder:
+def encoder(path: str, borders: str | None, remembered: int = PIECES) -> Encoder:
     """The encoder of this Python worker, kept from task to task."""
-    key = (path, borders)
+    key = (path, borders, remembered)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(path, borders)
+        _encoders[key] = Encoder(path, borders, remembered)
     return _encoders[key]
 
 
